@@ -132,8 +132,9 @@ from (select *, row_number() over (partition by id order by c desc, x asc, s asc
 group by id""")
 
 
-def per_customer_profile_sql(families: list[str]) -> str:
-    """Customers left-joined to the transaction profile of ``families``."""
+def profile_ctes(families: list[str]) -> tuple[list[tuple[str, str]], list[str]]:
+    """CTEs ending in ``p`` (one row per customer present in ``trd``) and the
+    output column names."""
     cols, used = profile_columns(families)
     ctes = [T_CTE]
     aggs = wide_aggregates(families)
@@ -152,8 +153,14 @@ group by id, x, s"""))
         joins += f" left join h_{name} on h_{name}.id = w.id"
     ctes.append(("p", "select w.id, " + ", ".join(f"{e} as {o}" for o, e in cols)
                  + " from w" + joins))
+    return ctes, [o for o, _ in cols]
+
+
+def per_customer_profile_sql(families: list[str]) -> str:
+    """Customers left-joined to the transaction profile of ``families``."""
+    ctes, names = profile_ctes(families)
     return with_views(["trd", "tag"], ctes,
-                      "select tag.id, " + ", ".join(f"p.{o}" for o, _ in cols)
+                      "select tag.id, " + ", ".join(f"p.{o}" for o in names)
                       + " from tag left join p on p.id = tag.id")
 
 

@@ -28,3 +28,183 @@ select id, l_orderkey, l_linenumber, trx_tm, week, weekday,
        count(trx_tm) over (partition by id, weekday) as trx_tm_weekday
 from t"""),
 }
+
+
+from custlens.plans.oracle import profile_ctes  # noqa: E402
+
+SENT = "(chr(92) || 'N', '31', '30')"
+
+
+def _money_sql(user_views: list[str], users_ctes: list[tuple[str, str]], users: str,
+               cats: list[str], keep: list[str], drop_cats: bool) -> str:
+    """Category money encodings of ``cats`` (columns of CTE ``users``)."""
+    unions = " union all ".join(
+        f"select '{c}' as n, cast(u.{c} as varchar) as v, x.amt from x join {users} u on u.id = x.id "
+        f"where u.{c} is not null" for c in cats)
+    ctes = users_ctes + [("x", "select id, amt from trd"), ("lng", unions), ("enc", """
+select n, v,
+       round(median(amt), 4) as m_all, coalesce(round(sum(amt), 2), 0) as s_all,
+       round(median(case when amt > 0 then amt end), 4) as m_pos,
+       round(sum(case when amt > 0 then amt end), 2) as s_pos,
+       round(median(case when amt < 0 then amt end), 4) as m_neg,
+       round(sum(case when amt < 0 then amt end), 2) as s_neg
+from lng group by n, v""")]
+    sel = [f"{users}.{k}" for k in keep]
+    if not drop_cats:
+        sel += [f"{users}.{c}" for c in cats]
+    joins = ""
+    for i, c in enumerate(cats):
+        a = f"e{i}"
+        sel += [f"{a}.m_all as {c}_cny_median", f"{a}.s_all as {c}_cny_sum",
+                f"{a}.m_pos as {c}pos_cny_median", f"{a}.s_pos as {c}pos_cny_sum",
+                f"{a}.m_neg as {c}neg_cny_median", f"{a}.s_neg as {c}neg_cny_sum"]
+        joins += (f" left join enc {a} on {a}.n = '{c}' and "
+                  f"{a}.v = cast({users}.{c} as varchar)")
+    return with_views(user_views, ctes, "select " + ", ".join(sel) + f" from {users}" + joins)
+
+
+def _mode_money_sql() -> str:
+    ctes, _ = profile_ctes(["codes", "calendar"])
+    ctes = ctes + [("um", "select tag.id, tag.split, " + ", ".join(f"p.{c}" for c in
+                    ["dat3_mode", "trx1_mode", "trx2_mode", "week_mode2", "weekday_mode2"])
+                    + " from tag left join p on p.id = tag.id")]
+    return _money_sql(["trd", "tag"], ctes, "um",
+                      ["dat3_mode", "trx1_mode", "trx2_mode", "week_mode2", "weekday_mode2"],
+                      ["id", "split"], drop_cats=True)
+
+
+_IMP_CTES = [("thr", """
+select feature, quantile_cont(importance_split, 0.25) as ts,
+       quantile_cont(importance_gain, 0.25) as tg
+from imp_actual where feature is not null group by feature"""), ("agg", """
+select n.feature, count(*) as r,
+       sum(case when n.importance_split < thr.ts then 1 else 0 end) as hs,
+       sum(case when n.importance_gain < thr.tg then 1 else 0 end) as hg
+from imp_null n join thr on n.feature = thr.feature group by n.feature"""), ("sc", """
+select thr.feature, cast(100 as double) * agg.hs / agg.r as split_score,
+       cast(100 as double) * agg.hg / agg.r as gain_score
+from thr left join agg on agg.feature = thr.feature""")]
+
+_SCORED = [("s", """
+select scores.model, scores.fold, scores.score, tag.flag as label
+from scores join tag on scores.id = tag.id"""), ("g", """
+select model, fold, score, sum(label) as pos, count(*) - sum(label) as neg
+from s group by model, fold, score"""), ("cu", """
+select *, sum(neg) over (partition by model, fold order by score
+                         rows between unbounded preceding and current row) as cneg
+from g"""), ("a", """
+select cast(model as bigint) as model, cast(fold as bigint) as fold,
+       sum(pos * (cneg - neg + cast(0.5 as double) * neg)) / (sum(pos) * sum(neg)) as auc,
+       cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg
+from cu group by model, fold""")]
+
+ORACLE.update({
+    "member_fill": with_views(["tag", "beh"], [
+        ("m", "select distinct id, 1 as has_beh from beh where id is not null"),
+        ("c", """
+select id, count(*) filter (where page = 'click') as click,
+       count(*) filter (where page = 'error') as error,
+       count(*) filter (where page = 'purchase') as purchase,
+       count(*) filter (where page = 'signup') as signup,
+       count(*) filter (where page = 'view') as "view"
+from beh group by id""")], """
+select tag.id, cast(coalesce(m.has_beh, 0) as bigint) as has_beh,
+       case when m.has_beh = 1 then coalesce(c.click, 0) end as click,
+       case when m.has_beh = 1 then coalesce(c.error, 0) end as error,
+       case when m.has_beh = 1 then coalesce(c.purchase, 0) end as purchase,
+       case when m.has_beh = 1 then coalesce(c.signup, 0) end as signup,
+       case when m.has_beh = 1 then coalesce(c."view", 0) end as "view"
+from tag left join m on m.id = tag.id left join c on c.id = tag.id"""),
+    "product_features": with_views(["tag"], [], """
+select id, buy_a, buy_b, buy_c, buy_a * buy_b as rate_ab, buy_a * buy_c as rate_ac,
+       buy_b * buy_c as rate_bc
+from tag"""),
+    "ratio_features": with_views(["tag"], [("r", """
+select id, buy_a, buy_b, buy_c,
+       coalesce(buy_a, 0) + coalesce(buy_b, 0) + coalesce(buy_c, 0) as buy_sum from tag""")], """
+select id, buy_a, buy_b, buy_c, buy_sum, buy_a / (buy_sum + 1) as buy_a_ratio,
+       buy_b / (buy_sum + 1) as buy_b_ratio, buy_c / (buy_sum + 1) as buy_c_ratio
+from r"""),
+    "null_sentinels": with_views(["tag_text"], [("p", f"""
+select max(case when brand_txt in {SENT} then 1 else 0 end) as bs,
+       max(case when brand_txt = '-1' and split = 'train' then 1 else 0 end) as bn,
+       max(case when type_txt in {SENT} then 1 else 0 end) as ts,
+       max(case when type_txt = '-1' and split = 'train' then 1 else 0 end) as tn,
+       min(case when split = 'train' then try_cast(case when size_txt not in {SENT}
+           then size_txt end as double) end) as smt,
+       min(case when split <> 'train' then try_cast(case when size_txt not in {SENT}
+           then size_txt end as double) end) as sms
+from tag_text"""), ("x", f"""
+select id, split, brand_txt, type_txt,
+       try_cast(case when size_txt not in {SENT} then size_txt end as double) as size_num
+from tag_text""")], f"""
+select x.id, x.split,
+       case when p.bs = 0 then x.brand_txt
+            when p.bn = 0 then case when x.brand_txt in {SENT} then null else x.brand_txt end
+            else case when x.brand_txt in {SENT} or x.brand_txt = '-1' then null
+                      else x.brand_txt end end as brand_txt,
+       case when p.ts = 0 then x.type_txt
+            when p.tn = 0 then case when x.type_txt in {SENT} then null else x.type_txt end
+            else case when x.type_txt in {SENT} or x.type_txt = '-1' then null
+                      else x.type_txt end end as type_txt,
+       case when (p.smt = -1 or p.sms = -1) and x.size_num = -1 then null
+            else x.size_num end as size_txt
+from x, p"""),
+    "narrow_types": """
+select cast(l_orderkey as smallint) as l_orderkey, cast(l_partkey as smallint) as l_partkey,
+       cast(l_suppkey as tinyint) as l_suppkey, cast(l_linenumber as tinyint) as l_linenumber,
+       cast(l_quantity as float) as l_quantity, cast(l_extendedprice as float) as l_extendedprice,
+       cast(l_discount as float) as l_discount, cast(l_tax as float) as l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+from lineitem""",
+    "woe_encode": with_views(["tag"], [
+        ("tr", "select * from tag where split = 'train'"),
+        ("tot", "select sum(flag) as pos, count(*) - sum(flag) as neg from tr"),
+        ("cls", """
+select seg_cd as v, sum(flag) as pos_c, count(*) as n_c from tr
+where seg_cd is not null group by seg_cd"""),
+        ("w", """
+select v, ln((pos_c / (select pos from tot)) * ((select neg from tot) / (n_c - pos_c))) as woe
+from cls""")], """
+select cast(tag.id as bigint) as id, cast(tag.flag as bigint) as flag, tag.split, tag.seg_cd,
+       tag.nat_cd, round(w.woe, 4) as seg_cd_crossentroy
+from tag left join w on w.v = tag.seg_cd"""),
+    "category_money": _money_sql(["trd", "tag"], [], "tag", ["seg_cd", "nat_cd"],
+                                 ["id", "split"], drop_cats=False),
+    "mode_money": _mode_money_sql(),
+    "importance_scores": with_views(["imp_null", "imp_actual"], _IMP_CTES,
+                                    "select feature, split_score, gain_score from sc"),
+    "importance_select": with_views(["imp_null", "imp_actual"], _IMP_CTES, """
+select feature, gain_score, false as is_categorical from sc where gain_score >= 40"""),
+    "token_sequences": with_views(["trd"], [("r", """
+select id, coalesce(cast(cod2 as varchar), 'nan') as tok,
+       row_number() over (partition by id order by trx_tm nulls first, l_orderkey nulls first,
+                          l_linenumber nulls first, coalesce(cast(cod2 as varchar), 'nan')) as rn
+from trd where id is not null""")], """
+select id, cast(floor((rn - 1) / 1000) as bigint) as seq_no, list(tok order by rn) as tokens
+from r group by id, seq_no"""),
+    "mean_vector": """
+with e as (select label, unnest(embedding) as x,
+                  unnest(generate_series(0, len(embedding) - 1)) as pos
+           from embeddings),
+     m as (select label, pos, avg(cast(x as double)) as m from e group by label, pos)
+select cast(label as bigint) as label, list(round(m, 6) order by pos) as mean_vec
+from m group by label""",
+    "fold_assign": with_views(["tag", "trd"], [
+        ("u", """
+select tag.id, case when exists (select 1 from trd where trd.id = tag.id) then 1 else 0 end
+       as has_trx
+from tag where split = 'train'"""),
+        ("c", "select has_trx, count(*) as n from u group by has_trx"),
+        ("f", "select has_trx, n, unnest([0, 1, 2, 3, 4]) as fold from c")], """
+select cast(has_trx as bigint) as has_trx, cast(fold as bigint) as fold,
+       cast((n - fold + 4) // 5 as bigint) as n
+from f where (n - fold + 4) // 5 > 0"""),
+    "auc_by_fold": with_views(["scores", "tag"], _SCORED, "select * from a"),
+    "auc_summary": with_views(["scores", "tag"], _SCORED, """
+select model, round(avg(auc), 4) as mean_auc, round(stddev_pop(auc), 4) as std_auc
+from a group by model"""),
+    "score_blend": with_views(["scores"], [
+        ("pm", "select id, model, avg(score) as m from scores group by id, model")], """
+select id, round(avg(m), 4) as score from pm group by id"""),
+})

@@ -81,3 +81,171 @@ QUERIES: dict[str, Query] = {
     "calendar_parts": calendar_parts,
     "bucket_counts_rowwise": bucket_counts_rowwise,
 }
+
+
+# --- cleaning, projections, encodings -------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from custlens.operators import clean, encode, model, select, sequence  # noqa: E402
+from custlens.session import ensure_checkpoint_dir  # noqa: E402
+from custlens.sources.tables import read_table  # noqa: E402
+
+FIXTURE_CATS = ["seg_cd", "nat_cd"]
+MODE_COLS = ["dat3_mode", "trx1_mode", "trx2_mode", "week_mode2", "weekday_mode2"]
+
+
+def member_fill(spark, sf_dir):
+    """Page-view counts by page type; members (customers with views) get 0 for
+    a missing type, the others stay NULL."""
+    users = fx.tag(spark, sf_dir).select("id")
+    b = fx.beh(spark, sf_dir)
+    counts = b.groupBy("id").pivot("page").count()
+    types = [c for c in counts.columns if c != "id"]
+    out = clean.mark_member(users, b, "id", "has_beh").join(counts, "id", "left")
+    return tidy(clean.fill_for_members(out, types, "has_beh", 0))
+
+
+def product_features(spark, sf_dir):
+    t = fx.tag(spark, sf_dir).select("id", "buy_a", "buy_b", "buy_c")
+    spec = {"rate_ab": ("buy_a", "buy_b"), "rate_ac": ("buy_a", "buy_c"),
+            "rate_bc": ("buy_b", "buy_c")}
+    return tidy(encode.product_features(t, spec))
+
+
+def ratio_features(spark, sf_dir):
+    t = fx.tag(spark, sf_dir).select("id", "buy_a", "buy_b", "buy_c")
+    return tidy(encode.ratio_features(t, ["buy_a", "buy_b", "buy_c"], "buy_sum"))
+
+
+def null_sentinels(spark, sf_dir):
+    return clean.null_sentinels(fx.tag_text(spark, sf_dir), categorical=["brand_txt", "type_txt"])
+
+
+def narrow_types(spark, sf_dir):
+    return clean.narrow_types(read_table(spark, sf_dir, "lineitem"))
+
+
+def woe_encode(spark, sf_dir):
+    users = fx.tag(spark, sf_dir).select("id", "flag", "split", *FIXTURE_CATS)
+    return tidy(encode.woe_encode(users, FIXTURE_CATS))
+
+
+def category_money(spark, sf_dir):
+    users = fx.tag(spark, sf_dir).select("id", "split", *FIXTURE_CATS)
+    return tidy(encode.category_money(users, fx.trd(spark, sf_dir), FIXTURE_CATS))
+
+
+def mode_money(spark, sf_dir):
+    """Money encodings of the customers' mode columns; the modes are dropped."""
+    ensure_checkpoint_dir(spark)
+    users = fx.tag(spark, sf_dir).select("id", "split")
+    trd = fx.trd(spark, sf_dir)
+    modes = transaction_profile(trd, ["codes", "calendar"]).select("id", *MODE_COLS)
+    # Cut the lineage: the per-customer modes feed a cardinality check and the
+    # encoding join, so they are computed once and kept in the checkpoint dir.
+    u = users.join(modes, "id", "left").checkpoint()
+    res = encode.category_money(u, trd, MODE_COLS).drop(*MODE_COLS)
+    return tidy(res)
+
+
+def importance_scores(spark, sf_dir):
+    return tidy(select.importance_scores(fx.imp_null(spark, sf_dir), fx.imp_actual(spark, sf_dir)))
+
+
+def importance_select(spark, sf_dir):
+    scores = select.importance_scores(fx.imp_null(spark, sf_dir), fx.imp_actual(spark, sf_dir))
+    return tidy(select.select_features(scores, categorical=MODE_COLS))
+
+
+def token_sequences(spark, sf_dir):
+    t = fx.trd(spark, sf_dir)
+    return tidy(sequence.token_sequences(t, "id", "cod2", ["trx_tm", "l_orderkey", "l_linenumber"]))
+
+
+def mean_vector(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    m = sequence.mean_vector(e, "label", "embedding", dim=0)
+    return tidy(m.select("label", F.transform("mean_vec", lambda x: F.round(x, 6)).alias("mean_vec")))
+
+
+def embed_customers(spark, sf_dir):
+    """Word2Vec over the customers' token chunks, mean vector per customer."""
+    t = fx.trd(spark, sf_dir)
+    seqs = sequence.token_sequences(t, "id", "cod2", ["trx_tm", "l_orderkey", "l_linenumber"])
+    m = sequence.fit_embedding(seqs)
+    vecs = sequence.token_mean_vectors(t, "id", "cod2", sequence.vocabulary(m), dim=6)
+    users = fx.tag(spark, sf_dir).select("id")
+    return tidy(attach(users, vecs), round_cols=[])
+
+
+def _train_with_strata(spark, sf_dir):
+    users = fx.tag(spark, sf_dir).where(F.col("split") == "train").select("id")
+    return clean.mark_member(users, fx.trd(spark, sf_dir).select("id"), "id", "has_trx")
+
+
+def fold_assign(spark, sf_dir):
+    folds = model.assign_folds(_train_with_strata(spark, sf_dir), "id", "has_trx")
+    return tidy(model.fold_balance(folds))
+
+
+def _scored(spark, sf_dir):
+    s = fx.scores(spark, sf_dir)
+    lab = fx.tag(spark, sf_dir).select("id", F.col("flag").alias("label"))
+    return s.join(lab, "id")
+
+
+def auc_by_fold(spark, sf_dir):
+    return tidy(model.auc_by_group(_scored(spark, sf_dir), ["model", "fold"]), round_cols=[])
+
+
+def auc_summary(spark, sf_dir):
+    aucs = model.auc_by_group(_scored(spark, sf_dir), ["model", "fold"])
+    return tidy(model.auc_summary(aucs), round_cols=["mean_auc", "std_auc"])
+
+
+def score_blend(spark, sf_dir):
+    return tidy(model.blend(fx.scores(spark, sf_dir)), round_cols=["score"])
+
+
+def gbt_oof(spark, sf_dir):
+    """Out-of-fold boosted trees on the customer features; scores of the
+    scoring customers per fold."""
+    ensure_checkpoint_dir(spark)
+    users = fx.tag(spark, sf_dir)
+    trd = fx.trd(spark, sf_dir)
+    prof = transaction_profile(trd, ["amount", "signed", "calendar", "flag1", "codes"])
+    feats = users.join(prof, "id", "left")
+    train = clean.mark_member(feats.where(F.col("split") == "train"), trd.select("id"), "id",
+                              "has_trx")
+    train = model.assign_folds(train, "id", "has_trx")
+    score = feats.where(F.col("split") != "train").withColumn("has_trx", F.lit(None).cast("int")) \
+                 .withColumn("fold", F.lit(None).cast("int"))
+    data = train.unionByName(score).checkpoint()
+    numeric = [c for c, t in data.dtypes if c not in ("id", "flag", "split", "fold", "has_trx")
+               and t in ("double", "bigint", "int")]
+    cats = ["seg_cd", "nat_cd", "dat3_mode", "trx1_mode", "trx2_mode"]
+    scores, _ = model.oof_fit(data, numeric, cats, max_iter=10)
+    return scores
+
+
+QUERIES.update({
+    "member_fill": member_fill,
+    "product_features": product_features,
+    "ratio_features": ratio_features,
+    "null_sentinels": null_sentinels,
+    "narrow_types": narrow_types,
+    "woe_encode": woe_encode,
+    "category_money": category_money,
+    "mode_money": mode_money,
+    "importance_scores": importance_scores,
+    "importance_select": importance_select,
+    "token_sequences": token_sequences,
+    "mean_vector": mean_vector,
+    "embed_customers": embed_customers,
+    "fold_assign": fold_assign,
+    "auc_by_fold": auc_by_fold,
+    "auc_summary": auc_summary,
+    "score_blend": score_blend,
+    "gbt_oof": gbt_oof,
+})

@@ -18,7 +18,7 @@ ROUND_DIGITS = 4
 
 
 def needs_rounding(name: str) -> bool:
-    return "_std" in name or "median" in name or name.startswith("std_")
+    return "_std" in name or "median" in name or name.startswith("std_") or "crossentroy" in name
 
 
 def tidy(df: DataFrame, round_cols: Iterable[str] | None = None) -> DataFrame:
