@@ -25,8 +25,9 @@ from pyspark.sql.types import NumericType
 STATS = ("nunique", "mode", "freq", "minfreq")
 
 
-def value_stats_long(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
-    """Long form ``key, name, nunique, freq, minfreq, mode_x, mode_s``."""
+def value_counts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+    """``key, n, x, s, c``: rows per distinct non-null value of each named column
+    (numbers in ``x``, text in ``s``), with map-side partial aggregation."""
     types = df.select(*[c.alias(n) for n, c in columns.items()]).schema
     entries = []
     for field in types.fields:
@@ -39,28 +40,39 @@ def value_stats_long(df: DataFrame, key: str, columns: dict[str, Column]) -> Dat
     long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
               .select(key, "e.n", "e.x", "e.s")
               .where(F.col("x").isNotNull() | F.col("s").isNotNull()))
-    counted = long.groupBy(key, "n", "x", "s").agg(F.count(F.lit(1)).alias("c"))
-    best = F.min(F.struct((-F.col("c")).alias("nc"), F.col("x"), F.col("s")))
-    per_col = counted.groupBy(key, "n").agg(F.count(F.lit(1)).alias("nunique"), best.alias("m"),
-                                            F.min("c").alias("minfreq"))
-    return per_col.select(key, "n", "nunique", (-F.col("m.nc")).alias("freq"), "minfreq",
-                          F.col("m.x").alias("mode_x"), F.col("m.s").alias("mode_s"))
+    return long.groupBy(key, "n", "x", "s").agg(F.count(F.lit(1)).alias("c"))
 
 
 def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
-                wanted: dict[str, dict[str, str]]) -> DataFrame:
-    """One row per key.  ``wanted``: ``name -> {stat: output column}`` with stat
-    in ``nunique, mode, freq, minfreq``; modes come back in the input type."""
+                wanted: dict[str, dict[str, str] | list[tuple[str, str]]]) -> DataFrame:
+    """One row per key.  ``wanted``: ``name -> {stat: output}`` (or a list of
+    ``(stat, output)`` pairs, when one stat feeds several outputs) with stat in
+    ``nunique, mode, freq, minfreq``; modes come back in the input type.
+
+    The per-value counts are aggregated straight to one row per key with
+    conditional aggregates (fixed-size buffers), so a key's distinct values
+    are never gathered in one place."""
     types = {f.name: f.dataType for f in
              df.select(*[c.alias(n) for n, c in columns.items()]).schema.fields}
-    long = value_stats_long(df, key, columns)
+    counted = value_counts(df, key, columns)
+    c = F.col("c")
     outs = []
     for name, stats in wanted.items():
         is_name = F.col("n") == name
-        for stat, out in stats.items():
-            if stat == "mode":
-                field = "mode_x" if isinstance(types[name], NumericType) else "mode_s"
-                outs.append(F.max(F.when(is_name, F.col(field))).cast(types[name]).alias(out))
+        pairs = stats.items() if isinstance(stats, dict) else stats
+        for stat, out in pairs:
+            if stat == "nunique":
+                # NULL (not 0) when the key has no value of this column.
+                n = F.count(F.when(is_name, F.lit(1)))
+                outs.append(F.when(n > 0, n).alias(out))
+            elif stat == "freq":
+                outs.append(F.max(F.when(is_name, c)).alias(out))
+            elif stat == "minfreq":
+                outs.append(F.min(F.when(is_name, c)).alias(out))
+            elif stat == "mode":
+                best = F.min(F.when(is_name, F.struct((-c).alias("nc"), F.col("x"), F.col("s"))))
+                field = "x" if isinstance(types[name], NumericType) else "s"
+                outs.append(best[field].cast(types[name]).alias(out))
             else:
-                outs.append(F.max(F.when(is_name, F.col(stat))).alias(out))
-    return long.groupBy(key).agg(*outs)
+                raise ValueError(f"unknown stat {stat}")
+    return counted.groupBy(key).agg(*outs)

@@ -6,13 +6,13 @@ transactions would put every distinct amount of that half into one map.  This
 operator keeps the answer exact (mean of the two middle values, as pandas and
 NumPy) and splits each group by value bucket instead:
 
-1. distinct-value histogram ``(keys, bucket, value) -> count``: partial
-   aggregation on the map side, then one shuffle;
-2. per ``(keys, bucket)`` counts (small) and, in bucket order, the count
-   before each bucket; this locates the one or two buckets that hold the
-   middle ranks;
+1. the rows are hash-partitioned by ``(keys, bucket)`` (the only shuffle of
+   the rows) and counted per distinct value;
+2. per ``(keys, bucket)`` counts and, in bucket order, the count before each
+   bucket (one small row per bucket) locate the one or two buckets that hold
+   the middle ranks;
 3. only the histogram rows of those target buckets are ranked, in a window
-   partitioned by ``(keys, bucket)``.
+   partitioned by ``(keys, bucket)``, which is the partitioning of step 1.
 
 The target-bucket table has at most two rows per group.  When the caller can
 bound the number of groups (categories), it is broadcast and step 3 filters
@@ -32,23 +32,17 @@ from custlens.functions.numeric import log_bucket, nan_to_null
 BROADCAST_MAX_ROWS = 200_000
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",
-                 max_groups: int | None = None, per_octave: int = 256) -> DataFrame:
-    """``keys..., out`` with the exact median of ``value`` per group (NULLs and NaN
-    skipped; groups without values are absent).
+def _targets(base: DataFrame, keys: list[str], per_octave: int):
+    """Histogram ``(keys, _b, _v) -> _c`` and the target buckets holding the
+    middle ranks ``(keys, _b, _lo, _r1, _r2)``.
 
-    ``max_groups``: a proven upper bound on the number of groups; when small
-    enough the target-bucket table is broadcast.
+    The rows are hash-partitioned once by ``(keys, bucket)``: the histogram,
+    the per-bucket counts, the join with the targets and the ranking window
+    all reuse that partitioning, so the rows are shuffled exactly once and a
+    big group is spread over its buckets.
     """
-    keys = list(keys)
-    v: Column = F.col(value) if isinstance(value, str) else value
-    cond = F.col("_v").isNotNull()
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    base = df.select(*keys, nan_to_null(v).alias("_v")).where(cond)
-    hist = (base.withColumn("_b", log_bucket("_v", per_octave))
-                .groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_c")))
-
+    b = base.withColumn("_b", log_bucket("_v", per_octave)).repartition(*keys, "_b")
+    hist = b.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
     per_bucket = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     in_order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding,
                                                                     Window.currentRow)
@@ -64,19 +58,46 @@ def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",
                .where(((F.col("_lo") < F.col("_r1")) & (F.col("_r1") <= F.col("_hi")))
                       | ((F.col("_lo") < F.col("_r2")) & (F.col("_r2") <= F.col("_hi"))))
                .drop("_hi"))
+    return hist, targets
+
+
+def _ranked(base: DataFrame, keys: list[str], max_groups: int | None, per_octave: int) -> DataFrame:
+    hist, targets = _targets(base, keys, per_octave)
     if max_groups is not None and 2 * max_groups <= BROADCAST_MAX_ROWS:
         targets = F.broadcast(targets)
-
     ranked = hist.join(targets, [*keys, "_b"])
     upto = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding,
                                                                        Window.currentRow)
-    ranked = ranked.withColumn("_cum", F.col("_lo") + F.sum("_c").over(upto))
+    return ranked.withColumn("_cum", F.col("_lo") + F.sum("_c").over(upto))
+
+
+def _at(rank: str, cond: Column | None = None) -> Column:
     start = F.col("_cum") - F.col("_c")
+    hit = (start < F.col(rank)) & (F.col(rank) <= F.col("_cum"))
+    if cond is not None:
+        hit = hit & cond
+    return F.max(F.when(hit, F.col("_v")))
+
+
+def _base(df: DataFrame, keys: list[str], value) -> DataFrame:
+    v: Column = F.col(value) if isinstance(value, str) else value
+    cond = F.col("_v").isNotNull()
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return df.select(*keys, nan_to_null(v).alias("_v")).where(cond)
+
 
-    def at(rank: str) -> Column:
-        return F.max(F.when((start < F.col(rank)) & (F.col(rank) <= F.col("_cum")), F.col("_v")))
+def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",
+                 max_groups: int | None = None, per_octave: int = 256) -> DataFrame:
+    """``keys..., out`` with the exact median of ``value`` per group (NULLs and NaN
+    skipped; groups without values are absent).
 
-    picked = ranked.groupBy(*keys).agg(at("_r1").alias("_v1"), at("_r2").alias("_v2"))
+    ``max_groups``: a proven upper bound on the number of groups; when small
+    enough the target-bucket table is broadcast.
+    """
+    keys = list(keys)
+    ranked = _ranked(_base(df, keys, value), keys, max_groups, per_octave)
+    picked = ranked.groupBy(*keys).agg(_at("_r1").alias("_v1"), _at("_r2").alias("_v2"))
     return picked.select(*keys, ((F.col("_v1") + F.col("_v2")) / 2).alias(out))
 
 
@@ -86,14 +107,20 @@ def exact_medians_by_part(df: DataFrame, key: str, parts: dict[str, tuple[Column
 
     ``parts``: ``out_name -> (value, condition)``; each row contributes its value
     to every part whose condition holds.  Returns one row per key with one
-    column per part.
+    column per part (the final pick aggregates straight to one row per key).
     """
+    names = list(parts)
     entries = F.array(*[
-        F.when(cond, F.struct(F.lit(name).alias("p"), val.cast("double").alias("x")))
-        for name, (val, cond) in parts.items()])
+        F.when(cond, F.struct(F.lit(i).alias("p"), val.cast("double").alias("x")))
+        for i, (val, cond) in enumerate(parts.values())])
     long = (df.select(key, F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
               .select(key, F.col("e.p").alias("_part"), F.col("e.x").alias("_x")))
     groups = None if max_groups is None else max_groups * len(parts)
-    med = exact_median(long, [key, "_part"], "_x", "_m", max_groups=groups, per_octave=per_octave)
-    return med.groupBy(key).agg(*[F.max(F.when(F.col("_part") == name, F.col("_m"))).alias(name)
-                                  for name in parts])
+    ranked = _ranked(_base(long, [key, "_part"], "_x"), [key, "_part"], groups, per_octave)
+    aggs = []
+    for i, name in enumerate(names):
+        is_part = F.col("_part") == i
+        aggs += [_at("_r1", is_part).alias(f"_a{i}"), _at("_r2", is_part).alias(f"_b{i}")]
+    picked = ranked.groupBy(key).agg(*aggs)
+    return picked.select(key, *[((F.col(f"_a{i}") + F.col(f"_b{i}")) / 2).alias(name)
+                                for i, name in enumerate(names)])

@@ -57,7 +57,7 @@ class _Plan:
     def __init__(self) -> None:
         self.aggs: dict[str, Column] = {}
         self.hist_cols: dict[str, Column] = {}
-        self.hist_wanted: dict[str, dict[str, str]] = {}
+        self.hist_wanted: dict[str, list[tuple[str, str]]] = {}
         self.medians: dict[str, tuple[Column, Column]] = {}
         self.order: list[str] = []
         self.fill_zero: set[str] = set()
@@ -68,7 +68,7 @@ class _Plan:
 
     def hist(self, col_name: str, col: Column, stat: str, out: str) -> None:
         self.hist_cols[col_name] = col
-        self.hist_wanted.setdefault(col_name, {})[stat] = out
+        self.hist_wanted.setdefault(col_name, []).append((stat, out))
         self.order.append(out)
 
     def median(self, out: str, value: Column, cond: Column) -> None:

@@ -208,3 +208,59 @@ from a group by model"""),
         ("pm", "select id, model, avg(score) as m from scores group by id, model")], """
 select id, round(avg(m), 4) as score from pm group by id"""),
 })
+
+
+def _gap_ctes(source: str, tm: str, suffix: str, name: str) -> list[tuple[str, str]]:
+    return [(f"{name}_g", f"""
+select id, date_sub('day', lag({tm}) over (partition by id order by {tm}), {tm}) as days
+from {source} where {tm} is not null"""), (name, f"""
+select id, max(days) as max_day_diff{suffix}, avg(days) as mean_day_diff{suffix},
+       round(stddev_samp(days), 4) as std_day_diff{suffix}
+from {name}_g group by id""")]
+
+
+def _customer_features_sql() -> str:
+    from custlens.operators.profile import FAMILIES
+    prof, prof_cols = profile_ctes(list(FAMILIES))
+    base = ("b", """
+select id, flag, split, seg_cd, nat_cd, buy_a, buy_b, buy_c,
+       buy_a * buy_b as rate_ab, buy_a * buy_c as rate_ac, buy_b * buy_c as rate_bc,
+       buy_sum, buy_a / (buy_sum + 1) as buy_a_ratio, buy_b / (buy_sum + 1) as buy_b_ratio,
+       buy_c / (buy_sum + 1) as buy_c_ratio
+from (select *, coalesce(buy_a, 0) + coalesce(buy_b, 0) + coalesce(buy_c, 0) as buy_sum from tag)""")
+    woe = [("wtr", "select * from tag where split = 'train'"),
+           ("wtot", "select sum(flag) as pos, count(*) - sum(flag) as neg from wtr"),
+           ("wcls", "select seg_cd as v, sum(flag) as pos_c, count(*) as n_c from wtr "
+                    "where seg_cd is not null group by seg_cd"),
+           ("wmap", "select v, ln((pos_c / (select pos from wtot)) * ((select neg from wtot) / "
+                    "(n_c - pos_c))) as woe from wcls")]
+    cats = ["seg_cd", "nat_cd"]
+    unions = " union all ".join(
+        f"select '{c}' as n, cast(b.{c} as varchar) as v, mx.amt from mx join b on b.id = mx.id "
+        f"where b.{c} is not null" for c in cats)
+    money = [("mx", "select id, amt from trd"), ("mlng", unions), ("menc", """
+select n, v,
+       round(median(amt), 4) as m_all, coalesce(round(sum(amt), 2), 0) as s_all,
+       round(median(case when amt > 0 then amt end), 4) as m_pos,
+       round(sum(case when amt > 0 then amt end), 2) as s_pos,
+       round(median(case when amt < 0 then amt end), 4) as m_neg,
+       round(sum(case when amt < 0 then amt end), 2) as s_neg
+from mlng group by n, v""")]
+    sel = ["b.*"] + [f"p.{c}" for c in prof_cols]
+    sel += [f"s1.{c}_day_diff" for c in ("max", "mean", "std")]
+    sel += [f"s2.{c}_day_diff2" for c in ("max", "mean", "std")]
+    sel.append("round(wmap.woe, 4) as seg_cd_crossentroy")
+    joins = (" left join p on p.id = b.id left join s1 on s1.id = b.id"
+             " left join s2 on s2.id = b.id left join wmap on wmap.v = b.seg_cd")
+    for i, c in enumerate(cats):
+        a = f"e{i}"
+        sel += [f"{a}.m_all as {c}_cny_median", f"{a}.s_all as {c}_cny_sum",
+                f"{a}.m_pos as {c}pos_cny_median", f"{a}.s_pos as {c}pos_cny_sum",
+                f"{a}.m_neg as {c}neg_cny_median", f"{a}.s_neg as {c}neg_cny_sum"]
+        joins += f" left join menc {a} on {a}.n = '{c}' and {a}.v = cast(b.{c} as varchar)"
+    ctes = ([base] + prof + _gap_ctes("trd", "trx_tm", "", "s1")
+            + _gap_ctes("beh", "page_tm", "2", "s2") + woe + money)
+    return with_views(["trd", "tag", "beh"], ctes, "select " + ", ".join(sel) + " from b" + joins)
+
+
+ORACLE["customer_features"] = _customer_features_sql()

@@ -229,7 +229,20 @@ def gbt_oof(spark, sf_dir):
     return scores
 
 
+def customer_features(spark, sf_dir):
+    """The whole feature step: one wide row per customer."""
+    from custlens.plans.features import build_features
+    users = fx.tag(spark, sf_dir)
+    out = build_features(
+        users, fx.trd(spark, sf_dir), fx.beh(spark, sf_dir), categorical=FIXTURE_CATS,
+        products={"rate_ab": ("buy_a", "buy_b"), "rate_ac": ("buy_a", "buy_c"),
+                  "rate_bc": ("buy_b", "buy_c")},
+        ratio_cols=["buy_a", "buy_b", "buy_c"], ratio_sum="buy_sum")
+    return tidy(out)
+
+
 QUERIES.update({
+    "customer_features": customer_features,
     "member_fill": member_fill,
     "product_features": product_features,
     "ratio_features": ratio_features,
