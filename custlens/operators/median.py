@@ -17,6 +17,13 @@ NumPy) and splits each group by value bucket instead:
 The target-bucket table has at most two rows per group.  When the caller can
 bound the number of groups (categories), it is broadcast and step 3 filters
 the histogram map-side; otherwise it is joined with a shuffle.
+
+Only *hot* groups need this.  A cheap count per group (map-side partial
+aggregation of the keys only) finds the groups above ``hot_rows`` rows; the
+other groups use the built-in exact ``median``, whose per-group value map is
+then bounded by ``hot_rows``.  The hot-key list (at most total rows /
+``hot_rows`` entries) is broadcast after its size is checked; with no hot
+group the distributed path is not planned at all.
 """
 
 from __future__ import annotations
@@ -30,6 +37,8 @@ from custlens.functions.numeric import log_bucket, nan_to_null
 
 # Target rows (keys, bucket, offset, two ranks) are ~50 bytes: 200k rows ~ 10 MB.
 BROADCAST_MAX_ROWS = 200_000
+# Groups above this many rows take the distributed path.
+HOT_GROUP_ROWS = 500_000
 
 
 def _targets(base: DataFrame, keys: list[str], per_octave: int):
@@ -87,27 +96,47 @@ def _base(df: DataFrame, keys: list[str], value) -> DataFrame:
     return df.select(*keys, nan_to_null(v).alias("_v")).where(cond)
 
 
+def _hot_keys(base: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame | None, int]:
+    """Keys of groups with more than ``hot_rows`` rows, and how many there are."""
+    hot = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > hot_rows).select(*keys))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return None, 0
+    return (F.broadcast(hot) if n_hot <= BROADCAST_MAX_ROWS else hot), n_hot
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",
-                 max_groups: int | None = None, per_octave: int = 256) -> DataFrame:
+                 max_groups: int | None = None, per_octave: int = 256,
+                 hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """``keys..., out`` with the exact median of ``value`` per group (NULLs and NaN
     skipped; groups without values are absent).
 
     ``max_groups``: a proven upper bound on the number of groups; when small
-    enough the target-bucket table is broadcast.
+    enough the target-bucket table of the hot groups is broadcast.
     """
     keys = list(keys)
-    ranked = _ranked(_base(df, keys, value), keys, max_groups, per_octave)
+    base = _base(df, keys, value)
+    hot, n_hot = _hot_keys(base, keys, hot_rows)
+    if hot is None:
+        return base.groupBy(*keys).agg(F.median("_v").alias(out))
+    small = (base.join(hot, keys, "left_anti")
+                 .groupBy(*keys).agg(F.median("_v").alias(out)))
+    ranked = _ranked(base.join(hot, keys, "left_semi"), keys,
+                     n_hot if max_groups is None else min(max_groups, n_hot), per_octave)
     picked = ranked.groupBy(*keys).agg(_at("_r1").alias("_v1"), _at("_r2").alias("_v2"))
-    return picked.select(*keys, ((F.col("_v1") + F.col("_v2")) / 2).alias(out))
+    big = picked.select(*keys, ((F.col("_v1") + F.col("_v2")) / 2).alias(out))
+    return small.unionByName(big)
 
 
 def exact_medians_by_part(df: DataFrame, key: str, parts: dict[str, tuple[Column, Column]],
-                          max_groups: int | None = None, per_octave: int = 256) -> DataFrame:
+                          max_groups: int | None = None, per_octave: int = 256,
+                          hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Several medians per ``key`` in one pass.
 
     ``parts``: ``out_name -> (value, condition)``; each row contributes its value
-    to every part whose condition holds.  Returns one row per key with one
-    column per part (the final pick aggregates straight to one row per key).
+    to every part whose condition holds.  Returns one row per key (that has
+    any value) with one column per part.
     """
     names = list(parts)
     entries = F.array(*[
@@ -115,12 +144,23 @@ def exact_medians_by_part(df: DataFrame, key: str, parts: dict[str, tuple[Column
         for i, (val, cond) in enumerate(parts.values())])
     long = (df.select(key, F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
               .select(key, F.col("e.p").alias("_part"), F.col("e.x").alias("_x")))
-    groups = None if max_groups is None else max_groups * len(parts)
-    ranked = _ranked(_base(long, [key, "_part"], "_x"), [key, "_part"], groups, per_octave)
+    base = _base(long, [key, "_part"], "_x")
+    hot, n_hot = _hot_keys(base, [key], hot_rows)
+
+    def builtin(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(*[F.median(F.when(F.col("_part") == i, F.col("_v"))).alias(n)
+                                       for i, n in enumerate(names)])
+
+    if hot is None:
+        return builtin(base)
+    small = builtin(base.join(hot, [key], "left_anti"))
+    groups = n_hot * len(parts) if max_groups is None else min(max_groups, n_hot) * len(parts)
+    ranked = _ranked(base.join(hot, [key], "left_semi"), [key, "_part"], groups, per_octave)
     aggs = []
-    for i, name in enumerate(names):
+    for i in range(len(names)):
         is_part = F.col("_part") == i
         aggs += [_at("_r1", is_part).alias(f"_a{i}"), _at("_r2", is_part).alias(f"_b{i}")]
     picked = ranked.groupBy(key).agg(*aggs)
-    return picked.select(key, *[((F.col(f"_a{i}") + F.col(f"_b{i}")) / 2).alias(name)
-                                for i, name in enumerate(names)])
+    big = picked.select(key, *[((F.col(f"_a{i}") + F.col(f"_b{i}")) / 2).alias(name)
+                               for i, name in enumerate(names)])
+    return small.unionByName(big)

@@ -165,16 +165,24 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
 
     t = trd if prepared else prepare_transactions(trd, **columns)
     p = _build_plan(families, money_scale)
-    # Aggregates that are shared by several features are named once.
-    aggs = {n: e for n, e in p.aggs.items()}
-    out = t.groupBy("id").agg(F.count(F.lit(1)).alias("_rows"),
-                              *[e.alias(n) for n, e in aggs.items()])
+    parts = []
+    if p.hist_cols and not p.aggs:
+        # Count one constant per row too, so every customer with a
+        # transaction is present even if all its counted values are NULL.
+        p.hist_cols["_any"] = F.lit(1)
+        p.hist_wanted["_any"] = []
+    if p.aggs or not p.hist_cols:
+        parts.append(t.groupBy("id").agg(*[e.alias(n) for n, e in p.aggs.items()]))
     if p.hist_cols:
-        hist = value_stats(t, "id", p.hist_cols, p.hist_wanted)
-        out = out.join(hist, "id", "left")
+        parts.append(value_stats(t, "id", p.hist_cols, p.hist_wanted))
     if p.medians:
-        med = exact_medians_by_part(t, "id", p.medians)
-        out = out.join(med, "id", "left")
+        parts.append(exact_medians_by_part(t, "id", p.medians))
+    # The first part holds every customer with a transaction (the wide
+    # aggregate, or the histogram whose per-value count covers every row);
+    # the others are joined to it.  All parts are hash-partitioned by id.
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part, "id", "left")
     cols = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in p.fill_zero else F.col(c)
             for c in dict.fromkeys(p.order)]
     return out.select("id", *cols)

@@ -15,13 +15,21 @@ from custlens.operators.temporal import bucket_counts_rowwise as _bucket_rows
 from custlens.operators.temporal import gap_stats, with_calendar_parts
 from custlens.plans.tidy import tidy
 from custlens.sources import fixtures as fx
+from custlens.sources.materialize import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined transactions, written once to the checkpoint folder: the
+    plans below read them in several branches, which then scan parquet
+    instead of repeating the lineitem-orders sort-merge join."""
+    return materialize(fx.trd(spark, sf_dir), "trd")
+
+
 def _customer_profile(spark: SparkSession, sf_dir: str, families: list[str]) -> DataFrame:
     users = fx.tag(spark, sf_dir).select("id")
-    prof = transaction_profile(fx.trd(spark, sf_dir), families)
+    prof = transaction_profile(_transactions(spark, sf_dir), families)
     return tidy(attach(users, prof))
 
 
@@ -52,7 +60,7 @@ def bucket_extremes(spark, sf_dir):
 
 def trx_gap_stats(spark, sf_dir):
     users = fx.tag(spark, sf_dir).select("id")
-    return tidy(attach(users, gap_stats(fx.trd(spark, sf_dir), "id", "trx_tm")))
+    return tidy(attach(users, gap_stats(_transactions(spark, sf_dir), "id", "trx_tm")))
 
 
 def page_gap_stats(spark, sf_dir):
@@ -65,7 +73,7 @@ def calendar_parts(spark, sf_dir):
 
 
 def bucket_counts_rowwise(spark, sf_dir):
-    t = fx.trd(spark, sf_dir).select("id", "l_orderkey", "l_linenumber", "trx_tm")
+    t = _transactions(spark, sf_dir).select("id", "l_orderkey", "l_linenumber", "trx_tm")
     return tidy(_bucket_rows(t))
 
 
@@ -133,14 +141,14 @@ def woe_encode(spark, sf_dir):
 
 def category_money(spark, sf_dir):
     users = fx.tag(spark, sf_dir).select("id", "split", *FIXTURE_CATS)
-    return tidy(encode.category_money(users, fx.trd(spark, sf_dir), FIXTURE_CATS))
+    return tidy(encode.category_money(users, _transactions(spark, sf_dir), FIXTURE_CATS))
 
 
 def mode_money(spark, sf_dir):
     """Money encodings of the customers' mode columns; the modes are dropped."""
     ensure_checkpoint_dir(spark)
     users = fx.tag(spark, sf_dir).select("id", "split")
-    trd = fx.trd(spark, sf_dir)
+    trd = _transactions(spark, sf_dir)
     modes = transaction_profile(trd, ["codes", "calendar"]).select("id", *MODE_COLS)
     # Cut the lineage: the per-customer modes feed a cardinality check and the
     # encoding join, so they are computed once and kept in the checkpoint dir.
@@ -159,7 +167,7 @@ def importance_select(spark, sf_dir):
 
 
 def token_sequences(spark, sf_dir):
-    t = fx.trd(spark, sf_dir)
+    t = _transactions(spark, sf_dir)
     return tidy(sequence.token_sequences(t, "id", "cod2", ["trx_tm", "l_orderkey", "l_linenumber"]))
 
 
@@ -171,7 +179,7 @@ def mean_vector(spark, sf_dir):
 
 def embed_customers(spark, sf_dir):
     """Word2Vec over the customers' token chunks, mean vector per customer."""
-    t = fx.trd(spark, sf_dir)
+    t = _transactions(spark, sf_dir)
     seqs = sequence.token_sequences(t, "id", "cod2", ["trx_tm", "l_orderkey", "l_linenumber"])
     m = sequence.fit_embedding(seqs)
     vecs = sequence.token_mean_vectors(t, "id", "cod2", sequence.vocabulary(m), dim=6)
@@ -213,7 +221,7 @@ def gbt_oof(spark, sf_dir):
     scoring customers per fold."""
     ensure_checkpoint_dir(spark)
     users = fx.tag(spark, sf_dir)
-    trd = fx.trd(spark, sf_dir)
+    trd = _transactions(spark, sf_dir)
     prof = transaction_profile(trd, ["amount", "signed", "calendar", "flag1", "codes"])
     feats = users.join(prof, "id", "left")
     train = clean.mark_member(feats.where(F.col("split") == "train"), trd.select("id"), "id",
@@ -234,7 +242,7 @@ def customer_features(spark, sf_dir):
     from custlens.plans.features import build_features
     users = fx.tag(spark, sf_dir)
     out = build_features(
-        users, fx.trd(spark, sf_dir), fx.beh(spark, sf_dir), categorical=FIXTURE_CATS,
+        users, _transactions(spark, sf_dir), fx.beh(spark, sf_dir), categorical=FIXTURE_CATS,
         products={"rate_ab": ("buy_a", "buy_b"), "rate_ac": ("buy_a", "buy_c"),
                   "rate_bc": ("buy_b", "buy_c")},
         ratio_cols=["buy_a", "buy_b", "buy_c"], ratio_sum="buy_sum")

@@ -43,14 +43,17 @@ def trd(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem joins orders on the order key (both sides large: sort-merge
     join on ``l_orderkey``) and part on the part key; the optimizer or AQE
     turns the part join into a broadcast only when its measured size is under
-    the broadcast threshold.
+    the broadcast threshold, else it is a shuffle join.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+    # Both sides are fact-sized at scale: co-partition them on the order key
+    # (sort-merge join).  The hint keeps that plan at small scale too, where
+    # the shuffle also spreads a single-row-group scan over all cores.
+    j = (li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
            .join(p, li.l_partkey == p.p_partkey))
     rf = F.col("l_returnflag")
     return j.select(

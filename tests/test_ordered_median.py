@@ -27,28 +27,34 @@ def test_exact_median_matches_numpy(spark, rows):
     rows = rows + [(0, v) for _, v in rows]
     pdf = pd.DataFrame(rows, columns=["k", "v"])
     df = _frame(spark, pdf, "k int, v double")
-    got = {r["k"]: r["median"] for r in exact_median(df, ["k"], "v", per_octave=2).collect()}
     want = pdf.groupby("k")["v"].median().to_dict()
-    assert set(got) == set(want)
-    for k in want:
-        assert np.isclose(got[k], want[k], rtol=1e-12, atol=1e-9), (k, got[k], want[k])
+    for hot_rows in (4, 10**9):  # distributed path for the big groups / built-in only
+        got = {r["k"]: r["median"] for r in
+               exact_median(df, ["k"], "v", per_octave=2, hot_rows=hot_rows).collect()}
+        assert set(got) == set(want)
+        for k in want:
+            assert np.isclose(got[k], want[k], rtol=1e-12, atol=1e-9), (k, got[k], want[k])
 
 
 def test_exact_median_nulls_nan_and_broadcast(spark):
     pdf = pd.DataFrame({"k": [1, 1, 1, 2, 2, 3], "v": [1.0, None, 3.0, float("nan"), 5.0, None]})
     df = _frame(spark, pdf, "k int, v double")
     for bound in (None, 10):
-        got = {r["k"]: r["median"] for r in exact_median(df, ["k"], "v", max_groups=bound).collect()}
-        assert got == {1: 2.0, 2: 5.0}
+        for hot_rows in (0, 1, 10**9):
+            got = {r["k"]: r["median"] for r in
+                   exact_median(df, ["k"], "v", max_groups=bound, hot_rows=hot_rows).collect()}
+            assert got == {1: 2.0, 2: 5.0}
 
 
 def test_medians_by_part(spark):
     pdf = pd.DataFrame({"id": [1] * 6 + [2] * 3, "a": [5.0, -1.0, 3.0, -7.0, 2.0, 9.0, 1.0, 2.0, 3.0]})
     df = _frame(spark, pdf, "id int, a double")
     a = F.col("a")
-    got = exact_medians_by_part(df, "id", {"all": (a, a.isNotNull()), "pos": (a, a > 0),
-                                           "neg": (a, a < 0)}).orderBy("id").collect()
-    assert [tuple(r) for r in got] == [(1, 2.5, 4.0, -4.0), (2, 2.0, 2.0, None)]
+    for hot_rows in (0, 4, 10**9):
+        got = exact_medians_by_part(df, "id", {"all": (a, a.isNotNull()), "pos": (a, a > 0),
+                                               "neg": (a, a < 0)}, hot_rows=hot_rows)
+        assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, 2.5, 4.0, -4.0),
+                                                                    (2, 2.0, 2.0, None)]
 
 
 def test_running_sums_and_row_numbers(spark):
