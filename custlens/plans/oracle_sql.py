@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from custlens.plans.oracle import gap_sql, per_customer_profile_sql
+from custlens.plans.oracle import gap_sql, per_customer_profile_sql, profile_ctes
 from custlens.plans.oracle_views import with_views
 
 ORACLE: dict[str, str] = {
@@ -30,8 +30,6 @@ from t"""),
 }
 
 
-from custlens.plans.oracle import profile_ctes  # noqa: E402
-
 SENT = "(chr(92) || 'N', '31', '30')"
 
 
