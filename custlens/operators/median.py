@@ -6,24 +6,25 @@ transactions would put every distinct amount of that half into one map.  This
 operator keeps the answer exact (mean of the two middle values, as pandas and
 NumPy) and splits each group by value bucket instead:
 
-1. the rows are hash-partitioned by ``(keys, bucket)`` (the only shuffle of
-   the rows) and counted per distinct value;
-2. per ``(keys, bucket)`` counts and, in bucket order, the count before each
-   bucket (one small row per bucket) locate the one or two buckets that hold
-   the middle ranks;
-3. only the histogram rows of those target buckets are ranked, in a window
-   partitioned by ``(keys, bucket)``, which is the partitioning of step 1.
+1. per ``(keys, bucket)`` row counts and, in bucket order, the count before
+   each bucket (one small row per bucket) locate the one or two buckets that
+   hold the middle ranks;
+2. only the rows of those target buckets are counted per distinct value and
+   ranked, in a window partitioned by ``(keys, bucket)``.
 
 The target-bucket table has at most two rows per group.  When the caller can
-bound the number of groups (categories), it is broadcast and step 3 filters
-the histogram map-side; otherwise it is joined with a shuffle.
+bound the number of groups (categories), it is broadcast: the counts of step
+1 are map-side combined and the rows are filtered map-side, so the rows are
+never shuffled.  Otherwise the rows are hash-partitioned once by
+``(keys, bucket)`` and every later step reuses that partitioning.
 
 Only *hot* groups need this.  A cheap count per group (map-side partial
 aggregation of the keys only) finds the groups above ``hot_rows`` rows; the
 other groups use the built-in exact ``median``, whose per-group value map is
 then bounded by ``hot_rows``.  The hot-key list (at most total rows /
-``hot_rows`` entries) is broadcast after its size is checked; with no hot
-group the distributed path is not planned at all.
+``hot_rows`` entries) is broadcast after its size is checked, and so is the
+hot groups' target-bucket table; with no hot group the distributed path is
+not planned at all.
 """
 
 from __future__ import annotations
@@ -41,43 +42,47 @@ BROADCAST_MAX_ROWS = 200_000
 HOT_GROUP_ROWS = 500_000
 
 
-def _targets(base: DataFrame, keys: list[str], per_octave: int):
-    """Histogram ``(keys, _b, _v) -> _c`` and the target buckets holding the
-    middle ranks ``(keys, _b, _lo, _r1, _r2)``.
-
-    The rows are hash-partitioned once by ``(keys, bucket)``: the histogram,
-    the per-bucket counts, the join with the targets and the ranking window
-    all reuse that partitioning, so the rows are shuffled exactly once and a
-    big group is spread over its buckets.
-    """
-    b = base.withColumn("_b", log_bucket("_v", per_octave)).repartition(*keys, "_b")
-    hist = b.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    per_bucket = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+def _target_buckets(per_bucket: DataFrame, keys: list[str]) -> DataFrame:
+    """From ``(keys, _b, _bc)`` counts: the one or two buckets holding the middle
+    ranks, as ``(keys, _b, _lo, _r1, _r2)`` (``_lo`` = rows before the bucket)."""
     in_order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding,
                                                                     Window.currentRow)
     whole = Window.partitionBy(*keys)
-    per_bucket = per_bucket.select(*keys, "_b", "_bc",
-                                   F.sum("_bc").over(in_order).alias("_hi"),
-                                   F.sum("_bc").over(whole).alias("_n"))
+    pb = per_bucket.select(*keys, "_b", "_bc", F.sum("_bc").over(in_order).alias("_hi"),
+                           F.sum("_bc").over(whole).alias("_n"))
     lo = F.col("_hi") - F.col("_bc")
     r1 = F.floor((F.col("_n") + 1) / 2)          # lower middle rank (1-based)
     r2 = F.floor(F.col("_n") / 2) + 1            # upper middle rank
-    targets = (per_bucket
-               .select(*keys, "_b", "_hi", lo.alias("_lo"), r1.alias("_r1"), r2.alias("_r2"))
-               .where(((F.col("_lo") < F.col("_r1")) & (F.col("_r1") <= F.col("_hi")))
-                      | ((F.col("_lo") < F.col("_r2")) & (F.col("_r2") <= F.col("_hi"))))
-               .drop("_hi"))
-    return hist, targets
+    return (pb.select(*keys, "_b", "_hi", lo.alias("_lo"), r1.alias("_r1"), r2.alias("_r2"))
+              .where(((F.col("_lo") < F.col("_r1")) & (F.col("_r1") <= F.col("_hi")))
+                     | ((F.col("_lo") < F.col("_r2")) & (F.col("_r2") <= F.col("_hi"))))
+              .drop("_hi"))
 
 
 def _ranked(base: DataFrame, keys: list[str], max_groups: int | None, per_octave: int) -> DataFrame:
-    hist, targets = _targets(base, keys, per_octave)
+    """Histogram rows of the target buckets with their running count ``_cum``.
+
+    Few groups (``max_groups`` bounded): per-bucket counts are a map-side
+    combined aggregate, the target table is broadcast and filters the rows
+    map-side, so only target-bucket rows are ever shuffled.  Many groups: the
+    rows are hash-partitioned once by ``(keys, bucket)`` and the histogram,
+    per-bucket counts, target join and ranking window all reuse it.
+    """
+    b = base.withColumn("_b", log_bucket("_v", per_octave))
     if max_groups is not None and 2 * max_groups <= BROADCAST_MAX_ROWS:
-        targets = F.broadcast(targets)
-    ranked = hist.join(targets, [*keys, "_b"])
+        per_bucket = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+        targets = F.broadcast(_target_buckets(per_bucket, keys))
+        hist = (b.join(targets, [*keys, "_b"])
+                 .groupBy(*keys, "_b", "_v", "_lo", "_r1", "_r2")
+                 .agg(F.count(F.lit(1)).alias("_c")))
+    else:
+        b = b.repartition(*keys, "_b")
+        counted = b.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        per_bucket = counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+        hist = counted.join(_target_buckets(per_bucket, keys), [*keys, "_b"])
     upto = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding,
                                                                        Window.currentRow)
-    return ranked.withColumn("_cum", F.col("_lo") + F.sum("_c").over(upto))
+    return hist.withColumn("_cum", F.col("_lo") + F.sum("_c").over(upto))
 
 
 def _at(rank: str, cond: Column | None = None) -> Column:
@@ -117,6 +122,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",
     """
     keys = list(keys)
     base = _base(df, keys, value)
+    if max_groups is not None and 2 * max_groups <= BROADCAST_MAX_ROWS:
+        # Few, possibly huge groups (categories): the broadcast bucket path
+        # handles every group without shuffling the rows (and measured faster
+        # than the built-in median's per-group value maps).
+        return _pick(_ranked(base, keys, max_groups, per_octave), keys, out)
     hot, n_hot = _hot_keys(base, keys, hot_rows)
     if hot is None:
         return base.groupBy(*keys).agg(F.median("_v").alias(out))
@@ -124,9 +134,12 @@ def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",
                  .groupBy(*keys).agg(F.median("_v").alias(out)))
     ranked = _ranked(base.join(hot, keys, "left_semi"), keys,
                      n_hot if max_groups is None else min(max_groups, n_hot), per_octave)
+    return small.unionByName(_pick(ranked, keys, out))
+
+
+def _pick(ranked: DataFrame, keys: list[str], out: str) -> DataFrame:
     picked = ranked.groupBy(*keys).agg(_at("_r1").alias("_v1"), _at("_r2").alias("_v2"))
-    big = picked.select(*keys, ((F.col("_v1") + F.col("_v2")) / 2).alias(out))
-    return small.unionByName(big)
+    return picked.select(*keys, ((F.col("_v1") + F.col("_v2")) / 2).alias(out))
 
 
 def exact_medians_by_part(df: DataFrame, key: str, parts: dict[str, tuple[Column, Column]],

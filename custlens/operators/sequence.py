@@ -41,8 +41,14 @@ def token_sequences(events: DataFrame, key: str, token: str, order: Sequence[str
 
 
 def fit_embedding(sequences: DataFrame, size: int = 6, window: int = 5, min_count: int = 1,
-                  seed: int = 999, partitions: int = 4, max_iter: int = 1) -> Word2VecModel:
-    """Skip-gram ``Word2Vec`` over the token chunks (``tokens`` column)."""
+                  seed: int = 999, partitions: int | None = None, max_iter: int = 1) -> Word2VecModel:
+    """Skip-gram ``Word2Vec`` over the token chunks (``tokens`` column).
+
+    Spark trains one model copy per partition and averages them, so the
+    number of training partitions follows the cluster's parallelism (default)
+    instead of a constant that would leave most executors idle at scale."""
+    if partitions is None:
+        partitions = max(1, sequences.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed,
                    numPartitions=partitions, maxIter=max_iter, maxSentenceLength=MAX_LEN,
                    inputCol="tokens", outputCol="_vec")

@@ -16,9 +16,14 @@ from pyspark.sql import DataFrame
 from custlens.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+def stage(df: DataFrame, name: str) -> str:
+    """Write ``df`` as parquet under the checkpoint folder; return the path."""
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{root}/custlens-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the checkpoint folder and scan it back."""
+    return df.sparkSession.read.parquet(stage(df, name))

@@ -28,9 +28,11 @@ def test_exact_median_matches_numpy(spark, rows):
     pdf = pd.DataFrame(rows, columns=["k", "v"])
     df = _frame(spark, pdf, "k int, v double")
     want = pdf.groupby("k")["v"].median().to_dict()
-    for hot_rows in (4, 10**9):  # distributed path for the big groups / built-in only
+    # distributed path for the big groups / built-in only / broadcast bucket path
+    for hot_rows, bound in ((4, None), (10**9, None), (10**9, 4)):
         got = {r["k"]: r["median"] for r in
-               exact_median(df, ["k"], "v", per_octave=2, hot_rows=hot_rows).collect()}
+               exact_median(df, ["k"], "v", per_octave=2, hot_rows=hot_rows,
+                            max_groups=bound).collect()}
         assert set(got) == set(want)
         for k in want:
             assert np.isclose(got[k], want[k], rtol=1e-12, atol=1e-9), (k, got[k], want[k])
