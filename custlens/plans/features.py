@@ -89,6 +89,8 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
         kept = {r["feature"] for r in
                 select.select_features(select.importance_scores(null_imp, actual_imp)).collect()}
         feats = [c for c in feats if c in kept or encode.WOE_SUFFIX in c]
+    if not feats:
+        raise ValueError("feature selection kept no column of the feature table")
     cats = [c for c in categorical if c in feats]
     train = clean.mark_member(features.where(F.col("split") == "train"), trd.select("id"),
                               "id", "has_trx")
@@ -100,9 +102,13 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
     all_scores, all_oof = None, None
     for m in model_ids:
         if m == 3 and cats:
-            enc = encode.category_money(data, trd, cats).drop(*cats)
-            m_numeric = numeric + [c for c in enc.columns if c.startswith(tuple(cats))
-                                   and c not in cats]
+            # Categories replaced by their money encodings (computed here for
+            # the ones the feature table does not carry yet).
+            money = [f"{c}{st}" for c in cats for st in encode.MONEY_STATS]
+            need = [c for c in cats if f"{c}{encode.MONEY_STATS[0]}" not in data.columns]
+            enc = encode.category_money(data, trd, need) if need else data
+            enc = enc.drop(*cats)
+            m_numeric = list(dict.fromkeys(numeric + [c for c in money if c in enc.columns]))
             s, o = model.oof_fit(enc, m_numeric, [], model_id=m, max_iter=max_iter)
         else:
             s, o = model.oof_fit(data, numeric, cats, model_id=m, max_iter=max_iter,

@@ -145,3 +145,32 @@ def test_io_roundtrip(spark):
         f.write("id,flag,age\n1,0,\\N\n2,1,31\n")
     t = io.read_customers(spark, cust, "train")
     assert dict(t.dtypes)["age"] == "string" and dict(t.dtypes)["flag"] == "int"
+
+
+def test_features_to_scores_end_to_end(spark):
+    from custlens.plans.features import build_features, score_customers
+    from custlens.sources import fixtures as fx
+    from tests.conftest import SF0001
+    users = fx.tag(spark, SF0001)
+    trd = fx.trd(spark, SF0001)
+    feats = build_features(users, trd, fx.beh(spark, SF0001), categorical=["seg_cd", "nat_cd"],
+                           woe_cols=[], embed=True)
+    assert {"w2v_0", "w2v_5", "max_day_diff2", "seg_cd_cny_median", "trx2_modev"} <= set(feats.columns)
+    blended, aucs = score_customers(feats, trd, categorical=["seg_cd", "nat_cd", "trx1_mode"],
+                                    max_iter=3)
+    b = blended.collect()
+    n_score = users.where("split = 'score'").count()
+    assert len(b) == n_score and all(0.0 <= r["score"] <= 1.0 for r in b)
+    a = aucs.collect()
+    assert sorted((r["model"], r["fold"]) for r in a) == [(m, f) for m in (1, 2, 3) for f in range(5)]
+
+
+def test_selection_that_keeps_nothing_is_an_error(spark):
+    import pytest
+    from custlens.plans.features import score_customers
+    from custlens.sources import fixtures as fx
+    from tests.conftest import SF0001
+    feats = fx.tag(spark, SF0001)
+    with pytest.raises(ValueError):
+        score_customers(feats, fx.trd(spark, SF0001), fx.imp_null(spark, SF0001),
+                        fx.imp_actual(spark, SF0001))
