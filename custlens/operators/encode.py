@@ -56,7 +56,7 @@ def _maybe_broadcast(df: DataFrame, bound: int | None) -> DataFrame:
 
 def woe_encode(users: DataFrame, cols: Sequence[str], label: str = "flag",
                split_col: str = "split", train_value: str = "train",
-               min_class: int = 100) -> DataFrame:
+               min_class: int = 100, fold_col: str | None = None) -> DataFrame:
     """Weight of evidence per category, fitted on the train rows and mapped on all
     rows as ``<c>_crossentroy``:
 
@@ -65,21 +65,33 @@ def woe_encode(users: DataFrame, cols: Sequence[str], label: str = "flag",
     Only columns whose smallest non-null class in train has more than
     ``min_class`` rows are encoded.  Where the reference gets +-inf (a class
     with no negatives or no positives) the result is NULL.
+
+    ``fold_col``: out-of-fold fitting.  A train row of fold f gets the WOE
+    fitted on the train rows of the other folds (no label leak into
+    validation); scoring rows get the WOE fitted on all train rows.  The
+    per-fold statistics are all-minus-own-fold differences of one aggregate.
     """
     train = users.where(F.col(split_col) == train_value)
-    per_class = (_unpivot_values(train, [label], cols)
-                 .groupBy("_name", "_val")
-                 .agg(F.sum(label).alias("pos_c"), F.count(F.lit(1)).alias("n_c")))
+    keep = [label] + ([fold_col] if fold_col else [])
+    long = _unpivot_values(train, keep, cols)
+    by = ["_name", "_val"] + ([fold_col] if fold_col else [])
+    per = long.groupBy(*by).agg(F.sum(label).alias("pos_c"), F.count(F.lit(1)).alias("n_c"))
+    per_class = per if not fold_col else per.groupBy("_name", "_val").agg(
+        F.sum("pos_c").alias("pos_c"), F.sum("n_c").alias("n_c"))
     guard = {r["_name"]: (r["m"], r["k"]) for r in
              per_class.groupBy("_name").agg(F.min("n_c").alias("m"),
                                              F.count(F.lit(1)).alias("k")).collect()}
     passing = [c for c in cols if c in guard and guard[c][0] > min_class]
     if not passing:
         return users
+
+    def woe(pos_c, n_c, pos, neg):
+        return F.ln(F.try_divide(pos_c, pos) * F.try_divide(neg, n_c - pos_c))
+
     pos = train.select(F.sum(label)).scalar()
     neg = train.select(F.count(F.lit(1)) - F.sum(label)).scalar()
-    woe = F.ln(F.try_divide(F.col("pos_c"), pos) * F.try_divide(neg, F.col("n_c") - F.col("pos_c")))
-    table = per_class.where(F.col("_name").isin(passing)).select("_name", "_val", woe.alias("_woe"))
+    table = per_class.where(F.col("_name").isin(passing)).select(
+        "_name", "_val", woe(F.col("pos_c"), F.col("n_c"), pos, neg).alias("_woe"))
     out = users
     for c in passing:
         enc = table.where(F.col("_name") == c).select(F.col("_val").alias(f"_k_{c}"),
@@ -87,6 +99,35 @@ def woe_encode(users: DataFrame, cols: Sequence[str], label: str = "flag",
         enc = _maybe_broadcast(enc, guard[c][1])
         out = (out.join(enc, F.col(c).cast("string") == F.col(f"_k_{c}"), "left")
                   .drop(f"_k_{c}"))
+    if not fold_col:
+        return out
+
+    # Out of fold: statistics of all train rows minus those of the row's fold.
+    folds = [r[0] for r in train.select(fold_col).distinct().collect()]
+    fold_tot = (train.groupBy(fold_col)
+                .agg(F.sum(label).alias("_fp"), F.count(F.lit(1)).alias("_fn")))
+    all_tot = per_class.where(F.col("_name").isin(passing)).withColumn(
+        fold_col, F.explode(F.array(*[F.lit(f) for f in folds])))
+    excl = (all_tot.join(per.withColumnRenamed("pos_c", "_pf").withColumnRenamed("n_c", "_nf"),
+                         ["_name", "_val", fold_col], "left")
+                   .join(F.broadcast(fold_tot), fold_col))
+    pos_x = pos - F.col("_fp")
+    neg_x = neg - (F.col("_fn") - F.col("_fp"))
+    excl = excl.select("_name", "_val", fold_col, woe(
+        F.col("pos_c") - F.coalesce(F.col("_pf"), F.lit(0)),
+        F.col("n_c") - F.coalesce(F.col("_nf"), F.lit(0)), pos_x, neg_x).alias("_woe"))
+    is_train = F.col(split_col) == train_value
+    for c in passing:
+        enc = excl.where(F.col("_name") == c).select(
+            F.col("_val").alias(f"_k_{c}"), F.col(fold_col).alias(f"_f_{c}"),
+            F.col("_woe").alias(f"_oof_{c}"))
+        enc = _maybe_broadcast(enc, guard[c][1] * len(folds))
+        cond = ((F.col(c).cast("string") == F.col(f"_k_{c}"))
+                & (F.col(fold_col) == F.col(f"_f_{c}")))
+        out = (out.join(enc, cond, "left")
+                  .withColumn(f"{c}{WOE_SUFFIX}",
+                              F.when(is_train, F.col(f"_oof_{c}")).otherwise(F.col(f"{c}{WOE_SUFFIX}")))
+                  .drop(f"_k_{c}", f"_f_{c}", f"_oof_{c}"))
     return out
 
 

@@ -109,10 +109,10 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
             enc = encode.category_money(data, trd, need) if need else data
             enc = enc.drop(*cats)
             m_numeric = list(dict.fromkeys(numeric + [c for c in money if c in enc.columns]))
-            s, o = model.oof_fit(enc, m_numeric, [], model_id=m, max_iter=max_iter)
+            s, o, _ = model.oof_fit(enc, m_numeric, [], model_id=m, max_iter=max_iter)
         else:
-            s, o = model.oof_fit(data, numeric, cats, model_id=m, max_iter=max_iter,
-                                 encoding="onehot" if m == 2 else "index")
+            s, o, _ = model.oof_fit(data, numeric, cats, model_id=m, max_iter=max_iter,
+                                    encoding="onehot" if m == 2 else "index")
         all_scores = s if all_scores is None else all_scores.unionByName(s)
         all_oof = o if all_oof is None else all_oof.unionByName(o)
     aucs = model.auc_by_group(all_oof, ["model", "fold"])

@@ -244,7 +244,7 @@ def gbt_oof(spark, sf_dir):
     numeric = [c for c, t in data.dtypes if c not in ("id", "flag", "split", "fold", "has_trx")
                and t in ("double", "bigint", "int")]
     cats = ["seg_cd", "nat_cd", "dat3_mode", "trx1_mode", "trx2_mode"]
-    scores, _ = model.oof_fit(data, numeric, cats, max_iter=10)
+    scores, _, _ = model.oof_fit(data, numeric, cats, max_iter=10)
     return scores
 
 

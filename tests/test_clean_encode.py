@@ -113,3 +113,20 @@ def test_category_money_against_pandas(spark):
             tot = users.g.map(sub.groupby("g")["amt"].sum())
             assert np.allclose(out.loc[users.id, f"g{suffix}_median"].astype(float), med, equal_nan=True)
             assert np.allclose(out.loc[users.id, f"g{suffix}_sum"].astype(float), tot.round(2), equal_nan=True)
+
+
+def test_woe_out_of_fold_matches_refit_per_fold(spark):
+    pdf = _woe_pdf(n=900, seed=4)
+    pdf["fold"] = np.arange(len(pdf)) % 3
+    out = encode.woe_encode(spark.createDataFrame(pdf), ["c"], fold_col="fold").toPandas()
+    tr = pdf[pdf.split == "train"]
+    full = encode.woe_encode(spark.createDataFrame(pdf), ["c"]).toPandas().set_index("id")
+    for f in range(3):
+        other = tr[tr.fold != f]
+        pos, neg = other.flag.sum(), len(other) - other.flag.sum()
+        g = other.groupby("c")["flag"].agg(["sum", "count"])
+        want = np.log((g["sum"] / pos) * (neg / (g["count"] - g["sum"])))
+        rows = out[(out.split == "train") & (out.fold == f)]
+        assert np.allclose(rows["c_crossentroy"].values, want.loc[rows["c"]].values, rtol=1e-12)
+    sc = out[out.split == "score"].set_index("id")
+    assert np.allclose(sc["c_crossentroy"], full.loc[sc.index, "c_crossentroy"], rtol=1e-12)

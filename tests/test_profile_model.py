@@ -174,3 +174,22 @@ def test_selection_that_keeps_nothing_is_an_error(spark):
     with pytest.raises(ValueError):
         score_customers(feats, fx.trd(spark, SF0001), fx.imp_null(spark, SF0001),
                         fx.imp_actual(spark, SF0001))
+
+
+def test_oof_fit_importance_and_onehot_limit(spark):
+    rng = np.random.default_rng(2)
+    n = 300
+    pdf = pd.DataFrame({"id": np.arange(n), "x": rng.normal(size=n),
+                        "few": rng.choice(["a", "b", "c"], n),
+                        "many": [f"v{i % 70}" for i in range(n)],
+                        "split": np.where(np.arange(n) % 6 == 0, "score", "train")})
+    pdf["flag"] = (pdf.x + (pdf.few == "a") > 0.5).astype(int)
+    pdf["fold"] = np.where(pdf.split == "train", np.arange(n) % 5, -1)
+    df = spark.createDataFrame(pdf)
+    scores, oof, imp = model.oof_fit(df, ["x"], ["few", "many"], encoding="onehot", max_iter=3)
+    assert scores.count() == 5 * (pdf.split == "score").sum()
+    assert oof.count() == (pdf.split == "train").sum()
+    got = {r["feature"]: r["importance"] for r in imp.collect()}
+    assert set(got) == {"x", "few", "many"} and abs(sum(got.values()) - 5.0) < 1e-6
+    aucs = model.auc_by_group(oof, ["model", "fold"]).collect()
+    assert len(aucs) == 5 and all(a["auc"] > 0.5 for a in aucs)
