@@ -167,6 +167,30 @@ from cls""")], """
 select cast(tag.id as bigint) as id, cast(tag.flag as bigint) as flag, tag.split, tag.seg_cd,
        tag.nat_cd, round(w.woe, 4) as seg_cd_crossentroy
 from tag left join w on w.v = tag.seg_cd"""),
+    "woe_out_of_fold": with_views(["tag"], [
+        ("u", "select *, cast(id % 5 as integer) as fold from tag"),
+        ("tr", "select * from u where split = 'train'"),
+        ("tot", "select sum(flag) as pos, count(*) - sum(flag) as neg from tr"),
+        ("ft", "select fold, sum(flag) as fp, count(*) as fn from tr group by fold"),
+        ("cls", """
+select seg_cd as v, sum(flag) as pos_c, count(*) as n_c from tr
+where seg_cd is not null group by seg_cd"""),
+        ("clf", """
+select seg_cd as v, fold, sum(flag) as pf, count(*) as nf from tr
+where seg_cd is not null group by seg_cd, fold"""),
+        ("w", """
+select v, ln((pos_c / (select pos from tot)) * ((select neg from tot) / (n_c - pos_c))) as woe
+from cls"""),
+        ("wf", """
+select cls.v, ft.fold,
+       ln(((cls.pos_c - coalesce(clf.pf, 0)) / ((select pos from tot) - ft.fp))
+          * (((select neg from tot) - (ft.fn - ft.fp))
+             / ((cls.n_c - coalesce(clf.nf, 0)) - (cls.pos_c - coalesce(clf.pf, 0))))) as woe
+from cls cross join ft left join clf on clf.v = cls.v and clf.fold = ft.fold""")], """
+select cast(u.id as bigint) as id, cast(u.flag as bigint) as flag, u.split, u.seg_cd, u.nat_cd,
+       cast(u.fold as bigint) as fold,
+       round(case when u.split = 'train' then wf.woe else w.woe end, 4) as seg_cd_crossentroy
+from u left join w on w.v = u.seg_cd left join wf on wf.v = u.seg_cd and wf.fold = u.fold"""),
     "category_money": _money_sql(["trd", "tag"], [], "tag", ["seg_cd", "nat_cd"],
                                  ["id", "split"], drop_cats=False),
     "mode_money": _mode_money_sql(),

@@ -18,7 +18,7 @@ from custlens.operators.temporal import gap_stats, with_calendar_parts
 from custlens.plans.tidy import tidy
 from custlens.session import ensure_checkpoint_dir
 from custlens.sources import fixtures as fx
-from custlens.sources.materialize import stage
+from custlens.sources.materialize import materialize, stage
 from custlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,14 @@ def woe_encode(spark, sf_dir):
     return tidy(encode.woe_encode(users, FIXTURE_CATS))
 
 
+def woe_out_of_fold(spark, sf_dir):
+    """WOE fitted out of fold for train rows (fold = id mod 5), on all train
+    rows for scoring rows."""
+    users = fx.tag(spark, sf_dir).select("id", "flag", "split", *FIXTURE_CATS) \
+        .withColumn("fold", (F.col("id") % 5).cast("int"))
+    return tidy(encode.woe_encode(users, FIXTURE_CATS, fold_col="fold"))
+
+
 def category_money(spark, sf_dir):
     users = fx.tag(spark, sf_dir).select("id", "split", *FIXTURE_CATS)
     return tidy(encode.category_money(users, _transactions(spark, sf_dir), FIXTURE_CATS))
@@ -162,8 +170,9 @@ def mode_money(spark, sf_dir):
     trd = _transactions(spark, sf_dir)
     modes = transaction_profile(trd, ["codes", "calendar"]).select("id", *MODE_COLS)
     # Cut the lineage: the per-customer modes feed a cardinality check and the
-    # encoding join, so they are computed once and kept in the checkpoint dir.
-    u = users.join(modes, "id", "left").checkpoint()
+    # encoding join, so they are computed once and written to the checkpoint
+    # folder.
+    u = materialize(users.join(modes, "id", "left"), "modes")
     res = encode.category_money(u, trd, MODE_COLS).drop(*MODE_COLS)
     return tidy(res)
 
@@ -268,6 +277,7 @@ QUERIES.update({
     "null_sentinels": null_sentinels,
     "narrow_types": narrow_types,
     "woe_encode": woe_encode,
+    "woe_out_of_fold": woe_out_of_fold,
     "category_money": category_money,
     "mode_money": mode_money,
     "importance_scores": importance_scores,
