@@ -61,6 +61,8 @@ class _Plan:
         self.medians: dict[str, tuple[Column, Column]] = {}
         self.order: list[str] = []
         self.fill_zero: set[str] = set()
+        self.derived: dict[str, Column] = {}
+        self.hidden: set[str] = set()
 
     def agg(self, name: str, expr: Column) -> None:
         self.aggs[name] = expr
@@ -75,6 +77,11 @@ class _Plan:
         self.medians[out] = (value, cond)
         self.order.append(out)
 
+    def derive(self, out: str, expr: Column) -> None:
+        """A feature computed from other outputs after the parts are joined."""
+        self.derived[out] = expr
+        self.order.append(out)
+
 
 def _build_plan(families: Iterable[str], scale: int | None) -> _Plan:
     fam = set(families)
@@ -117,10 +124,12 @@ def _build_plan(families: Iterable[str], scale: int | None) -> _Plan:
         p.agg("week_std2", F.stddev_samp(week))
         p.hist("week", week, "nunique", "week_nunique2")
         p.hist("week", week, "mode", "week_mode2")
-        p.agg("week_median2", F.median(week))
+        # The median goes to the median pass: a percentile buffer here would
+        # turn the whole wide aggregate into an object (non-codegen) aggregate.
+        p.median("week_median2", week.cast("double"), week.isNotNull())
         p.agg("week_mean2", F.avg(week))
         p.hist("week", week, "freq", "week_mode2v")
-        p.agg("week_kurl2", F.avg(week) - F.median(week))
+        p.derive("week_kurl2", F.col("week_mean2") - F.col("week_median2"))
         p.agg("week_mm2", F.max(week) - F.min(week))
         p.hist("weekday", wd, "nunique", "weekday_nunique2")
         p.hist("weekday", wd, "mode", "weekday_mode2")
@@ -183,9 +192,14 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part, "id", "left")
-    cols = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in p.fill_zero else F.col(c)
-            for c in dict.fromkeys(p.order)]
-    return out.select("id", *cols)
+    def column(c: str) -> Column:
+        if c in p.derived:
+            return p.derived[c].alias(c)
+        if c in p.fill_zero:
+            return F.coalesce(F.col(c), F.lit(0)).alias(c)
+        return F.col(c)
+
+    return out.select("id", *[column(c) for c in dict.fromkeys(p.order)])
 
 
 def attach(users: DataFrame, features: DataFrame, key: str = "id") -> DataFrame:

@@ -38,14 +38,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir`` (shared storage).  Only a
+    local-mode session without one (tests) falls back to a fresh scratch
+    folder; a cluster session without it is an error, since staged tables
+    must survive the loss of any one machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = fallback or tempfile.mkdtemp(prefix="custlens-ckpt-",
                                                   dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
