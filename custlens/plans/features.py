@@ -40,7 +40,10 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
     ``id, page_tm``.  ``woe_cols`` / ``money_cols`` default to ``categorical``.
     """
     cats = list(categorical)
-    base = clean.null_sentinels(users, categorical=cats) if clean_text else users
+    base = users
+    if clean_text:
+        base = clean.null_sentinels(base, categorical=cats)
+        base = clean.infer_numeric(base, skip=["id", "split", *cats])
     if products:
         base = encode.product_features(base, products)
     if ratio_cols:
@@ -117,3 +120,45 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
         all_oof = o if all_oof is None else all_oof.unionByName(o)
     aucs = model.auc_by_group(all_oof, ["model", "fold"])
     return model.blend(all_scores), aucs
+
+
+# The reference's transaction column names.
+TRD_COLUMNS = {"Dat_Flg1_Cd": "flg1", "Dat_Flg3_Cd": "flg3", "Trx_Cod1_Cd": "cod1",
+               "Trx_Cod2_Cd": "cod2", "cny_trx_amt": "amt"}
+
+
+def standardize_transactions(trd: DataFrame) -> DataFrame:
+    """Rename the reference's transaction columns to the engine's names."""
+    return trd.select(*[F.col(c).alias(TRD_COLUMNS.get(c, c)) for c in trd.columns])
+
+
+def run_pipeline(spark, customers: dict[str, str], transactions: dict[str, str],
+                 page_views: dict[str, str], out_dir: str, categorical: Sequence[str],
+                 null_importances: str | None = None, actual_importances: str | None = None,
+                 model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,
+                 scoring_copies: int = 1, embed: bool = True) -> DataFrame:
+    """Files in, scores out: ``customers`` / ``transactions`` / ``page_views``
+    map a split name (``train``, ``score``) to a CSV path.  Writes the blended
+    scores as ``id<TAB>score`` and the per-model scores as parquet under
+    ``out_dir``; returns the blended scores."""
+    from custlens.sources import io as sio
+    from functools import reduce
+
+    def union(frames):
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+    users = union([sio.read_customers(spark, p, split) for split, p in customers.items()])
+    trd = standardize_transactions(
+        union([sio.read_transactions(spark, p, split) for split, p in transactions.items()]))
+    beh = union([sio.read_page_views(spark, p, split) for split, p in page_views.items()])
+    feats = build_features(users, trd, beh, categorical=categorical, embed=embed,
+                           scoring_copies=scoring_copies)
+    null_imp = sio.read_importances(spark, null_importances) if null_importances else None
+    act_imp = sio.read_importances(spark, actual_importances) if actual_importances else None
+    mode_cols = [c for c in ("dat3_mode", "trx1_mode", "trx2_mode", "week_mode2",
+                             "weekday_mode2") if c in feats.columns]
+    blended, aucs = score_customers(feats, trd, null_imp, act_imp, categorical=mode_cols,
+                                    model_ids=model_ids, max_iter=max_iter)
+    sio.write_submission(blended, f"{out_dir.rstrip('/')}/submission")
+    aucs.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/fold_auc")
+    return blended

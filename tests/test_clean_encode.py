@@ -130,3 +130,10 @@ def test_woe_out_of_fold_matches_refit_per_fold(spark):
         assert np.allclose(rows["c_crossentroy"].values, want.loc[rows["c"]].values, rtol=1e-12)
     sc = out[out.split == "score"].set_index("id")
     assert np.allclose(sc["c_crossentroy"], full.loc[sc.index, "c_crossentroy"], rtol=1e-12)
+
+
+def test_infer_numeric(spark):
+    df = spark.createDataFrame([("1", "2.5", "a", None), ("7", None, "3", None)],
+                               "id string, x string, y string, z string")
+    out = clean.infer_numeric(df, skip=["id"])
+    assert dict(out.dtypes) == {"id": "string", "x": "double", "y": "string", "z": "string"}

@@ -193,3 +193,42 @@ def test_oof_fit_importance_and_onehot_limit(spark):
     assert set(got) == {"x", "few", "many"} and abs(sum(got.values()) - 5.0) < 1e-6
     aucs = model.auc_by_group(oof, ["model", "fold"]).collect()
     assert len(aucs) == 5 and all(a["auc"] > 0.5 for a in aucs)
+
+
+def test_csv_files_to_submission(spark):
+    from custlens.plans.features import run_pipeline
+    from custlens.sources import fixtures as fx
+    from tests.conftest import SF0001
+    d = tempfile.mkdtemp(prefix="custlens-csv-")
+    tag = fx.tag(spark, SF0001).toPandas()
+    tag["age"] = np.where(tag.id % 9 == 0, "\\N", (20 + tag.id % 50).astype(str))
+    paths = {}
+    for split in ("train", "score"):
+        t = tag[tag.split == split].drop(columns=["split"])
+        if split == "score":
+            t = t.drop(columns=["flag"])
+        paths[split] = os.path.join(d, f"{split}_tag.csv")
+        t.to_csv(paths[split], index=False)
+    trd = fx.trd(spark, SF0001).toPandas().rename(columns={
+        "flg1": "Dat_Flg1_Cd", "flg3": "Dat_Flg3_Cd", "cod1": "Trx_Cod1_Cd", "cod2": "Trx_Cod2_Cd",
+        "amt": "cny_trx_amt"})[["id", "Dat_Flg1_Cd", "Dat_Flg3_Cd", "Trx_Cod1_Cd", "Trx_Cod2_Cd",
+                                "trx_tm", "cny_trx_amt"]]
+    beh = fx.beh(spark, SF0001).toPandas()
+    tpaths, bpaths = {}, {}
+    for split in ("train", "score"):
+        ids = set(tag[tag.split == split].id)
+        tpaths[split] = os.path.join(d, f"{split}_trd.csv")
+        trd[trd.id.isin(ids)].to_csv(tpaths[split], index=False)
+        bpaths[split] = os.path.join(d, f"{split}_beh.csv")
+        b = beh[beh.id.isin(ids)][["id", "page", "page_tm"]]
+        with open(bpaths[split], "w") as f:  # the time column has no name
+            f.write("id,page_no,\n")
+            b.to_csv(f, index=False, header=False)
+    out = os.path.join(d, "out")
+    blended = run_pipeline(spark, paths, tpaths, bpaths, out, categorical=["seg_cd", "nat_cd"],
+                           model_ids=(1,), max_iter=2, embed=False)
+    n_score = int((tag.split == "score").sum())
+    assert blended.count() == n_score
+    lines = [ln for p in os.listdir(os.path.join(out, "submission")) if p.endswith(".csv")
+             for ln in open(os.path.join(out, "submission", p))]
+    assert len(lines) == n_score and all(len(ln.split("\t")) == 2 for ln in lines)
