@@ -162,12 +162,14 @@ def _build_plan(families: Iterable[str], scale: int | None) -> _Plan:
 
 def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
                         money_scale: int | None = 2, prepared: bool = False,
-                        **columns: str) -> DataFrame:
+                        hot_rows: int | None = None, **columns: str) -> DataFrame:
     """One row per customer present in ``trd`` with the requested feature families.
 
     ``trd`` uses the fixture column names (``id, trx_tm, amt, flg1, flg3, cod1,
     cod2``) unless renamed through ``columns``.  ``money_scale`` = decimals of the
     amounts (sums are exact at that scale); ``None`` for plain double sums.
+    ``hot_rows``: customers above this many rows get their medians from the
+    distributed path (default: ``median.HOT_GROUP_ROWS``).
     """
     from custlens.operators.histogram import value_stats
     from custlens.operators.median import exact_medians_by_part
@@ -185,7 +187,8 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
     if p.hist_cols:
         parts.append(value_stats(t, "id", p.hist_cols, p.hist_wanted))
     if p.medians:
-        parts.append(exact_medians_by_part(t, "id", p.medians))
+        kw = {} if hot_rows is None else {"hot_rows": hot_rows}
+        parts.append(exact_medians_by_part(t, "id", p.medians, **kw))
     # The first part holds every customer with a transaction (the wide
     # aggregate, or the histogram whose per-value count covers every row);
     # the others are joined to it.  All parts are hash-partitioned by id.

@@ -44,3 +44,30 @@ def test_narrowing_keeps_integer_values(spark):
     b = _rows(narrow.select(*[F.col(c).cast("bigint") for c in ints]))
     assert a == b
     assert all(t in ("tinyint", "smallint", "int") for c, t in narrow.select(*ints).dtypes)
+
+
+def test_hot_customer_profile_matches_pandas(spark):
+    """One customer holds a third of all transactions; with a low hot
+    threshold its medians come from the distributed path."""
+    import datetime as dt
+
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(9)
+    n = 3000
+    ids = np.where(np.arange(n) % 3 == 0, 0, rng.integers(1, 60, n))
+    amt = np.round(rng.normal(50, 400, n), 2)
+    tm = [dt.datetime(2020, 1, 1) + dt.timedelta(hours=int(h)) for h in rng.integers(0, 24 * 400, n)]
+    pdf = pd.DataFrame({"id": ids, "trx_tm": tm, "amt": amt,
+                        "flg1": rng.choice(["B", "C"], n), "flg3": rng.choice(["A", "B", "C"], n),
+                        "cod1": rng.choice(["x", "y"], n), "cod2": rng.choice(["p", "q", "r"], n)})
+    df = spark.createDataFrame(pdf)
+    got = transaction_profile(df, ["amount", "signed", "flag3"], hot_rows=200).toPandas().set_index("id")
+    g = pdf.groupby("id")
+    want_all = g["amt"].median()
+    want_pos = pdf[pdf.amt > 0].groupby("id")["amt"].median()
+    want_a = pdf[pdf.flg3 == "A"].groupby("id")["amt"].median()
+    assert np.allclose(got.loc[want_all.index, "cny_trx_amt_median"], want_all)
+    assert np.allclose(got.loc[want_pos.index, "cny_trx_amt_positive_median"], want_pos)
+    assert np.allclose(got.loc[want_a.index, "A_median"], want_a)
+    assert np.isclose(got.loc[0, "cny_trx_amt_sum"], round(pdf[pdf.id == 0].amt.sum(), 2))
