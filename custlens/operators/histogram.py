@@ -27,16 +27,19 @@ STATS = ("nunique", "mode", "freq", "minfreq")
 
 def value_counts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
     """``key, n, x, s, c``: rows per distinct non-null value of each named column
-    (numbers in ``x``, text in ``s``), with map-side partial aggregation."""
+    (``n`` = the column's position in ``columns``; numbers in ``x``, text in
+    ``s``), with map-side partial aggregation."""
     types = df.select(*[c.alias(n) for n, c in columns.items()]).schema
     entries = []
-    for field in types.fields:
+    for i, field in enumerate(types.fields):
         c = columns[field.name]
         if isinstance(field.dataType, NumericType):
             x, s = c.cast("double"), F.lit(None).cast("string")
         else:
             x, s = F.lit(None).cast("double"), c.cast("string")
-        entries.append(F.struct(F.lit(field.name).alias("n"), x.alias("x"), s.alias("s")))
+        # The column is identified by its position (an int key hashes and
+        # shuffles cheaper than its name).
+        entries.append(F.struct(F.lit(i).alias("n"), x.alias("x"), s.alias("s")))
     long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
               .select(key, "e.n", "e.x", "e.s")
               .where(F.col("x").isNotNull() | F.col("s").isNotNull()))
@@ -55,10 +58,11 @@ def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
     types = {f.name: f.dataType for f in
              df.select(*[c.alias(n) for n, c in columns.items()]).schema.fields}
     counted = value_counts(df, key, columns)
+    position = {name: i for i, name in enumerate(columns)}
     c = F.col("c")
     outs = []
     for name, stats in wanted.items():
-        is_name = F.col("n") == name
+        is_name = F.col("n") == position[name]
         pairs = stats.items() if isinstance(stats, dict) else stats
         for stat, out in pairs:
             if stat == "nunique":
