@@ -160,22 +160,45 @@ def _build_plan(families: Iterable[str], scale: int | None) -> _Plan:
     return p
 
 
+def _restrict(p: _Plan, outputs: Iterable[str]) -> None:
+    """Keep only the passes needed for ``outputs`` (and what derived outputs read)."""
+    want = set(outputs)
+    unknown = want - set(p.order)
+    if unknown:
+        raise ValueError(f"outputs not produced by these families: {sorted(unknown)}")
+    needed = set(want)
+    for name in want & set(p.derived):
+        needed |= {"week_mean2", "week_median2"}
+    p.aggs = {n: e for n, e in p.aggs.items() if n in needed}
+    p.medians = {n: v for n, v in p.medians.items() if n in needed}
+    p.derived = {n: e for n, e in p.derived.items() if n in needed}
+    p.hist_wanted = {n: [(st, o) for st, o in pairs if o in needed]
+                     for n, pairs in p.hist_wanted.items()}
+    p.hist_wanted = {n: pairs for n, pairs in p.hist_wanted.items() if pairs}
+    p.hist_cols = {n: c for n, c in p.hist_cols.items() if n in p.hist_wanted}
+    p.order = [o for o in p.order if o in want]
+
+
 def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
                         money_scale: int | None = 2, prepared: bool = False,
-                        hot_rows: int | None = None, **columns: str) -> DataFrame:
+                        hot_rows: int | None = None, outputs: Iterable[str] | None = None,
+                        **columns: str) -> DataFrame:
     """One row per customer present in ``trd`` with the requested feature families.
 
     ``trd`` uses the fixture column names (``id, trx_tm, amt, flg1, flg3, cod1,
     cod2``) unless renamed through ``columns``.  ``money_scale`` = decimals of the
     amounts (sums are exact at that scale); ``None`` for plain double sums.
     ``hot_rows``: customers above this many rows get their medians from the
-    distributed path (default: ``median.HOT_GROUP_ROWS``).
+    distributed path (default: ``median.HOT_GROUP_ROWS``).  ``outputs``: only
+    these feature columns (passes that feed none of them are not planned).
     """
     from custlens.operators.histogram import value_stats
     from custlens.operators.median import exact_medians_by_part
 
     t = trd if prepared else prepare_transactions(trd, **columns)
     p = _build_plan(families, money_scale)
+    if outputs is not None:
+        _restrict(p, outputs)
     parts = []
     if p.hist_cols and not p.aggs:
         # Count one constant per row too, so every customer with a
@@ -183,7 +206,8 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
         p.hist_cols["_any"] = F.lit(1)
         p.hist_wanted["_any"] = []
     if p.aggs or not p.hist_cols:
-        parts.append(t.groupBy("id").agg(*[e.alias(n) for n, e in p.aggs.items()]))
+        aggs = [e.alias(n) for n, e in p.aggs.items()] or [F.count(F.lit(1)).alias("_rows")]
+        parts.append(t.groupBy("id").agg(*aggs))
     if p.hist_cols:
         parts.append(value_stats(t, "id", p.hist_cols, p.hist_wanted))
     if p.medians:

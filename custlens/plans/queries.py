@@ -168,7 +168,7 @@ def mode_money(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     users = fx.tag(spark, sf_dir).select("id", "split")
     trd = _transactions(spark, sf_dir)
-    modes = transaction_profile(trd, ["codes", "calendar"]).select("id", *MODE_COLS)
+    modes = transaction_profile(trd, ["codes", "calendar"], outputs=MODE_COLS)
     # Cut the lineage: the per-customer modes feed a cardinality check and the
     # encoding join, so they are computed once and written to the checkpoint
     # folder.

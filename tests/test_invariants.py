@@ -71,3 +71,18 @@ def test_hot_customer_profile_matches_pandas(spark):
     assert np.allclose(got.loc[want_pos.index, "cny_trx_amt_positive_median"], want_pos)
     assert np.allclose(got.loc[want_a.index, "A_median"], want_a)
     assert np.isclose(got.loc[0, "cny_trx_amt_sum"], round(pdf[pdf.id == 0].amt.sum(), 2))
+
+
+def test_profile_outputs_subset(spark):
+    trd = fx.trd(spark, SF0001)
+    full = transaction_profile(trd, ["codes", "calendar"])
+    some = transaction_profile(trd, ["codes", "calendar"], outputs=["trx1_mode", "week_kurl2"])
+    assert some.columns == ["id", "trx1_mode", "week_kurl2"]
+    assert _rows(some) == _rows(full.select("id", "trx1_mode", "week_kurl2"))
+
+
+def test_profile_median_only(spark):
+    trd = fx.trd(spark, SF0001)
+    m = transaction_profile(trd, ["amount"], outputs=["cny_trx_amt_median"])
+    full = transaction_profile(trd, ["amount"]).select("id", "cny_trx_amt_median")
+    assert _rows(m) == _rows(full)
