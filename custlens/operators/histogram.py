@@ -1,12 +1,12 @@
 """Distinct count, mode and mode frequency from one two-level count.
 
 The reference calls a Python function per group for the mode and its
-frequency.  Here every requested column is unpivoted to ``(key, name, value)``
-and counted (map-side partial aggregation, so a hot key collapses to its
-distinct values before the shuffle); a second aggregate per ``(key, name)``
-then gives, from fixed-size buffers:
+frequency.  Here every requested column is unpivoted to ``(key, column,
+value)`` and counted (map-side partial aggregation, so a hot key collapses to
+its distinct values before the shuffle); a second aggregate straight to one
+row per key then gives, per column, with conditional aggregates:
 
-* ``nunique`` = number of distinct non-null values,
+* ``nunique`` = number of distinct non-null values (NULL if none),
 * ``mode``    = most frequent value, smallest on ties (``min`` of the struct
   ``(-count, value)``),
 * ``freq``    = count of the mode (rows equal to the mode),

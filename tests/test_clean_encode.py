@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from custlens.operators import clean, encode
 
