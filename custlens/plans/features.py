@@ -75,8 +75,8 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
 
 def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | None = None,
                     actual_imp: DataFrame | None = None, categorical: Sequence[str] = (),
-                    model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20
-                    ) -> tuple[DataFrame, DataFrame]:
+                    model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,
+                    narrow: bool = True) -> tuple[DataFrame, DataFrame]:
     """Blended scores per scoring customer and the fold AUC table.
 
     Feature selection (when importance tables are given) keeps the features
@@ -100,7 +100,12 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
     train = model.assign_folds(train, "id", "has_trx")
     rest = (features.where(F.col("split") != "train")
             .withColumn("has_trx", F.lit(None).cast("int")).withColumn("fold", F.lit(None).cast("int")))
-    data = train.unionByName(rest).select("id", "flag", "split", "fold", *feats).checkpoint()
+    data = train.unionByName(rest).select("id", "flag", "split", "fold", *feats)
+    if narrow:
+        # The selected features are narrowed before training (doubles whose
+        # range allows it become float), as the reference does.
+        data = clean.narrow_types(data, skip=["id", "flag", "fold"])
+    data = data.checkpoint()
     numeric = [c for c, t in data.select(*feats).dtypes if c not in cats and t != "string"]
     all_scores, all_oof = None, None
     for m in model_ids:
