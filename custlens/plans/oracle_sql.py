@@ -222,11 +222,11 @@ from tag where split = 'train'"""),
 select cast(has_trx as bigint) as has_trx, cast(fold as bigint) as fold,
        cast((n - fold + 4) // 5 as bigint) as n
 from f where (n - fold + 4) // 5 > 0"""),
-    "auc_by_fold": with_views(["scores", "tag"], _SCORED, "select * from a"),
-    "auc_summary": with_views(["scores", "tag"], _SCORED, """
+    "auc_by_fold": with_views(["tag", "scores"], _SCORED, "select * from a"),
+    "auc_summary": with_views(["tag", "scores"], _SCORED, """
 select model, round(avg(auc), 4) as mean_auc, round(stddev_pop(auc), 4) as std_auc
 from a group by model"""),
-    "score_blend": with_views(["scores"], [
+    "score_blend": with_views(["tag", "scores"], [
         ("pm", "select id, model, avg(score) as m from scores group by id, model")], """
 select id, round(avg(m), 4) as score from pm group by id"""),
 })

@@ -44,8 +44,7 @@ from part where p_partkey % 10 = 0""",
 select model, fold, id,
        cast((id * 31 + fold * 7 + model * 13) % 1000 as double) / 1000 as score
 from (select id, model, unnest([0, 1, 2, 3, 4]) as fold
-      from (select c_custkey as id, unnest([1, 2, 3]) as model
-            from customer where c_custkey % 5 = 0))""",
+      from (select id, unnest([1, 2, 3]) as model from tag where split = 'score'))""",
 }
 
 

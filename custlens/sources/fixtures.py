@@ -92,6 +92,7 @@ def tag_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def imp_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null importances: every part row is one run of its brand (feature)."""
     p = read_table(spark, sf_dir, "part")
     return p.select(F.col("p_brand").alias("feature"),
                     F.col("p_retailprice").alias("importance_gain"),
@@ -99,6 +100,9 @@ def imp_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def imp_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual importances: one run's worth of rows per feature (every tenth
+    part row, as FIXTURES.md defines the table), with two-digit brands
+    shifted up so that the selection threshold splits them."""
     p = read_table(spark, sf_dir, "part").where(F.col("p_partkey") % 10 == 0)
     shift = F.when(F.length("p_brand") == 8, 20).otherwise(0)
     return p.select(F.col("p_brand").alias("feature"),
@@ -112,9 +116,9 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     The 15 (model, fold) pairs are generated per row with ``explode`` (a
     generator, no join).
     """
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 == 0)
-    c = (c.select(F.col("c_custkey").alias("id"),
-                  F.explode(F.sequence(F.lit(1), F.lit(3))).alias("model"))
+    # Scores exist for every scoring customer (the "score" split of ``tag``).
+    c = tag(spark, sf_dir).where(F.col("split") == "score")
+    c = (c.select("id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("model"))
           .select("id", "model", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("fold")))
     s: Column = ((F.col("id") * 31 + F.col("fold") * 7 + F.col("model") * 13) % 1000).cast("double") / 1000
     return c.select("model", "fold", "id", s.alias("score"))
