@@ -35,11 +35,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.numeric import log_bucket, nan_to_null
+from custlens.operators.skew import HOT_GROUP_ROWS, hot_keys
 
 # Target rows (keys, bucket, offset, two ranks) are ~50 bytes: 200k rows ~ 10 MB.
 BROADCAST_MAX_ROWS = 200_000
-# Groups above this many rows take the distributed path.
-HOT_GROUP_ROWS = 500_000
 
 
 def _target_buckets(per_bucket: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,13 +101,7 @@ def _base(df: DataFrame, keys: list[str], value) -> DataFrame:
 
 
 def _hot_keys(base: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame | None, int]:
-    """Keys of groups with more than ``hot_rows`` rows, and how many there are."""
-    hot = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > hot_rows).select(*keys))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return None, 0
-    return (F.broadcast(hot) if n_hot <= BROADCAST_MAX_ROWS else hot), n_hot
+    return hot_keys(base, keys, hot_rows)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value, out: str = "median",

@@ -66,22 +66,24 @@ def test_running_sums_and_row_numbers(spark):
                         "t": rng.integers(0, 50, n), "u": np.arange(n), "x": rng.integers(1, 9, n)})
     df = _frame(spark, pdf, "k long, t long, u long, x long")
     seg = F.floor(F.col("t") / 7)
-    out = running_sums(df, ["k"], seg, ["t", "u"], {"cx": F.col("x")}).toPandas()
     pdf = pdf.sort_values(["k", "t", "u"])
     pdf["cx"] = pdf.groupby("k")["x"].cumsum()
-    m = out.merge(pdf, on=["k", "t", "u", "x"], suffixes=("", "_want"))
-    assert len(m) == n and (m["cx"] == m["cx_want"]).all()
-    rn = row_numbers(df, ["k"], seg, ["t", "u"], "rn").toPandas()
     pdf["rn"] = pdf.groupby("k").cumcount() + 1
-    m = rn.merge(pdf, on=["k", "t", "u"], suffixes=("", "_want"))
-    assert (m["rn"] == m["rn_want"]).all()
+    for hot_rows in (0, 100, 10**9):  # all segmented / key 0 hot / plain windows
+        out = running_sums(df, ["k"], seg, ["t", "u"], {"cx": F.col("x")}, hot_rows).toPandas()
+        m = out.merge(pdf, on=["k", "t", "u", "x"], suffixes=("", "_want"))
+        assert len(m) == n and (m["cx"] == m["cx_want"]).all()
+        rn = row_numbers(df, ["k"], seg, ["t", "u"], "rn", hot_rows).toPandas()
+        m = rn.merge(pdf, on=["k", "t", "u"], suffixes=("", "_want"))
+        assert len(m) == n and (m["rn"] == m["rn_want"]).all()
 
 
 def test_running_sums_keep_null_order_rows(spark):
     pdf = pd.DataFrame({"k": [1, 1, 1], "t": [None, 5.0, 2.0]})
     df = _frame(spark, pdf, "k int, t double")
-    out = row_numbers(df, ["k"], F.floor(F.col("t")), ["t"], "rn").orderBy("rn").collect()
-    assert [(r["t"], r["rn"]) for r in out] == [(None, 1), (2.0, 2), (5.0, 3)]
+    for hot_rows in (0, 10**9):
+        out = row_numbers(df, ["k"], F.floor(F.col("t")), ["t"], "rn", hot_rows).orderBy("rn").collect()
+        assert [(r["t"], r["rn"]) for r in out] == [(None, 1), (2.0, 2), (5.0, 3)]
 
 
 def test_previous_value_across_segments(spark):
@@ -90,9 +92,10 @@ def test_previous_value_across_segments(spark):
     pdf = pd.DataFrame({"k": np.where(rng.random(n) < 0.6, 0, rng.integers(1, 4, n)),
                         "t": rng.integers(0, 100, n)})
     df = _frame(spark, pdf, "k long, t long")
-    out = previous_value(df, ["k"], F.floor(F.col("t") / 10), "t", "p").toPandas()
     want = pdf.sort_values(["k", "t"]).assign(p=lambda d: d.groupby("k")["t"].shift())
-    a = out.sort_values(["k", "t", "p"], na_position="first").reset_index(drop=True)
     b = want.sort_values(["k", "t", "p"], na_position="first").reset_index(drop=True)
-    assert (a["t"] == b["t"]).all()
-    assert a["p"].fillna(-1).tolist() == b["p"].fillna(-1).tolist()
+    for hot_rows in (0, 100, 10**9):
+        out = previous_value(df, ["k"], F.floor(F.col("t") / 10), "t", "p", hot_rows).toPandas()
+        a = out.sort_values(["k", "t", "p"], na_position="first").reset_index(drop=True)
+        assert len(a) == len(b) and (a["t"] == b["t"]).all()
+        assert a["p"].fillna(-1).tolist() == b["p"].fillna(-1).tolist()

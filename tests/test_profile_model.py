@@ -74,17 +74,22 @@ def test_folds_disjoint_complete_balanced(spark):
         assert counts.max() - counts.min() <= 1
     again = model.assign_folds(df.repartition(3), "id", "s").toPandas()
     assert f.sort_values("id").fold.tolist() == again.sort_values("id").fold.tolist()
+    segmented = model.assign_folds(df, "id", "s", hot_rows=0).toPandas()
+    assert f.sort_values("id").fold.tolist() == segmented.sort_values("id").fold.tolist()
 
 
 def test_auc_matches_pairwise_count(spark):
     rng = np.random.default_rng(11)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 300), "label": rng.integers(0, 2, 300),
                         "score": rng.integers(0, 20, 300) / 20.0})
-    out = {r["g"]: r["auc"] for r in model.auc_by_group(spark.createDataFrame(pdf), ["g"]).collect()}
-    for g, d in pdf.groupby("g"):
-        p, n = d[d.label == 1].score.values, d[d.label == 0].score.values
-        want = ((p[:, None] > n[None, :]).sum() + 0.5 * (p[:, None] == n[None, :]).sum()) / (len(p) * len(n))
-        assert abs(out[g] - want) < 1e-12
+    for hot_rows in (0, 10**9):
+        out = {r["g"]: r["auc"] for r in
+               model.auc_by_group(spark.createDataFrame(pdf), ["g"], hot_rows=hot_rows).collect()}
+        for g, d in pdf.groupby("g"):
+            p, n = d[d.label == 1].score.values, d[d.label == 0].score.values
+            want = ((p[:, None] > n[None, :]).sum()
+                    + 0.5 * (p[:, None] == n[None, :]).sum()) / (len(p) * len(n))
+            assert abs(out[g] - want) < 1e-12
 
 
 def test_blend_means(spark):
