@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.calendar import calendar_parts, iso_week, weekday_mon0, whole_days_between
 from custlens.operators.ordered import previous_value
+from custlens.operators.skew import HOT_GROUP_ROWS, hot_keys
 
 
 def day_gaps(events: DataFrame, key: str = "id", tm: str = "trx_tm",
@@ -35,15 +36,37 @@ def with_calendar_parts(events: DataFrame, tm: str, prefix: str = "") -> DataFra
     return events.select("*", *calendar_parts(tm, prefix))
 
 
-def bucket_counts_rowwise(trd: DataFrame, key: str = "id", tm: str = "trx_tm") -> DataFrame:
+def bucket_counts_rowwise(trd: DataFrame, key: str = "id", tm: str = "trx_tm",
+                          hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Each transaction gets the number of its customer's transactions in the same
     ISO week (``trx_tm_week``) and the same weekday (``trx_tm_weekday``).
 
-    Counts are pre-aggregated per ``(id, week)`` / ``(id, weekday)`` and joined
-    back; a hot ``(id, week)`` is split by AQE's skew-join handling rather than
-    buffered whole in one window partition.
+    Ordinary customers: one hash partitioning by customer serves both count
+    windows (one shuffle of the rows).  Hot customers (above ``hot_rows``
+    rows): counts are pre-aggregated per ``(id, week)`` / ``(id, weekday)`` and
+    joined back, so a hot customer is spread over its weeks (and AQE splits a
+    hot week) instead of sitting in one window partition.
     """
     t = trd.withColumns({"week": iso_week(tm), "weekday": weekday_mon0(tm)})
-    wk = t.groupBy(key, "week").agg(F.count(tm).alias("trx_tm_week"))
-    wd = t.groupBy(key, "weekday").agg(F.count(tm).alias("trx_tm_weekday"))
-    return t.join(wk, [key, "week"], "left").join(wd, [key, "weekday"], "left")
+
+    def windowed(d: DataFrame) -> DataFrame:
+        d = d.repartition(key)
+        return d.withColumns({
+            "trx_tm_week": F.count(tm).over(Window.partitionBy(key, "week")),
+            "trx_tm_weekday": F.count(tm).over(Window.partitionBy(key, "weekday"))})
+
+    def joined(d: DataFrame) -> DataFrame:
+        wk = d.groupBy(key, "week").agg(F.count(tm).alias("trx_tm_week")).select(
+            F.col(key).alias("_k1"), F.col("week").alias("_b1"), "trx_tm_week")
+        wd = d.groupBy(key, "weekday").agg(F.count(tm).alias("trx_tm_weekday")).select(
+            F.col(key).alias("_k2"), F.col("weekday").alias("_b2"), "trx_tm_weekday")
+        # Null-safe keys: a NULL week is its own bucket, as in the window form.
+        out = d.join(wk, d[key].eqNullSafe(wk["_k1"]) & d["week"].eqNullSafe(wk["_b1"]), "left")
+        out = out.join(wd, out[key].eqNullSafe(wd["_k2"]) & out["weekday"].eqNullSafe(wd["_b2"]),
+                       "left")
+        return out.drop("_k1", "_b1", "_k2", "_b2")
+
+    hot, _ = hot_keys(t.where(F.col(key).isNotNull()), [key], hot_rows)
+    if hot is None:
+        return windowed(t)
+    return windowed(t.join(hot, key, "left_anti")).unionByName(joined(t.join(hot, key, "left_semi")))
