@@ -209,7 +209,7 @@ def embed_customers(spark, sf_dir):
 
 def _train_with_strata(spark, sf_dir):
     users = fx.tag(spark, sf_dir).where(F.col("split") == "train").select("id")
-    return clean.mark_member(users, fx.trd(spark, sf_dir).select("id"), "id", "has_trx")
+    return clean.mark_member(users, _transactions(spark, sf_dir).select("id"), "id", "has_trx")
 
 
 def fold_assign(spark, sf_dir):
