@@ -137,7 +137,7 @@ def standardize_transactions(trd: DataFrame) -> DataFrame:
     return trd.select(*[F.col(c).alias(TRD_COLUMNS.get(c, c)) for c in trd.columns])
 
 
-def run_pipeline(spark, customers: dict[str, str], transactions: dict[str, str],
+def score_from_files(spark, customers: dict[str, str], transactions: dict[str, str],
                  page_views: dict[str, str], out_dir: str, categorical: Sequence[str],
                  null_importances: str | None = None, actual_importances: str | None = None,
                  model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,

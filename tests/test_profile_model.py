@@ -201,7 +201,7 @@ def test_oof_fit_importance_and_onehot_limit(spark):
 
 
 def test_csv_files_to_submission(spark):
-    from custlens.plans.features import run_pipeline
+    from custlens.plans.features import score_from_files
     from custlens.sources import fixtures as fx
     from tests.conftest import SF0001
     d = tempfile.mkdtemp(prefix="custlens-csv-")
@@ -230,7 +230,7 @@ def test_csv_files_to_submission(spark):
             f.write("id,page_no,\n")
             b.to_csv(f, index=False, header=False)
     out = os.path.join(d, "out")
-    blended = run_pipeline(spark, paths, tpaths, bpaths, out, categorical=["seg_cd", "nat_cd"],
+    blended = score_from_files(spark, paths, tpaths, bpaths, out, categorical=["seg_cd", "nat_cd"],
                            model_ids=(1,), max_iter=2, embed=False)
     n_score = int((tag.split == "score").sum())
     assert blended.count() == n_score
