@@ -15,6 +15,7 @@ directory) before training, because every boosting round re-reads it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,24 +51,37 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
         base = encode.ratio_features(base, ratio_cols, ratio_sum)
     # Encodings are fitted on the customer table itself: their data-dependent
     # decisions (class-size guard, cardinality bounds) then run small jobs on
-    # that table rather than on the joined wide table.
-    pieces = []
+    # that table rather than on the joined wide table.  The families are
+    # independent, so they are planned on a few driver threads: their small
+    # decision jobs (guards, bounds, hot-key counts) run concurrently.
     woe = cats if woe_cols is None else list(woe_cols)
-    if woe:
-        w = encode.woe_encode(base, woe)
-        pieces.append(w.select("id", *[c for c in w.columns if c.endswith(encode.WOE_SUFFIX)]))
     money = cats if money_cols is None else list(money_cols)
-    if money:
+
+    def woe_piece():
+        w = encode.woe_encode(base, woe)
+        return w.select("id", *[c for c in w.columns if c.endswith(encode.WOE_SUFFIX)])
+
+    def money_piece():
         m = encode.category_money(base, trd, money, scoring_copies=scoring_copies)
-        pieces.append(m.select("id", *[f"{c}{s}" for c in money for s in encode.MONEY_STATS]))
-    out = attach(base, transaction_profile(trd, families))
-    out = attach(out, gap_stats(trd, "id", "trx_tm"))
-    if beh is not None:
-        out = attach(out, gap_stats(beh, "id", "page_tm", suffix="2"))
-    if embed:
+        return m.select("id", *[f"{c}{s}" for c in money for s in encode.MONEY_STATS])
+
+    def embed_piece():
         seqs = sequence.token_sequences(trd, "id", "cod2", list(order))
         vocab = sequence.vocabulary(sequence.fit_embedding(seqs))
-        out = attach(out, sequence.token_mean_vectors(trd, "id", "cod2", vocab, dim=6))
+        return sequence.token_mean_vectors(trd, "id", "cod2", vocab, dim=6)
+
+    tasks = [lambda: transaction_profile(trd, families), lambda: gap_stats(trd, "id", "trx_tm")]
+    if beh is not None:
+        tasks.append(lambda: gap_stats(beh, "id", "page_tm", suffix="2"))
+    if embed:
+        tasks.append(embed_piece)
+    if woe:
+        tasks.append(woe_piece)
+    if money:
+        tasks.append(money_piece)
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        pieces = [f.result() for f in [pool.submit(t) for t in tasks]]
+    out = base
     for piece in pieces:
         out = attach(out, piece)
     return out
