@@ -121,8 +121,7 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
         data = clean.narrow_types(data, skip=["id", "flag", "fold"])
     data = data.checkpoint()
     numeric = [c for c, t in data.select(*feats).dtypes if c not in cats and t != "string"]
-    all_scores, all_oof = None, None
-    for m in model_ids:
+    def fit(m: int):
         if m == 3 and cats:
             # Categories replaced by their money encodings (computed here for
             # the ones the feature table does not carry yet).
@@ -135,8 +134,15 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
         else:
             s, o, _ = model.oof_fit(data, numeric, cats, model_id=m, max_iter=max_iter,
                                     encoding="onehot" if m == 2 else "index")
-        all_scores = s if all_scores is None else all_scores.unionByName(s)
-        all_oof = o if all_oof is None else all_oof.unionByName(o)
+        return s, o
+
+    # The model variants are independent: fit them on concurrent driver
+    # threads so their boosting rounds share the cluster.
+    with ThreadPoolExecutor(max_workers=len(model_ids)) as pool:
+        fitted = [f.result() for f in [pool.submit(fit, m) for m in model_ids]]
+    all_scores, all_oof = fitted[0]
+    for s, o in fitted[1:]:
+        all_scores, all_oof = all_scores.unionByName(s), all_oof.unionByName(o)
     aucs = model.auc_by_group(all_oof, ["model", "fold"])
     return model.blend(all_scores), aucs
 
