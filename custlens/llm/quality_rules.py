@@ -115,7 +115,8 @@ def _assessed(docs: DataFrame, trusted: DataFrame, threshold: float, row: Column
         F.sort_array(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     rows = rows.withColumn("starts", _near_equal(F.col("placed")))
     rows = rows.select(
-        "__row", "doc_id", F.size("words").cast("long").alias("n_words"),
+        "__row", F.monotonically_increasing_id().alias("__at"),
+        "doc_id", F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", SPACE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -136,13 +137,15 @@ def assess(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) ->
     any trusted n-gram there is nothing to compare with: all ratios are 0 and only
     the base rules decide.  Repeated rows and ids give repeated results.
     """
-    return _assessed(docs, trusted, threshold).drop("__row")
+    return _assessed(docs, trusted, threshold).drop("__row", "__at")
 
 
 def keep(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text passes, with all their columns."""
-    out = _assessed(docs, trusted, threshold, F.struct("*")).where("kept")
-    return out.select("__row.*")
+    out = _assessed(docs, trusted, threshold, F.struct("*"))
+    # The row number, always positive, keeps the optimiser from moving the filter
+    # below the projections, where every lambda would work out its arguments anew.
+    return out.where(F.col("kept") & (F.col("__at") >= 0)).select("__row.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
