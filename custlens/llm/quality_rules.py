@@ -36,7 +36,9 @@ THRESHOLD = -0.11
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    inner = F.btrim(text, F.lit(SPACE))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(
+        F.split(inner, "[\\x20\\x09-\\x0D]+"))
 
 
 def _lines(text: Column) -> Column:
@@ -44,11 +46,15 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(F.translate(x, SPACE[1:], " " * 5))) > 0)
 
 
-def windows(words: Column) -> Column:
+def hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def windows(hashed: Column) -> Column:
     """64-bit hashes of the 3-word windows, in order."""
-    return F.when(F.size(words) >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.size(words) - WINDOW),
-        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))).otherwise(
+    return F.when(F.size(hashed) >= WINDOW, F.transform(
+        F.sequence(F.lit(0), F.size(hashed) - WINDOW),
+        lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(WINDOW)]))).otherwise(
             F.array().cast("array<bigint>"))
 
 
@@ -70,14 +76,28 @@ def _covered(starts: Column) -> Column:
     return F.coalesce(seen["n"], F.lit(0))
 
 
-def _grams(words: Column) -> Column:
+def _one(hashed: Column, i: Column) -> Column:
+    return F.pmod(F.get(hashed, i), F.lit(BUCKETS)).cast("int")
+
+
+def _two(hashed: Column, i: Column) -> Column:
+    return F.pmod(F.xxhash64(F.get(hashed, i), F.get(hashed, i + 1)), F.lit(BUCKETS)).cast("int")
+
+
+def _grams(hashed: Column) -> Column:
     """Buckets of the hashed 1- and 2-grams of a text."""
-    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-    two = F.when(F.size(words) >= 2, F.transform(
-        F.sequence(F.lit(0), F.size(words) - 2),
-        lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(BUCKETS))
-        .cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.concat(one, two)
+    places = F.sequence(F.lit(0), F.size(hashed) - 1)
+    return F.when(F.size(hashed) > 0, F.filter(F.flatten(F.transform(
+        places, lambda i: F.array(_one(hashed, i), F.when(i < F.size(hashed) - 1, _two(hashed, i))))),
+        lambda b: b.isNotNull()))
+
+
+def _ratio_sum(hashed: Column, weights: Column) -> Column:
+    """Sum of the log ratios of a text's 1- and 2-grams, in order."""
+    return F.when(F.size(hashed) > 0, F.aggregate(
+        F.sequence(F.lit(0), F.size(hashed) - 1), F.lit(0.0),
+        lambda s, i: s + F.get(weights, _one(hashed, i)) + F.when(
+            i < F.size(hashed) - 1, F.get(weights, _two(hashed, i))).otherwise(0.0))).otherwise(0.0)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
@@ -85,12 +105,14 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
     target documents; repeated and null ids count once or not at all."""
     ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).dropna().distinct()
     rows = documents(docs)
-    rows = rows.join(ids, rows["doc_id"] == ids["trusted_id"], "left")
+    # The same join at every size: texts meet the labels by doc_id, unsorted.
+    rows = rows.join(ids.hint("shuffle_hash"), rows["doc_id"] == ids["trusted_id"], "left")
     # A projection of their own: an expression that a lambda refers to would be
     # worked out again for each element.
     rows = rows.select(F.col("trusted_id").isNotNull().cast("long").alias("t"),
                        words_of(no_text(F.col("text"))).alias("words"))
-    grams = rows.select("t", F.explode(_grams(F.col("words"))).alias("b"))
+    rows = rows.select("t", hashes(F.col("words")).alias("hashed"))
+    grams = rows.select("t", F.explode(_grams(F.col("hashed"))).alias("b"))
     counts = {r["b"]: (r["t"], r["n"]) for r in
               grams.groupBy("b").agg(F.sum("t").alias("t"), F.count("*").alias("n")).collect()}
     share = sum(n for _, n in counts.values()) / max(1, sum(t for t, _ in counts.values()))
@@ -109,7 +131,8 @@ def _assessed(docs: DataFrame, trusted: DataFrame, threshold: float, row: Column
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
                        words_of(text).alias("words"), _lines(text).alias("lines"),
                        (F.lit(None) if row is None else row).alias("__row"))
-    rows = rows.withColumns({"win": windows(F.col("words")), "grams": _grams(F.col("words"))})
+    rows = rows.withColumn("hashed", hashes(F.col("words")))
+    rows = rows.withColumn("win", windows(F.col("hashed")))
     rows = rows.withColumn("placed", F.when(
         F.size(F.array_distinct("win")) < F.size("win"),
         F.sort_array(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
@@ -121,8 +144,8 @@ def _assessed(docs: DataFrame, trusted: DataFrame, threshold: float, row: Column
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _covered(F.col("starts")).cast("long").alias("n_repeat_words"),
-        (F.aggregate("grams", F.lit(0.0), lambda s, b: s + F.get(weights, b))
-         / F.greatest(F.size("grams"), F.lit(1))).alias("llr"))
+        (_ratio_sum(F.col("hashed"), weights)
+         / F.greatest(2 * F.size("words") - 1, F.lit(1))).alias("llr"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn(
