@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import quality_rules, secret_scan
+from custlens.llm import decontaminate, packing, quality_rules, secret_scan
 from custlens.llm.common import read_table, scratch_root
 
 
@@ -21,12 +21,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs, quality_rules.trusted_ids(read_table(spark, sf_dir, "labels")))
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with the benchmark."""
+    return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark."""
     return secret_scan.redact(docs)
 
 
-STAGES = [("quality_rules", quality), ("secret_scan", secrets)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in packed sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", quality), ("decontamination", decontamination),
+          ("secret_scan", secrets), ("packing", pack)]
 
 #: Hash ratios, tokenizer ids and set joins are beyond SQL: tested against brute force.
 ORACLE_SQL = None

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import quality_rules, secret_scan
+from custlens.llm import (chat_format, decontaminate, packing, quality_rules, secret_scan,
+                          token_files)
 from custlens.llm.common import read_table
 
 
@@ -15,12 +16,37 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 quality_rules.trusted_ids(read_table(spark, sf_dir, "labels")))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read_table(spark, sf_dir, "documents"),
+                              read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_files(
+        spark, token_files.write_files(read_table(spark, sf_dir, "documents")))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    return chat_format.digest(chat_format.format_turns(turns.unionByName(extra)))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents")).drop("blob")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_packing": op3_packing,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_token_files": op7_token_files,
+    "op8_chat_format": op8_chat_format,
     "op9_secret_scan": op9_secret_scan,
 }
 
