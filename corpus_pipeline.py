@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import decontaminate, packing, quality_rules, secret_scan
+from custlens.llm import decontaminate, jaccard_join, packing, quality_rules, secret_scan
 from custlens.llm.common import read_table, scratch_root
 
 
@@ -21,6 +21,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs, quality_rules.trusted_ids(read_table(spark, sf_dir, "labels")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that the n-gram Jaccard join links."""
+    return jaccard_join.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with the benchmark."""
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
@@ -36,8 +41,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [("quality_rules", quality), ("decontamination", decontamination),
-          ("secret_scan", secrets), ("packing", pack)]
+STAGES = [("quality_rules", quality), ("jaccard_join", near_duplicates),
+          ("decontamination", decontamination), ("secret_scan", secrets), ("packing", pack)]
 
 #: Hash ratios, tokenizer ids and set joins are beyond SQL: tested against brute force.
 ORACLE_SQL = None

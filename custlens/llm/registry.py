@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import (chat_format, decontaminate, packing, quality_rules, secret_scan,
-                          token_files)
+from custlens.llm import (chat_format, decontaminate, jaccard_join, packing, quality_rules,
+                          secret_scan, token_files)
 from custlens.llm.common import read_table
 
 
@@ -41,6 +41,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents")).drop("blob")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_chat_format": op8_chat_format,
     "op9_secret_scan": op9_secret_scan,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
