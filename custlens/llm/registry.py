@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import (chat_format, decontaminate, jaccard_join, packing, quality_rules,
-                          secret_scan, token_files)
+from custlens.llm import (chat_format, decontaminate, jaccard_join, ngram_trie, packing,
+                          quality_rules, secret_scan, token_files)
 from custlens.llm.common import read_table
 
 
+def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(read_table(spark, sf_dir, "documents"),
                                 quality_rules.trusted_ids(read_table(spark, sf_dir, "labels")))
@@ -46,6 +50,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_trie": op1_ngram_trie,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op5_decontaminate": op5_decontaminate,
