@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import (chat_format, decontaminate, jaccard_join, ngram_trie, packing,
-                          quality_rules, secret_scan, token_files)
+from custlens.llm import (chat_format, cotrain, decontaminate, html_wrapper, jaccard_join,
+                          ngram_trie, packing, quality_rules, secret_scan, token_files)
 from custlens.llm.common import read_table
 
 
@@ -24,11 +24,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read_table(spark, sf_dir, "documents"),
                               read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(
         spark, token_files.write_files(read_table(spark, sf_dir, "documents")))
@@ -53,7 +61,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_trie": op1_ngram_trie,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_html_wrapper": op4_html_wrapper,
     "op5_decontaminate": op5_decontaminate,
+    "op6_cotrain": op6_cotrain,
     "op7_token_files": op7_token_files,
     "op8_chat_format": op8_chat_format,
     "op9_secret_scan": op9_secret_scan,

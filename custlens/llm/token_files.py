@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from custlens.llm.common import documents, pack, slices, stage, unpack
 from custlens.llm.elias_fano import EliasFano, encode
-from custlens.llm.tokens import encoder, public_path, with_end
+from custlens.llm.tokens import encoder, forget, public_path, with_end
 
 END_ID = 0
 #: Ids of a segment, at most (a longer document has its own).
-SEGMENT_IDS = 4 << 20
+SEGMENT_IDS = 1 << 20
 #: Bytes of documents' columns that a range of doc_ids holds, about.
 RANGE_ROWS = 5000
 #: Most ranges; also the most rows of the table of their totals.
@@ -89,7 +89,7 @@ class Segment:
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int,
             bounds: list[int]) -> Iterator[pa.RecordBatch]:
     edge = np.array(bounds, np.int64)
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=4 << 20):
         ids, starts = with_end(*encoder(path).encode(part.column("text")), end)
         doc = part.column("doc_id")
         # Null ids go to the first range and sort first in it.
@@ -103,6 +103,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int,
 
 def _segments(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (part, doc_id) to segments; holds one segment at a time."""
+    forget()
     docs, held, total, part, place = [], [], 0, None, 0
 
     def flush():

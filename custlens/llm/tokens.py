@@ -8,7 +8,6 @@ array operations, which costs a fraction of encoding every text.
 
 from __future__ import annotations
 
-import itertools
 import os
 
 import numpy as np
@@ -22,7 +21,9 @@ WHITE = r"\t\n\x0B\f\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}
 
 #: Distinct chunks whose ids a worker remembers between slices (some 40 bytes each);
 #: beyond that it starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
+#: Chunks of one running text.
+RUN = 500
 
 
 class ChunkEncoder:
@@ -71,25 +72,50 @@ class ChunkEncoder:
         found = pc.index_in(chunks, value_set=self._chunks)
         new = chunks.filter(pc.is_null(found))
         if len(new):
-            done = self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)
-            ids = [e.ids for e in done]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids, size = self._encode_new(new)
             at = len(self._pool) + np.cumsum(size) - size
-            self._pool = np.concatenate([self._pool, np.fromiter(
-                itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))])
-            self._at = np.concatenate([self._at, at])
-            self._size = np.concatenate([self._size, size])
+            self._pool = np.concatenate([self._pool, ids])
+            self._at = np.concatenate([self._at, at.astype(np.int32)])
+            self._size = np.concatenate([self._size, size.astype(np.int32)])
             self._chunks = pa.concat_arrays([self._chunks, new])
             known = found.to_numpy(zero_copy_only=False)
             where = np.where(np.isnan(known), 0, known).astype(np.int64)
             where[np.isnan(known)] = np.arange(len(self._chunks) - len(new), len(self._chunks))
         else:
             where = found.to_numpy(zero_copy_only=False).astype(np.int64)
-        return self._pool, self._at[where], self._size[where]
+        return self._pool, self._at[where].astype(np.int64), self._size[where].astype(np.int64)
+
+    def _encode_new(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks in a row, and how many each has.  Chunks of one blank and a
+        word are encoded as one running text, whose tokens' places tell the chunk."""
+        plain = np.asarray(pc.match_substring_regex(chunks, f"^ [^{WHITE}]"))
+        names = chunks.to_pylist()
+        ids: list[np.ndarray] = []
+        size = np.zeros(len(names), np.int64)
+        rest = np.flatnonzero(~plain)
+        run = np.flatnonzero(plain)
+        for k in range(0, len(run), RUN):
+            some = [names[i] for i in run[k:k + RUN]]
+            done = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            first = np.fromiter((o[0] for o in done.offsets), np.int64, len(done.ids))
+            ids.append(np.array(done.ids, np.uint32))
+            size[run[k:k + RUN]] = np.bincount(np.searchsorted(ends, first, side="right"),
+                                               minlength=len(some))
+        done = self.tokenizer.encode_batch_fast([names[i] for i in rest], add_special_tokens=False)
+        ids += [np.array(e.ids, np.uint32) for e in done]
+        size[rest] = [len(e.ids) for e in done]
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        # From the order of encoding to the chunks' own.
+        order = np.concatenate([run, rest])
+        begin = np.empty(len(names), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(flat))
+        return flat[place], size
 
     def _forget(self):
         self._chunks = pa.array([], pa.string())
-        self._pool, self._at, self._size = np.zeros(0, np.uint32), *np.zeros((2, 0), np.int64)
+        self._pool, self._at, self._size = np.zeros(0, np.uint32), *np.zeros((2, 0), np.int32)
 
     def _whole(self, text, odd, out, starts):
         pieces, sizes = [], np.diff(starts)
@@ -113,6 +139,12 @@ def encoder(path: str, literal: bool = False) -> ChunkEncoder:
     return _ENCODERS[key]
 
 
+def forget() -> None:
+    """Free what encoders remember, where a worker goes on to stages without them."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def public_path(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
