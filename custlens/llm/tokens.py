@@ -21,7 +21,7 @@ WHITE = r"\t\n\x0B\f\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}
 
 #: Distinct chunks whose ids a worker remembers between slices (some 40 bytes each);
 #: beyond that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 2_000_000
 #: Chunks of one running text.
 RUN = 500
 
@@ -33,10 +33,18 @@ class ChunkEncoder:
     def __init__(self, path: str, literal: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.decoders import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = literal
+        # Without a normaliser, the tokens of a byte-level vocabulary spell the text's
+        # bytes, one character each: their lengths tell where they stand.
+        self._bytes = None
+        if self.tokenizer.normalizer is None and isinstance(self.tokenizer.decoder, ByteLevel):
+            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+            self._bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+            self._bytes[list(vocab.values())] = [len(t) for t in vocab]
         self._forget()
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,14 +102,21 @@ class ChunkEncoder:
         size = np.zeros(len(names), np.int64)
         rest = np.flatnonzero(~plain)
         run = np.flatnonzero(plain)
+        length = np.asarray(pc.binary_length(chunks) if self._bytes is not None
+                            else pc.utf8_length(chunks)).astype(np.int64)
         for k in range(0, len(run), RUN):
-            some = [names[i] for i in run[k:k + RUN]]
-            done = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
-            first = np.fromiter((o[0] for o in done.offsets), np.int64, len(done.ids))
-            ids.append(np.array(done.ids, np.uint32))
-            size[run[k:k + RUN]] = np.bincount(np.searchsorted(ends, first, side="right"),
-                                               minlength=len(some))
+            own = run[k:k + RUN]
+            text = "".join([names[i] for i in own])
+            if self._bytes is not None:
+                got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                first = self._bytes[got].cumsum() - self._bytes[got]
+            else:
+                done = self.tokenizer.encode(text, add_special_tokens=False)
+                got = np.array(done.ids, np.uint32)
+                first = np.array(done.offsets, np.int64).reshape(-1, 2)[:, 0]
+            ids.append(got)
+            size[own] = np.bincount(np.searchsorted(np.cumsum(length[own]), first, side="right"),
+                                    minlength=len(own))
         done = self.tokenizer.encode_batch_fast([names[i] for i in rest], add_special_tokens=False)
         ids += [np.array(e.ids, np.uint32) for e in done]
         size[rest] = [len(e.ids) for e in done]
