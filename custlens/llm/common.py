@@ -7,6 +7,8 @@ partition has; only a single text is ever held whole.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -90,6 +92,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             to = max(at + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(at, to - at)
             at = to
+            trim()
 
 
 def word_arrays(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -121,6 +124,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@functools.cache
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+@functools.cache
+def _malloc_trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def trim() -> None:
+    """Hand freed memory back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    _malloc_trim()(0)
+
+
+def ranks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and the place of each element among them."""
+    order = np.argsort(x)
+    s = x[order]
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    back = np.empty(len(x), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return s[new], back
+
+
 def pack(a: np.ndarray) -> bytes:
     """An integer array in the narrowest unsigned type that holds it, or any
     other array as it is, compressed."""
@@ -129,10 +162,9 @@ def pack(a: np.ndarray) -> bytes:
         if not a.size or int(a.min()) >= 0:
             a = a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16
                          else np.uint32 if top < 1 << 32 else np.uint64)
-    return a.dtype.char.encode() + zstandard.ZstdCompressor(level=1).compress(
-        np.ascontiguousarray(a).tobytes())
+    return a.dtype.char.encode() + _zstd()[0].compress(np.ascontiguousarray(a).tobytes())
 
 
 def unpack(b: bytes, dtype=None) -> np.ndarray:
-    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.dtype(chr(b[0])))
+    a = np.frombuffer(_zstd()[1].decompress(b[1:]), np.dtype(chr(b[0])))
     return a if dtype is None else a.astype(dtype)

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from custlens.llm.common import documents, pack, slices, stage, unpack
+from custlens.llm.common import documents, slices, stage
 from custlens.llm.elias_fano import EliasFano, encode
 from custlens.llm.tokens import encoder, forget, public_path, with_end
 
@@ -91,11 +91,14 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int,
     edge = np.array(bounds, np.int64)
     for part in slices(batches, max_bytes=4 << 20):
         ids, starts = with_end(*encoder(path).encode(part.column("text")), end)
+        # Two bytes an id where all ids fit; the first byte tells.
+        ids = ids.astype("<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4")
         doc = part.column("doc_id")
         # Null ids go to the first range and sort first in it.
         where = np.searchsorted(edge, pc.fill_null(doc, np.iinfo(np.int64).min).to_numpy(),
                                 side="right")
-        packed = [pack(ids[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        mark = bytes([ids.itemsize])
+        packed = [mark + ids[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(where, pa.int32()), doc, pa.array(packed, pa.binary())],
             names=["part", "doc_id", "ids"])
@@ -116,7 +119,7 @@ def _segments(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
 
     for batch in batches:
         for p, d, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            ids = unpack(b)
+            ids = np.frombuffer(b[1:], "<u2" if b[0] == 2 else "<u4")
             if docs and (p != part or total + len(ids) > most):
                 yield flush()
                 place = place + 1 if p == part else 0
