@@ -41,9 +41,11 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 3, 4
 #: Shingles of a shard and tokens of a group that one task verifies, about.
 SHARD_SHINGLES = 2_500_000
-GROUP_TOKENS = 2_000_000
+GROUP_TOKENS = 4_000_000
 #: Spare bits of cut shingle hashes: a collision's chance is 2 to the power of minus these.
 SPARE_BITS = 6
+#: Contents of segments are keys from at most this many tokens on.
+MOST_LEAST = 3
 #: One of so many index keys is counted to estimate costs.
 COST_SAMPLE = 32
 
@@ -218,21 +220,19 @@ def _key(table: int, segment: np.ndarray, content: np.ndarray) -> np.ndarray:
     return mix(content + mix(segment.astype(np.uint64) + _U((table + 1) << 40)))
 
 
-def keys(tokens: np.ndarray, table: int, m: int, level: np.ndarray, keep_empty: bool) -> np.ndarray:
+def keys(tokens: np.ndarray, table: int, m: int, level: np.ndarray, least: int) -> np.ndarray:
     """Index keys of a set in a table.  ``level`` allots each segment -1 (none), 0 (its
-    subset) or 1 (also the subsets less one token).  Empty contents are left out
-    unless ``keep_empty``."""
+    subset) or 1 (also the subsets less one token).  Contents of fewer tokens than
+    ``least`` are no keys."""
     segment, mixed, have, at, whole = _segments(tokens, table, m)
-    used = level[have] >= 0
+    size = np.diff(np.concatenate([at, [len(segment)]]))
+    used = (level[have] >= 0) & (size >= least)
     out = [_key(table, have[used], whole[used])]
-    near = level[segment] == 1
+    near = (level[segment] == 1) & (np.repeat(size, size) > least)
     if near.any():
-        size = np.diff(np.concatenate([at, [len(segment)]]))
         less = np.repeat(whole, size) - mixed
-        if not keep_empty:
-            near &= np.repeat(size, size) > 1
         out.append(_key(table, segment[near], less[near]))
-    if keep_empty:
+    if least == 0:
         none = np.setdiff1d(np.flatnonzero(level >= 0), have)
         out.append(_key(table, none, np.zeros(len(none), np.uint64)))
     return np.concatenate(out)
@@ -244,17 +244,19 @@ def _tables_of(n: int, edges: list[int]) -> list[int]:
 
 
 def _cost_rows(batches: Iterator[pa.RecordBatch], edges: list[int]) -> Iterator[pa.RecordBatch]:
-    """Sampled keys by table, segment and level, and the most empty segments by table."""
+    """Sampled keys by table, segment and level, and the most scarce segments by table."""
     for batch in batches:
         cols: list[list[np.ndarray]] = [[], [], [], []]
-        empty: dict[int, int] = {}
+        scarce: dict[tuple[int, int], int] = {}
         for b in batch.column("tokens").to_pylist():
             tokens = unpack(b)
             for k in _tables_of(len(tokens), edges):
                 m = segment_count(most_different(edges, k))
                 segment, mixed, have, at, whole = _segments(tokens, k, m)
-                empty[k] = max(empty.get(k, 0), m - len(have))
                 size = np.diff(np.concatenate([at, [len(segment)]]))
+                for least in range(1, MOST_LEAST + 1):
+                    few = m - int((size >= least).sum())
+                    scarce[k, least] = max(scarce.get((k, least), 0), few)
                 for lvl, seg, key in ((0, have, _key(k, have, whole)),
                                       (1, segment, _key(k, segment, np.repeat(whole, size) - mixed))):
                     pick = key % _U(COST_SAMPLE) == 0
@@ -262,22 +264,23 @@ def _cost_rows(batches: Iterator[pa.RecordBatch], edges: list[int]) -> Iterator[
                                            np.full(pick.sum(), lvl), key[pick].astype(np.int64)),
                                     strict=True):
                         c.append(v)
-        # Empty counts ride along as rows of level 2.
-        extra = np.array([(k, z, 2, 0) for k, z in empty.items()], np.int64).reshape(-1, 4)
+        # The most segments below each least size ride along as rows of level 1 + size.
+        extra = np.array([(k, z, 1 + least, 0) for (k, least), z in scarce.items()], np.int64).reshape(-1, 4)
         arrays = [np.concatenate([*c, extra[:, i]]) for i, c in enumerate(cols)]
         yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in arrays],
                                          names=["table", "segment", "level", "key"])
 
 
-def allot(h: int, m: int, most_empty: int, cost: dict[tuple[int, int], float]) -> tuple[np.ndarray, bool]:
-    """Levels of a table's segments at least cost, and whether empty contents are keys.
+def allot(h: int, m: int, scarce: dict[int, int], cost: dict[tuple[int, int], float]) -> tuple[np.ndarray, int]:
+    """Levels of a table's segments at least cost, and the least content of a key.
 
-    Sets may share empty segments, which are no keys: each can hide two credits of a
-    pair, so the needed sum of (level + 1) grows by twice the most empty segments of
-    any set; where that is out of reach, empty contents are indexed too.
+    Contents of few tokens are shared by chance, so they are no keys where that can be
+    afforded: a segment in which either set has too few tokens hides at most one credit
+    for each such set, so the needed sum of (level + 1) grows by twice the most such
+    segments of any set (``scarce``, by least content).
     """
-    keep_empty = 2 * m < h + 1 + 2 * most_empty
-    need = h + 1 + (0 if keep_empty else 2 * most_empty)
+    least = max([t for t, z in scarce.items() if h + 1 + 2 * z <= 2 * m], default=0)
+    need = h + 1 + 2 * scarce.get(least, 0)
     level = np.full(m, -1, np.int64)
     subset = np.array([cost.get((i, 0), 0.0) + 1e-9 for i in range(m)])
     nearby = np.array([cost.get((i, 1), 0.0) + 1e-6 for i in range(m)])
@@ -285,11 +288,11 @@ def allot(h: int, m: int, most_empty: int, cost: dict[tuple[int, int], float]) -
     steps = np.concatenate([subset, np.maximum(nearby, subset)])
     for s in np.argsort(steps, kind="stable")[:need]:
         level[s % m] += 1
-    return level, keep_empty
+    return level, least
 
 
-def _plan(sets: DataFrame, edges: list[int]) -> dict[int, tuple[int, np.ndarray, bool]]:
-    """Segments, levels and the empty rule of every table in use, from the keys' costs."""
+def _plan(sets: DataFrame, edges: list[int]) -> dict[int, tuple[int, np.ndarray, int]]:
+    """Segments, levels and the least content of every table in use, from the keys' costs."""
     rows = sets.select("tokens").mapInArrow(
         lambda b: _cost_rows(b, edges), "table long, segment long, level long, key long")
     counted = rows.groupBy("table", "segment", "level", "key").count()
@@ -300,9 +303,10 @@ def _plan(sets: DataFrame, edges: list[int]) -> dict[int, tuple[int, np.ndarray,
         h = most_different(edges, k)
         m = segment_count(h)
         own = [r for r in cost if r["table"] == k]
-        empty = max([r["segment"] for r in own if r["level"] == 2], default=0)
-        level, keep = allot(h, m, empty, {(r["segment"], r["level"]): r["c"] for r in own if r["level"] < 2})
-        out[k] = (m, level, keep)
+        scarce = {t: max([r["segment"] for r in own if r["level"] == 1 + t], default=0)
+                  for t in range(1, MOST_LEAST + 1)}
+        level, least = allot(h, m, scarce, {(r["segment"], r["level"]): r["c"] for r in own if r["level"] < 2})
+        out[k] = (m, level, least)
     return out
 
 
