@@ -115,6 +115,11 @@ class EliasFano:
     def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(x) or not self.n:
             return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        if len(x) * 8 >= self.n:
+            # So many arguments are searched faster in the decoded sequence.
+            values = self.all()
+            at = np.searchsorted(values, x)
+            return at, values[np.minimum(at, self.n - 1)] == x
         inside = x < np.uint64(self.universe)
         x_in = np.where(inside, x, np.uint64(0))
         high = (x_in >> self.width).astype(np.int64)
