@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from custlens.llm.common import documents, hash_words, pack, slices, strings, unpack, word_arrays
 
 #: Rows of the samples that the models are fitted on, at most.
-LABELLED, UNLABELLED = 12_000, 12_000
+LABELLED, UNLABELLED = 8_000, 4_000
 ROUNDS = 3
 #: Share of the unlabelled sample that a view may label in a round, for either class,
 #: and the least confidence.
@@ -105,19 +105,25 @@ META_SIZE = META_BUCKETS * 2 + NUMBERS * (BINS + 1)
 def _take(feats: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = (at[1:] - at[:-1])[rows]
     ends = np.cumsum(size)
-    place = np.repeat(at[rows] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+    place = np.repeat((at[rows] - (ends - size)).astype(np.int32), size)
+    place += np.arange(len(place), dtype=np.int32)
     return feats[place], np.concatenate([[0], ends])
 
 
 def logits(feats: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Sums of the features' weights, plus the bias (the last weight)."""
+    some = np.flatnonzero(weights[:-1])
+    if len(some) * 4 < len(weights):
+        # Few features weigh anything: sum those alone.
+        use = (weights != 0)[feats]
+        at, feats = np.concatenate([[0], np.cumsum(use)])[at], feats[use]
     total = np.concatenate([[0.0], np.cumsum(weights[feats])])
     return total[at[1:]] - total[at[:-1]] + weights[-1]
 
 
 def telling(feats: np.ndarray, at: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
     """Features whose share of rows differs between the labels by more than chance."""
-    owner = np.repeat(np.arange(len(y)), np.diff(at))
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(at))
     n = np.array([(y == 0).sum(), (y == 1).sum()], float)
     have = np.stack([np.bincount(feats[y[owner] == k], minlength=size) for k in (0, 1)]).astype(float)
     # Rows are taken as at most one occurrence each; hash collisions may exceed that.
@@ -251,8 +257,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, Views], np.ndar
                             "nums array<double>, vals array<long>").dropDuplicates(["doc_id"]).toPandas()
     got = got.sort_values("doc_id").reset_index(drop=True)
     n = len(got)
-    feats = [unpack(b, np.int64) for b in got["words"]]
-    text = (np.concatenate([*feats, np.zeros(0, np.int64)]), np.concatenate([[0], np.cumsum([len(f) for f in feats])]).astype(np.int64))
+    feats = [unpack(b, np.int32) for b in got.pop("words")]
+    text = (np.concatenate([*feats, np.zeros(0, np.int32)]), np.concatenate([[0], np.cumsum([len(f) for f in feats])]).astype(np.int64))
+    del feats
     nums = np.array(got["nums"].tolist(), float).reshape(n, NUMBERS)
     vals = np.array(got["vals"].tolist(), np.int64).reshape(n, 2)
     cuts = np.arange(1, BINS + 1) / (BINS + 1)
