@@ -35,6 +35,13 @@ SMOOTHING = 10.0
 THRESHOLD = -0.11
 
 
+def pin(column: Column) -> Column:
+    """The column, with a condition that always holds but that the optimiser can't
+    decide: it then neither moves filters below this projection nor puts the column's
+    expression into later lambdas, where each element would work it out anew."""
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def words_of(text: Column) -> Column:
     inner = F.btrim(text, F.lit(SPACE))
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(
@@ -107,11 +114,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
     rows = documents(docs)
     # The same join at every size: texts meet the labels by doc_id, unsorted.
     rows = rows.join(ids.hint("shuffle_hash"), rows["doc_id"] == ids["trusted_id"], "left")
-    # A projection of their own: an expression that a lambda refers to would be
-    # worked out again for each element.
     rows = rows.select(F.col("trusted_id").isNotNull().cast("long").alias("t"),
-                       words_of(no_text(F.col("text"))).alias("words"))
-    rows = rows.select("t", hashes(F.col("words")).alias("hashed"))
+                       pin(words_of(no_text(F.col("text")))).alias("words"))
+    rows = rows.select("t", pin(hashes(F.col("words"))).alias("hashed"))
     grams = rows.select("t", F.explode(_grams(F.col("hashed"))).alias("b"))
     counts = {r["b"]: (r["t"], r["n"]) for r in
               grams.groupBy("b").agg(F.sum("t").alias("t"), F.count("*").alias("n")).collect()}
@@ -129,23 +134,22 @@ def _assessed(docs: DataFrame, trusted: DataFrame, threshold: float, row: Column
     text = no_text(F.col("text").cast("string"))
     # Each projection holds what the lambdas of the next refer to.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       words_of(text).alias("words"), _lines(text).alias("lines"),
+                       pin(words_of(text)).alias("words"), _lines(text).alias("lines"),
                        (F.lit(None) if row is None else row).alias("__row"))
-    rows = rows.withColumn("hashed", hashes(F.col("words")))
-    rows = rows.withColumn("win", windows(F.col("hashed")))
-    rows = rows.withColumn("placed", F.when(
+    rows = rows.withColumn("hashed", pin(hashes(F.col("words"))))
+    rows = rows.withColumn("win", pin(windows(F.col("hashed"))))
+    rows = rows.withColumn("placed", pin(F.when(
         F.size(F.array_distinct("win")) < F.size("win"),
-        F.sort_array(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    rows = rows.withColumn("starts", _near_equal(F.col("placed")))
+        F.sort_array(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))))
+    rows = rows.withColumn("starts", pin(_near_equal(F.col("placed"))))
     rows = rows.select(
-        "__row", F.monotonically_increasing_id().alias("__at"),
-        "doc_id", F.size("words").cast("long").alias("n_words"),
+        "__row", "doc_id", F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", SPACE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _covered(F.col("starts")).cast("long").alias("n_repeat_words"),
-        (_ratio_sum(F.col("hashed"), weights)
-         / F.greatest(2 * F.size("words") - 1, F.lit(1))).alias("llr"))
+        pin(_covered(F.col("starts")).cast("long")).alias("n_repeat_words"),
+        pin(_ratio_sum(F.col("hashed"), weights)
+            / F.greatest(2 * F.size("words") - 1, F.lit(1))).alias("llr"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn(
@@ -160,15 +164,12 @@ def assess(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) ->
     any trusted n-gram there is nothing to compare with: all ratios are 0 and only
     the base rules decide.  Repeated rows and ids give repeated results.
     """
-    return _assessed(docs, trusted, threshold).drop("__row", "__at")
+    return _assessed(docs, trusted, threshold).drop("__row")
 
 
 def keep(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text passes, with all their columns."""
-    out = _assessed(docs, trusted, threshold, F.struct("*"))
-    # The row number, always positive, keeps the optimiser from moving the filter
-    # below the projections, where every lambda would work out its arguments anew.
-    return out.where(F.col("kept") & (F.col("__at") >= 0)).select("__row.*")
+    return _assessed(docs, trusted, threshold, F.struct("*")).where("kept").select("__row.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
