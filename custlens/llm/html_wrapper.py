@@ -223,6 +223,15 @@ def _find(wrapper: list, label: str, path: str = "") -> list[str]:
     return [p for x in wrapper[1] for p in _find(x, label, own)]
 
 
+def _repeated(wrapper: list, path: str = "", inside: bool = False) -> set[str]:
+    """Paths of the elements that are repeated, themselves or in a group."""
+    if wrapper[0].startswith("("):
+        return {p for x in wrapper[1] for p in _repeated(x, path, True)}
+    own = f"{path}/{wrapper[0]}"
+    out = {own} if inside or wrapper[3] else set()
+    return out.union(*(_repeated(x, own) for x in wrapper[1]))
+
+
 def main_paths(wrapper: list, mass: dict[str, float]) -> list[str]:
     """Paths of the elements that hold the main text.  ``mass``: characters of varying
     text by slot path."""
@@ -230,8 +239,8 @@ def main_paths(wrapper: list, mass: dict[str, float]) -> list[str]:
         got = [p for p in _find(wrapper, label) if any(s == p or s.startswith(p + "/") for s in mass)]
         if got:
             return sorted(set(got))
-    # Go down while one child carries most of the varying text.
-    path, total = "", sum(mass.values())
+    # Go down while one child, not one of a row of like ones, carries most varying text.
+    path, total, rows = "", sum(mass.values()), _repeated(wrapper)
     while total:
         below: dict[str, float] = {}
         for s, n in mass.items():
@@ -239,7 +248,7 @@ def main_paths(wrapper: list, mass: dict[str, float]) -> list[str]:
                 step = path + "/" + s[len(path) + 1:].split("/")[0]
                 below[step] = below.get(step, 0) + n
         step = max(below, key=lambda p: (below[p], p), default="")
-        if not step or below[step] < 0.6 * total or step.rsplit("/", 1)[1].partition(".")[0] in (
+        if not step or step in rows or below[step] < 0.6 * total or step.rsplit("/", 1)[1].partition(".")[0] in (
                 "p", "li", "span", "b", "i", "em", "strong", "a", *HEADINGS):
             break
         path, total = step, below[step]
