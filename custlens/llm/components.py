@@ -7,7 +7,7 @@ its whole degree; edges stay distributed and are cut from lineage by staged tabl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from custlens.llm.common import drop_staged, stage
@@ -28,7 +28,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v")))
     return out.where(F.col("u") != F.col("v")).select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,15 +37,20 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     edges = edges.where(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    path, before = stage(edges, "edges"), None
+    path, before = None, None
     while True:
-        edges = spark.read.parquet(path)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        # Count and checksum come with the write, not from a job of their own.
+        seen = Observation()
+        counted = edges.observe(seen, F.count(F.lit(1)).alias("n"),
+                                F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        done, path = path, stage(counted, "edges")
+        if done:
+            drop_staged(spark, done)
+        now, edges = seen.get, spark.read.parquet(path)
+        # At rest every edge joins a node to its component's smallest node.
+        if now == before or not now["n"]:
             break
         before = now
-        done, path = path, stage(_star(_star(edges, True), False), "edges")
-        drop_staged(spark, done)
-    # At rest every edge joins a node to its component's smallest node.
+        edges = _star(_star(edges, True), False).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
