@@ -2,9 +2,8 @@
 
 from custlens.functions.calendar import (calendar_parts, day_of_year, hour, iso_week,
                                          weekday_mon0, whole_days_between)
-from custlens.functions.numeric import (log_bucket, money_mean, money_sum, nan_to_null, recode,
-                                        row_sum, safe_ratio)
+from custlens.functions.numeric import log_bucket, money_sum, nan_to_null, recode, row_sum
 
 __all__ = ["calendar_parts", "day_of_year", "hour", "iso_week", "weekday_mon0",
-           "whole_days_between", "log_bucket", "money_mean", "money_sum", "nan_to_null",
-           "recode", "row_sum", "safe_ratio"]
+           "whole_days_between", "log_bucket", "money_sum", "nan_to_null",
+           "recode", "row_sum"]

@@ -20,18 +20,12 @@ def nan_to_null(col) -> Column:
 
 
 def money_sum(col, scale: int | None = 2) -> Column:
-    """Sum of a money column.  Amounts are cents, so the double sum is rounded
-    back to ``scale`` decimals: exact and the same in every engine."""
-    s = F.sum(_c(col))
-    return F.round(s, scale) if scale is not None else s
-
-
-def money_mean(col, scale: int | None = 2) -> Column:
-    """Mean as (rounded exact sum) / count, so the division is the only rounding."""
-    c = _c(col)
+    """Sum of a money column of ``scale`` decimals.  Amounts are summed as whole
+    numbers of the smallest unit, so the sum is exact and does not depend on the
+    order of the rows; ``None`` sums the doubles as they are."""
     if scale is None:
-        return F.avg(c)
-    return money_sum(c, scale) / F.count(c)
+        return F.sum(_c(col))
+    return F.sum(F.round(_c(col) * F.lit(10.0 ** scale)).cast("bigint")) / F.lit(10.0 ** scale)
 
 
 def log_bucket(col, per_octave: int = 256) -> Column:
@@ -53,12 +47,7 @@ def recode(col, mapping: dict, default=None) -> Column:
 
 
 def row_sum(cols, null_as_zero: bool = True) -> Column:
-    """Row-wise sum of numeric columns, nulls counted as 0 (pandas ``sum(axis=1)``)."""
-    parts = [F.coalesce(_c(c).cast("double"), F.lit(0.0)) if null_as_zero else _c(c).cast("double")
+    """Row-wise sum of numeric columns, nulls and NaN counted as 0 (pandas ``sum(axis=1)``)."""
+    parts = [F.coalesce(nan_to_null(c), F.lit(0.0)) if null_as_zero else _c(c).cast("double")
              for c in cols]
     return reduce(lambda a, b: a + b, parts)
-
-
-def safe_ratio(num, den) -> Column:
-    """``num / den`` that is NULL instead of raising when ``den`` is 0."""
-    return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

@@ -12,38 +12,42 @@ row per key then gives, per column, with conditional aggregates:
 * ``freq``    = count of the mode (rows equal to the mode),
 * ``minfreq`` = smallest count of any present value.
 
-Numbers and text are carried in separate struct fields so that ties break
-numerically for numbers and lexicographically for text.
+Whole numbers, other numbers and text are carried in separate struct fields, so
+that whole numbers keep all their digits and ties break numerically for
+numbers and lexicographically for text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegralType, NumericType
 
 STATS = ("nunique", "mode", "freq", "minfreq")
 
 
 def value_counts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
-    """``key, n, x, s, c``: rows per distinct non-null value of each named column
-    (``n`` = the column's position in ``columns``; numbers in ``x``, text in
-    ``s``), with map-side partial aggregation."""
+    """``key, n, i, x, s, c``: rows per distinct non-null value of each named column
+    (``n`` = the column's position in ``columns``; whole numbers in ``i``, other
+    numbers in ``x``, text in ``s``), with map-side partial aggregation."""
     types = df.select(*[c.alias(n) for n, c in columns.items()]).schema
     entries = []
     for i, field in enumerate(types.fields):
         c = columns[field.name]
-        if isinstance(field.dataType, NumericType):
-            x, s = c.cast("double"), F.lit(None).cast("string")
+        w, x, s = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+        if isinstance(field.dataType, IntegralType):
+            w = c.cast("bigint")
+        elif isinstance(field.dataType, NumericType):
+            x = c.cast("double")
         else:
-            x, s = F.lit(None).cast("double"), c.cast("string")
+            s = c.cast("string")
         # The column is identified by its position (an int key hashes and
         # shuffles cheaper than its name).
-        entries.append(F.struct(F.lit(i).alias("n"), x.alias("x"), s.alias("s")))
+        entries.append(F.struct(F.lit(i).alias("n"), w.alias("i"), x.alias("x"), s.alias("s")))
     long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
-              .select(key, "e.n", "e.x", "e.s")
-              .where(F.col("x").isNotNull() | F.col("s").isNotNull()))
-    return long.groupBy(key, "n", "x", "s").agg(F.count(F.lit(1)).alias("c"))
+              .select(key, "e.n", "e.i", "e.x", "e.s")
+              .where(F.col("i").isNotNull() | F.col("x").isNotNull() | F.col("s").isNotNull()))
+    return long.groupBy(key, "n", "i", "x", "s").agg(F.count(F.lit(1)).alias("c"))
 
 
 def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
@@ -74,8 +78,9 @@ def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
             elif stat == "minfreq":
                 outs.append(F.min(F.when(is_name, c)).alias(out))
             elif stat == "mode":
-                best = F.min(F.when(is_name, F.struct((-c).alias("nc"), F.col("x"), F.col("s"))))
-                field = "x" if isinstance(types[name], NumericType) else "s"
+                best = F.min(F.when(is_name, F.struct((-c).alias("nc"), F.col("i"), F.col("x"), F.col("s"))))
+                field = ("i" if isinstance(types[name], IntegralType)
+                         else "x" if isinstance(types[name], NumericType) else "s")
                 outs.append(best[field].cast(types[name]).alias(out))
             else:
                 raise ValueError(f"unknown stat {stat}")

@@ -145,23 +145,28 @@ def exact_medians_by_part(df: DataFrame, key: str, parts: dict[str, tuple[Column
     any value) with one column per part.
     """
     names = list(parts)
+    plain = df.select(key, *[F.when(cond, nan_to_null(val)).alias(f"_m{i}")
+                             for i, (val, cond) in enumerate(parts.values())])
+    plain = plain.where(F.col(key).isNotNull() & F.coalesce(
+        *[F.col(f"_m{i}") for i in range(len(names))]).isNotNull())
+    hot, n_hot = _hot_keys(plain, [key], hot_rows)
+
+    def builtin(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(*[F.median(f"_m{i}").alias(n) for i, n in enumerate(names)])
+
+    if hot is None:
+        return builtin(plain)
+    small = builtin(plain.join(hot, [key], "left_anti"))
+    # Only the rows of hot keys are taken apart, one row for each part.
+    df = df.join(hot, [key], "left_semi")
     entries = F.array(*[
         F.when(cond, F.struct(F.lit(i).alias("p"), val.cast("double").alias("x")))
         for i, (val, cond) in enumerate(parts.values())])
     long = (df.select(key, F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
               .select(key, F.col("e.p").alias("_part"), F.col("e.x").alias("_x")))
     base = _base(long, [key, "_part"], "_x")
-    hot, n_hot = _hot_keys(base, [key], hot_rows)
-
-    def builtin(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(key).agg(*[F.median(F.when(F.col("_part") == i, F.col("_v"))).alias(n)
-                                       for i, n in enumerate(names)])
-
-    if hot is None:
-        return builtin(base)
-    small = builtin(base.join(hot, [key], "left_anti"))
     groups = n_hot * len(parts) if max_groups is None else min(max_groups, n_hot) * len(parts)
-    ranked = _ranked(base.join(hot, [key], "left_semi"), [key, "_part"], groups, per_octave)
+    ranked = _ranked(base, [key, "_part"], groups, per_octave)
     aggs = []
     for i in range(len(names)):
         is_part = F.col("_part") == i

@@ -66,7 +66,12 @@ def bucket_counts_rowwise(trd: DataFrame, key: str = "id", tm: str = "trx_tm",
                        "left")
         return out.drop("_k1", "_b1", "_k2", "_b2")
 
-    hot, _ = hot_keys(t.where(F.col(key).isNotNull()), [key], hot_rows)
+    # Rows without a customer belong to no group: their counts are NULL.
+    known = t.where(F.col(key).isNotNull())
+    unknown = t.where(F.col(key).isNull()).withColumns({
+        c: F.lit(None).cast("bigint") for c in ("trx_tm_week", "trx_tm_weekday")})
+    hot, _ = hot_keys(known, [key], hot_rows)
     if hot is None:
-        return windowed(t)
-    return windowed(t.join(hot, key, "left_anti")).unionByName(joined(t.join(hot, key, "left_semi")))
+        return windowed(known).unionByName(unknown)
+    return (windowed(known.join(hot, key, "left_anti"))
+            .unionByName(joined(known.join(hot, key, "left_semi"))).unionByName(unknown))

@@ -33,12 +33,16 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
                    ratio_cols: Sequence[str] = (), ratio_sum: str = "l12mon_buy_sum",
                    families: Sequence[str] = FAMILIES, embed: bool = False,
                    order: Sequence[str] = ("trx_tm",), scoring_copies: int = 1,
-                   clean_text: bool = True) -> DataFrame:
+                   clean_text: bool = True, money_scale: int | None = 2,
+                   max_len: int = sequence.MAX_LEN) -> DataFrame:
     """Wide per-customer feature table.
 
     ``users``: ``id, split`` (train / score), ``flag`` on train rows and the
     attributes; ``trd``: ``id, trx_tm, amt, flg1, flg3, cod1, cod2``; ``beh``:
     ``id, page_tm``.  ``woe_cols`` / ``money_cols`` default to ``categorical``.
+    Embedding columns are named ``0`` to ``5``, as importance tables name them.
+    ``money_scale``: decimals of the amounts; ``max_len``: tokens of a chunk of a
+    customer's sequence (embedding contexts don't cross chunks).
     """
     cats = list(categorical)
     base = users
@@ -62,15 +66,16 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
         return w.select("id", *[c for c in w.columns if c.endswith(encode.WOE_SUFFIX)])
 
     def money_piece():
-        m = encode.category_money(base, trd, money, scoring_copies=scoring_copies)
+        m = encode.category_money(base, trd, money, scoring_copies=scoring_copies,
+                                  money_scale=money_scale)
         return m.select("id", *[f"{c}{s}" for c in money for s in encode.MONEY_STATS])
 
     def embed_piece():
-        seqs = sequence.token_sequences(trd, "id", "cod2", list(order))
+        seqs = sequence.token_sequences(trd, "id", "cod2", list(order), max_len=max_len)
         vocab = sequence.vocabulary(sequence.fit_embedding(seqs))
-        return sequence.token_mean_vectors(trd, "id", "cod2", vocab, dim=6)
+        return sequence.token_mean_vectors(trd, "id", "cod2", vocab, dim=6, prefix="")
 
-    tasks = [lambda: transaction_profile(trd, families), lambda: gap_stats(trd, "id", "trx_tm")]
+    tasks = [lambda: transaction_profile(trd, families, money_scale=money_scale), lambda: gap_stats(trd, "id", "trx_tm")]
     if beh is not None:
         tasks.append(lambda: gap_stats(beh, "id", "page_tm", suffix="2"))
     if embed:
@@ -90,8 +95,12 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
 def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | None = None,
                     actual_imp: DataFrame | None = None, categorical: Sequence[str] = (),
                     model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,
-                    narrow: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Blended scores per scoring customer and the fold AUC table.
+                    narrow: bool = True, scores_path: str | None = None,
+                    absent: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Blended scores per scoring customer and the fold AUC table.  With
+    ``scores_path`` the scores of each model and fold are written there, and the
+    blend is made from what was written.  A selected feature that the table lacks is
+    an error unless it is named in ``absent``.
 
     Feature selection (when importance tables are given) keeps the features
     whose gain score reaches 40 plus every ``*_crossentroy`` column.  Model 1
@@ -105,10 +114,15 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
     if null_imp is not None and actual_imp is not None:
         kept = {r["feature"] for r in
                 select.select_features(select.importance_scores(null_imp, actual_imp)).collect()}
+        missing = sorted(kept - set(feats) - set(absent))
+        if missing:
+            raise ValueError(f"selected features that the table lacks: {', '.join(missing)}")
         feats = [c for c in feats if c in kept or encode.WOE_SUFFIX in c]
     if not feats:
         raise ValueError("feature selection kept no column of the feature table")
     cats = [c for c in categorical if c in feats]
+    # The whole feature plan runs once; folds, narrowing and models read its result.
+    features = features.select("id", "flag", "split", *feats).checkpoint()
     train = clean.mark_member(features.where(F.col("split") == "train"), trd.select("id"),
                               "id", "has_trx")
     train = model.assign_folds(train, "id", "has_trx")
@@ -128,7 +142,8 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
             money = [f"{c}{st}" for c in cats for st in encode.MONEY_STATS]
             need = [c for c in cats if f"{c}{encode.MONEY_STATS[0]}" not in data.columns]
             enc = encode.category_money(data, trd, need) if need else data
-            enc = enc.drop(*cats)
+            # Every boosting round reads the encodings again.
+            enc = enc.drop(*cats).checkpoint()
             m_numeric = list(dict.fromkeys(numeric + [c for c in money if c in enc.columns]))
             s, o, _ = model.oof_fit(enc, m_numeric, [], model_id=m, max_iter=max_iter)
         else:
@@ -143,6 +158,10 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
     all_scores, all_oof = fitted[0]
     for s, o in fitted[1:]:
         all_scores, all_oof = all_scores.unionByName(s), all_oof.unionByName(o)
+    if scores_path:
+        from custlens.sources import io as sio
+        sio.write_scores(all_scores, scores_path)
+        all_scores = sio.read_scores(spark, scores_path)
     aucs = model.auc_by_group(all_oof, ["model", "fold"])
     return model.blend(all_scores), aucs
 
@@ -158,32 +177,40 @@ def standardize_transactions(trd: DataFrame) -> DataFrame:
 
 
 def score_from_files(spark, customers: dict[str, str], transactions: dict[str, str],
-                 page_views: dict[str, str], out_dir: str, categorical: Sequence[str],
+                 page_views: dict[str, str], out_dir: str, categorical: Sequence[str] | None = None,
                  null_importances: str | None = None, actual_importances: str | None = None,
                  model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,
-                 scoring_copies: int = 1, embed: bool = True) -> DataFrame:
+                 scoring_copies: int = 1, embed: bool = True,
+                 absent: Sequence[str] = ()) -> DataFrame:
     """Files in, scores out: ``customers`` / ``transactions`` / ``page_views``
     map a split name (``train``, ``score``) to a CSV path.  Writes the blended
     scores as ``id<TAB>score`` and the per-model scores as parquet under
     ``out_dir``; returns the blended scores."""
     from custlens.sources import io as sio
     from functools import reduce
+    categorical = sio.CATEGORICAL if categorical is None else categorical
 
     def union(frames):
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
-    users = union([sio.read_customers(spark, p, split) for split, p in customers.items()])
+    users = clean.require_unique(
+        union([sio.read_customers(spark, p, split) for split, p in customers.items()]))
     trd = standardize_transactions(
         union([sio.read_transactions(spark, p, split) for split, p in transactions.items()]))
     beh = union([sio.read_page_views(spark, p, split) for split, p in page_views.items()])
+    # Cross features of the columns that the files have.
+    products = {o: p for o, p in sio.PRODUCTS.items() if set(p) <= set(users.columns)}
+    ratios = sio.RATIO_COLUMNS if set(sio.RATIO_COLUMNS) <= set(users.columns) else ()
     feats = build_features(users, trd, beh, categorical=categorical, embed=embed,
-                           scoring_copies=scoring_copies)
+                           scoring_copies=scoring_copies, products=products,
+                           ratio_cols=ratios, ratio_sum=sio.RATIO_SUM)
     null_imp = sio.read_importances(spark, null_importances) if null_importances else None
     act_imp = sio.read_importances(spark, actual_importances) if actual_importances else None
     mode_cols = [c for c in ("dat3_mode", "trx1_mode", "trx2_mode", "week_mode2",
                              "weekday_mode2") if c in feats.columns]
     blended, aucs = score_customers(feats, trd, null_imp, act_imp, categorical=mode_cols,
-                                    model_ids=model_ids, max_iter=max_iter)
+                                    model_ids=model_ids, max_iter=max_iter,
+                                    scores_path=f"{out_dir.rstrip('/')}/scores", absent=absent)
     sio.write_submission(blended, f"{out_dir.rstrip('/')}/submission")
     aucs.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/fold_auc")
     return blended

@@ -148,6 +148,13 @@ select x.id, x.split,
        case when (p.smt = -1 or p.sms = -1) and x.size_num = -1 then null
             else x.size_num end as size_txt
 from x, p"""),
+    "clean_customers": """
+select id, split, cast(age as double) as age, try_cast(case
+         when split = 'score' and mixed in (chr(92) || 'N', '31', '30') then null else mixed end as double) as mixed
+from (select p_partkey as id, case when p_partkey % 5 = 0 then 'score' else 'train' end as split,
+             case when p_partkey % 13 = 0 then '-1' else cast(p_size as varchar) end as age,
+             case when p_partkey % 85 = 0 then chr(92) || 'N' else cast(p_size as varchar) end as mixed
+      from part)""",
     "narrow_types": """
 select cast(l_orderkey as smallint) as l_orderkey, cast(l_partkey as smallint) as l_partkey,
        cast(l_suppkey as tinyint) as l_suppkey, cast(l_linenumber as tinyint) as l_linenumber,

@@ -39,7 +39,7 @@ from part""",
 select p_brand as feature,
        p_retailprice + case when length(p_brand) = 8 then 20 else 0 end as importance_gain,
        p_size as importance_split
-from part where p_partkey % 10 = 0""",
+from part""",
     "scores": """
 select model, fold, id,
        cast((id * 31 + fold * 7 + model * 13) % 1000 as double) / 1000 as score

@@ -18,13 +18,13 @@ from custlens.operators.temporal import gap_stats, with_calendar_parts
 from custlens.plans.tidy import tidy
 from custlens.session import ensure_checkpoint_dir
 from custlens.sources import fixtures as fx
-from custlens.sources.materialize import materialize, stage
+from custlens.sources.materialize import file_state, materialize, stage
 from custlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_STAGED: dict[tuple[str, str, str], str] = {}
+_STAGED: dict[tuple, str] = {}
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,9 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     and dataset to the checkpoint folder and shared by the queries: their
     branches scan parquet instead of repeating the lineitem-orders
     sort-merge join.  In a deployment ``trd`` is an input table already."""
-    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir() or "", sf_dir)
+    # Tables that were replaced under the same path are joined anew.
+    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir() or "", sf_dir,
+           *[file_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("lineitem", "orders", "part")])
     path = _STAGED.get(key)
     if path is not None:
         try:
@@ -119,8 +121,8 @@ def member_fill(spark, sf_dir):
     a missing type, the others stay NULL."""
     users = fx.tag(spark, sf_dir).select("id")
     b = fx.beh(spark, sf_dir)
-    counts = b.groupBy("id").pivot("page").count()
-    types = [c for c in counts.columns if c != "id"]
+    types = list(fx.PAGE_TYPES)
+    counts = b.groupBy("id").pivot("page", types).count()
     out = clean.mark_member(users, b, "id", "has_beh").join(counts, "id", "left")
     return tidy(clean.fill_for_members(out, types, "has_beh", 0))
 
@@ -141,6 +143,13 @@ def null_sentinels(spark, sf_dir):
     return clean.null_sentinels(fx.tag_text(spark, sf_dir), categorical=["brand_txt", "type_txt"])
 
 
+def clean_customers(spark, sf_dir):
+    """Number columns read as text: real values 30, 31 and -1 stay where a split holds
+    numbers only; what parses becomes double."""
+    t = clean.null_sentinels(fx.tag_numbers(spark, sf_dir))
+    return clean.infer_numeric(t, skip=["id", "split"])
+
+
 def narrow_types(spark, sf_dir):
     return clean.narrow_types(read_table(spark, sf_dir, "lineitem"))
 
@@ -275,6 +284,7 @@ QUERIES.update({
     "product_features": product_features,
     "ratio_features": ratio_features,
     "null_sentinels": null_sentinels,
+    "clean_customers": clean_customers,
     "narrow_types": narrow_types,
     "woe_encode": woe_encode,
     "woe_out_of_fold": woe_out_of_fold,

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from custlens.sources.tables import read_table
 
 BACKSLASH_N = "\\N"
+# The page types of the events table.
+PAGE_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def tag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +93,18 @@ def tag_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tag_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number columns as a CSV gives them, as text: ``age`` holds numbers only, among
+    them 30, 31 and -1; ``mixed`` has a sentinel in the scoring rows alone."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    size = F.col("p_size").cast("string")
+    return p.select(
+        k.alias("id"), F.when(k % 5 == 0, "score").otherwise("train").alias("split"),
+        F.when(k % 13 == 0, "-1").otherwise(size).alias("age"),
+        F.when(k % 85 == 0, F.lit(BACKSLASH_N)).otherwise(size).alias("mixed"))
+
+
 def imp_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null importances: every part row is one run of its brand (feature)."""
     p = read_table(spark, sf_dir, "part")
@@ -100,10 +114,9 @@ def imp_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def imp_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actual importances: one run's worth of rows per feature (every tenth
-    part row, as FIXTURES.md defines the table), with two-digit brands
-    shifted up so that the selection threshold splits them."""
-    p = read_table(spark, sf_dir, "part").where(F.col("p_partkey") % 10 == 0)
+    """Actual importances: every part row is one run of its brand (feature), with
+    two-digit brands shifted up so that the selection threshold splits them."""
+    p = read_table(spark, sf_dir, "part")
     shift = F.when(F.length("p_brand") == 8, 20).otherwise(0)
     return p.select(F.col("p_brand").alias("feature"),
                     (F.col("p_retailprice") + shift).alias("importance_gain"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (DataType, DoubleType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
 # The reference's input column names.
@@ -15,6 +15,16 @@ CATEGORICAL = ("crd_card_act_ind", "atdd_type", "gdr_cd", "mrg_situ_cd", "edu_de
                "l1y_crd_card_csm_amt_dlm_cd", "l6mon_daim_aum_cd", "perm_crd_lmt_cd",
                "pl_crd_lmt_cd")
 
+# The product features (out -> factors), and the counts whose sum and
+# smoothed ratios are features.
+PRODUCTS = {"cur_debit_rate": ("cur_debit_min_opn_dt_cnt", "cur_debit_cnt"),
+            "cur_credit_rate": ("cur_credit_min_opn_dt_cnt", "cur_credit_cnt"),
+            "creditrate1": ("l1y_crd_card_csm_amt_dlm_cd", "cur_credit_min_opn_dt_cnt"),
+            "creditrate2": ("perm_crd_lmt_cd", "cur_credit_min_opn_dt_cnt"),
+            "creditrate3": ("l1y_crd_card_csm_amt_dlm_cd", "perm_crd_lmt_cd")}
+RATIO_COLUMNS = ("l12mon_buy_fin_mng_whl_tms", "l12_mon_fnd_buy_whl_tms", "l12_mon_gld_buy_whl_tms")
+RATIO_SUM = "l12mon_buy_sum"
+
 TRD_SCHEMA = StructType([
     StructField("id", StringType()), StructField("Dat_Flg1_Cd", StringType()),
     StructField("Dat_Flg3_Cd", StringType()), StructField("Trx_Cod1_Cd", StringType()),
@@ -23,19 +33,31 @@ TRD_SCHEMA = StructType([
 ])
 
 IMPORTANCE_SCHEMA = StructType([
-    StructField("row", IntegerType()), StructField("feature", StringType()),
+    StructField("feature", StringType()),
     StructField("importance_gain", DoubleType()), StructField("importance_split", LongType()),
     StructField("trn_score", DoubleType()),
 ])
 
 
+def _typed(name: str, kind: DataType) -> Column:
+    """A text column as ``kind``; a value that doesn't parse is an error, not a NULL."""
+    c = F.col(f"`{name}`")
+    value = c.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"{name}: not a {kind.simpleString()}: "), c)).cast(kind)
+    return F.when(c.isNull() | value.isNotNull(), value).otherwise(bad).alias(name)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Headered CSV.  Without a schema every column is read as text (sentinel
-    columns must stay text until they are cleaned)."""
-    r = spark.read.option("header", True)
-    if schema is not None:
-        return r.schema(schema).option("enforceSchema", False).csv(path)
-    return r.option("inferSchema", False).csv(path)
+    columns must stay text until they are cleaned).  With one, its columns are taken
+    by name, whatever their order and whichever others there are."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    if schema is None:
+        return raw
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    return raw.select(*[_typed(f.name, f.dataType) for f in schema.fields])
 
 
 def read_customers(spark: SparkSession, path: str, split: str) -> DataFrame:
@@ -55,11 +77,12 @@ def read_page_views(spark: SparkSession, path: str, split: str) -> DataFrame:
     ``page_tm`` and parsed; the other columns keep their header names."""
     raw = read_csv(spark, path)
     last = raw.columns[-1]
-    return (raw.withColumn("page_tm", F.to_timestamp(F.col(f"`{last}`"))).drop(last)
+    return (raw.withColumn("page_tm", _typed(last, TimestampType())).drop(last)
                .withColumn("split", F.lit(split)))
 
 
 def read_importances(spark: SparkSession, path: str) -> DataFrame:
+    """The columns by name; a nameless row number before them is left out."""
     return read_csv(spark, path, IMPORTANCE_SCHEMA)
 
 

@@ -1,4 +1,5 @@
 """Cleaning, narrowing, member fills, WOE and category money on hand-made frames."""
+import pytest
 
 import math
 
@@ -13,7 +14,7 @@ BS = "\\N"
 def test_null_sentinels_three_cases(spark):
     rows = [  # id, split, a (no -1), b (categorical, -1 in train), c (numeric, -1 in train)
         (1, "train", BS, "-1", "-1"),
-        (2, "train", "x", "31", "30"),
+        (2, "train", "x", "31", BS),
         (3, "score", "30", "y", "7"),
         (4, "score", "z", "-1", BS),
         (5, "train", "w", "v", "12"),
@@ -27,6 +28,33 @@ def test_null_sentinels_three_cases(spark):
                    (5, "train", "w", "v", 12.0)]
 
 
+def test_numbers_of_a_numeric_split_are_no_sentinels(spark):
+    # age: numbers only; amt: text in the scoring rows alone, where its sentinels go.
+    rows = [(1, "train", "-1", "-1"), (2, "train", "30", "30"), (3, "score", "31", BS),
+            (4, "score", "45", "31"), (5, "score", "7", "8")]
+    df = spark.createDataFrame(rows, "id int, split string, age string, amt string")
+    out = clean.infer_numeric(clean.null_sentinels(df), skip=["id", "split"]).orderBy("id")
+    assert [(r["age"], r["amt"]) for r in out.collect()] == [
+        (-1.0, -1.0), (30.0, 30.0), (31.0, None), (45.0, None), (7.0, 8.0)]
+
+
+def test_nan_is_no_value(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 2.0), (2, 1.0, nan)], "id int, a double, b double")
+    assert dict(clean.narrow_types(df, skip=["id"]).dtypes)["a"] == "float"
+    from custlens.operators import encode
+    got = encode.ratio_features(df, ["a", "b"], "s").orderBy("id").collect()
+    assert [r["s"] for r in got] == [2.0, 1.0]
+    txt = spark.createDataFrame([("NaN",), ("2",)], "t string")
+    assert [r["t"] for r in clean.infer_numeric(txt).collect()] == [None, 2.0]
+
+
+def test_repeated_ids_are_refused(spark):
+    clean.require_unique(spark.createDataFrame([(1,), (2,), (None,), (None,)], "id int"))
+    with pytest.raises(ValueError, match="id is repeated: 2"):
+        clean.require_unique(spark.createDataFrame([(1,), (2,), (2,)], "id int"))
+
+
 def test_null_sentinels_keeps_clean_and_score_only_minus_one(spark):
     # "-1" only in scoring rows: rule (a) applies, "-1" stays
     rows = [(1, "train", BS), (2, "score", "-1"), (3, "train", "5")]

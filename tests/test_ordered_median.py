@@ -99,3 +99,40 @@ def test_previous_value_across_segments(spark):
         a = out.sort_values(["k", "t", "p"], na_position="first").reset_index(drop=True)
         assert len(a) == len(b) and (a["t"] == b["t"]).all()
         assert a["p"].fillna(-1).tolist() == b["p"].fillna(-1).tolist()
+
+
+def test_running_sums_with_nulls_do_not_depend_on_the_split_of_hot_keys(spark):
+    from pyspark.sql import functions as F
+    from custlens.operators.ordered import running_sums
+    rows = [(1, i, v) for i, v in enumerate([None, None, 5, None, None, 2, None])] + [(2, 0, None)]
+    df = spark.createDataFrame(rows, "id int, t int, v int")
+    for hot in (0, 10**9):
+        out = running_sums(df, ["id"], F.floor(F.col("t") / 2), ["t"], {"s": F.col("v")}, hot)
+        got = [r["s"] for r in out.orderBy("id", "t").collect()]
+        assert got == [None, None, 5, 5, 5, 7, 7, None]
+
+
+def test_money_sums_are_exact_and_independent_of_partitions(spark):
+    from pyspark.sql import functions as F
+    from custlens.functions import money_sum
+    df = spark.range(300_000).select((F.col("id") % 9973 / 100 + 12345.01).alias("amt"))
+    want = sum(round((i % 9973) + 1234501) for i in range(300_000)) / 100
+    for d in (df.coalesce(1), df.repartition(8)):
+        assert d.agg(money_sum("amt")).first()[0] == want
+
+
+def test_modes_keep_all_digits_of_whole_numbers(spark):
+    from pyspark.sql import functions as F
+    from custlens.operators.histogram import value_stats
+    df = spark.createDataFrame([(1, 2**53), (1, 2**53 + 1), (1, 2**53 + 1)], "id int, n bigint")
+    got = value_stats(df, "id", {"n": F.col("n")}, {"n": {"mode": "m", "nunique": "k"}}).first()
+    assert (got["m"], got["k"]) == (2**53 + 1, 2)
+
+
+def test_rows_without_a_customer_get_no_bucket_count(spark):
+    from datetime import datetime
+    from custlens.operators.temporal import bucket_counts_rowwise
+    day = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, day), (1, day), (None, day), (None, day)], "id int, trx_tm timestamp")
+    got = bucket_counts_rowwise(df).orderBy("id").collect()
+    assert [(r["id"], r["trx_tm_week"]) for r in got] == [(None, None), (None, None), (1, 2), (1, 2)]

@@ -160,7 +160,7 @@ def test_features_to_scores_end_to_end(spark):
     trd = fx.trd(spark, SF0001)
     feats = build_features(users, trd, fx.beh(spark, SF0001), categorical=["seg_cd", "nat_cd"],
                            woe_cols=[], embed=True)
-    assert {"w2v_0", "w2v_5", "max_day_diff2", "seg_cd_cny_median", "trx2_modev"} <= set(feats.columns)
+    assert {"0", "5", "max_day_diff2", "seg_cd_cny_median", "trx2_modev"} <= set(feats.columns)
     blended, aucs = score_customers(feats, trd, categorical=["seg_cd", "nat_cd", "trx1_mode"],
                                     max_iter=3)
     b = blended.collect()
