@@ -41,14 +41,12 @@ def token_sequences(events: DataFrame, key: str, token: str, order: Sequence[str
 
 
 def fit_embedding(sequences: DataFrame, size: int = 6, window: int = 5, min_count: int = 1,
-                  seed: int = 999, partitions: int | None = None, max_iter: int = 1) -> Word2VecModel:
+                  seed: int = 999, partitions: int = 16, max_iter: int = 1) -> Word2VecModel:
     """Skip-gram ``Word2Vec`` over the token chunks (``tokens`` column).
 
-    Spark trains one model copy per partition and averages them, so the
-    number of training partitions follows the cluster's parallelism (default)
-    instead of a constant that would leave most executors idle at scale."""
-    if partitions is None:
-        partitions = max(1, sequences.sparkSession.sparkContext.defaultParallelism)
+    Spark trains one model copy per partition and averages them, so the result
+    depends on ``partitions``: an argument with a fixed default, not a property of
+    the cluster.  Raise it for large inputs."""
     w2v = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed,
                    numPartitions=partitions, maxIter=max_iter, maxSentenceLength=MAX_LEN,
                    inputCol="tokens", outputCol="_vec")
@@ -85,5 +83,10 @@ def token_mean_vectors(events: DataFrame, key: str, token: str, vocab: DataFrame
     tok = F.coalesce(F.col(token).cast("string"), F.lit(NULL_TOKEN)).alias("token")
     n_vocab = vocab.count()
     v = F.broadcast(vocab) if n_vocab <= BROADCAST_MAX_ROWS else vocab
-    joined = events.select(key, tok).join(v, "token")
-    return mean_vector(joined, key, "vector", dim, prefix=prefix)
+    # Tokens are counted before they meet their vectors: one row per key and token.
+    counts = events.select(key, tok).groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+    joined = counts.join(v, "token")
+    total = F.sum("_n")
+    return joined.groupBy(key).agg(*[
+        (F.sum(F.col("_n") * F.get("vector", F.lit(i)).cast("double")) / total).alias(f"{prefix}{i}")
+        for i in range(dim)])
