@@ -110,7 +110,7 @@ def woe_encode(users: DataFrame, cols: Sequence[str], label: str = "flag",
         fold_col, F.explode(F.array(*[F.lit(f) for f in folds])))
     excl = (all_tot.join(per.withColumnRenamed("pos_c", "_pf").withColumnRenamed("n_c", "_nf"),
                          ["_name", "_val", fold_col], "left")
-                   .join(F.broadcast(fold_tot), fold_col))
+                   .join(_maybe_broadcast(fold_tot, len(folds)), fold_col))
     pos_x = pos - F.col("_fp")
     neg_x = neg - (F.col("_fn") - F.col("_fp"))
     excl = excl.select("_name", "_val", fold_col, woe(

@@ -33,7 +33,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    # A cluster session without a shared folder can still run what stages nothing.
+    if spark.sparkContext.master.startswith("local") or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
