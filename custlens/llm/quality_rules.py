@@ -50,7 +50,13 @@ def words_of(text: Column) -> Column:
 
 def _lines(text: Column) -> Column:
     """Lines that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(F.translate(x, SPACE[1:], " " * 5))) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+
+
+def _count_of(text: Column, symbols: str) -> Column:
+    """How often ASCII symbols occur: the bytes that leave with each."""
+    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(s), F.lit(""))) for s in symbols),
+               F.lit(0))
 
 
 def hashes(words: Column) -> Column:
@@ -144,8 +150,8 @@ def _assessed(docs: DataFrame, trusted: DataFrame, threshold: float, row: Column
     rows = rows.withColumn("starts", pin(_near_equal(F.col("placed"))))
     rows = rows.select(
         "__row", "doc_id", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", SPACE, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.concat_ws("", "words")).cast("long").alias("word_chars"),
+        _count_of(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         pin(_covered(F.col("starts")).cast("long")).alias("n_repeat_words"),
         pin(_ratio_sum(F.col("hashed"), weights)
