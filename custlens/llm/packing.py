@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from custlens.llm.common import documents, slices
-from custlens.llm.tokens import encoder, public_path, with_end
+from custlens.llm.tokens import SLICE_BYTES, encoder, public_path, with_end
 
 WINDOW = 4096
 END_ID = 2
@@ -107,7 +107,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int,
         rows.extend(_rows(sequence, pieces))
         sequence += 1
 
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=SLICE_BYTES):
         ids, starts = with_end(*encoder(path).encode(part.column("text")), end)
         for i, doc in enumerate(part.column("doc_id").to_pylist()):
             own = ids[starts[i]:starts[i + 1]]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from custlens.llm.common import documents, slices, stage
 from custlens.llm.elias_fano import EliasFano, encode
-from custlens.llm.tokens import encoder, forget, public_path, with_end
+from custlens.llm.tokens import SLICE_BYTES, encoder, forget, public_path, with_end
 
 END_ID = 0
 #: Ids of a segment, at most (a longer document has its own).
@@ -89,7 +89,7 @@ class Segment:
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int,
             bounds: list[int]) -> Iterator[pa.RecordBatch]:
     edge = np.array(bounds, np.int64)
-    for part in slices(batches, max_bytes=4 << 20):
+    for part in slices(batches, max_bytes=SLICE_BYTES):
         ids, starts = with_end(*encoder(path).encode(part.column("text")), end)
         # Two bytes an id where all ids fit; the first byte tells.
         ids = ids.astype("<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4")

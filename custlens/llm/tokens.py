@@ -1,7 +1,7 @@
 """Encoding of texts with a public tokenizer, by distinct chunks.
 
-A text is cut before each run of white space; the tokenizers' own rules never
-join across such a cut, so a text's ids are its chunks' ids in a row.  Each
+A text is cut before blanks or runs of white space where the tokenizers' own rules
+never join across the cut, so a text's ids are its chunks' ids in a row.  Each
 distinct chunk of a slice of texts is encoded once and the ids are gathered with
 array operations, which costs a fraction of encoding every text.
 """
@@ -22,6 +22,8 @@ WHITE = r"\t\n\x0B\f\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}
 #: Distinct chunks whose ids a worker remembers between slices (some 40 bytes each);
 #: beyond that it starts anew.
 REMEMBERED = 2_000_000
+#: Bytes of a slice of texts: the remembered chunks are looked up once for each.
+SLICE_BYTES = 12 << 20
 #: Chunks of one running text.
 RUN = 500
 
@@ -51,13 +53,45 @@ class ChunkEncoder:
         """All ids of the texts in a row, and where each text's ids start
         (one entry more than texts)."""
         text = strings(text)
-        # An unused control mark goes before each run of white space, then texts are cut at it.
+        # Cutting at each blank is right unless white space or the end follows the blank.
+        odd = np.asarray(pc.match_substring_regex(text, f" [{WHITE}]| $|\x1e"))
+        if not odd.any():
+            return self._gather(*self._at_blanks(text))
+        if odd.all():
+            return self._at_runs(text)
+        parts = [(np.flatnonzero(~odd), *self._gather(*self._at_blanks(text.filter(pa.array(~odd))))),
+                 (np.flatnonzero(odd), *self._at_runs(text.filter(pa.array(odd))))]
+        size = np.zeros(len(text), np.int64)
+        for rows, _, starts in parts:
+            size[rows] = np.diff(starts)
+        begin = np.concatenate([[0], np.cumsum(size)])
+        out = np.empty(int(begin[-1]), np.uint32)
+        for rows, ids, starts in parts:
+            out[np.repeat(begin[rows] - starts[:-1], np.diff(starts)) + np.arange(len(ids))] = ids
+        return out, begin
+
+    def _at_blanks(self, text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Chunks between blanks, each standing for itself after a blank; a text's first
+        one, which has none before it, is marked."""
+        parts = pc.split_pattern(text, " ")
+        flat, off = parts.flatten(), np.asarray(parts.offsets).astype(np.int64)
+        off -= off[0]
+        first = np.zeros(len(flat), bool)
+        first[off[:-1]] = True
+        marked = pc.binary_join_element_wise("\x1e", flat.filter(pa.array(first)), "")
+        return pc.replace_with_mask(flat, pa.array(first), marked), off
+
+    def _at_runs(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts of any white space, which are cut before each run of it."""
         marked = pc.replace_substring_regex(text, f"([{WHITE}]+)", "\x1e\\1")
         parts = pc.split_pattern(marked, "\x1e")
         flat, off = parts.flatten(), np.asarray(parts.offsets).astype(np.int64)
-        off -= off[0]
+        out, starts = self._gather(pc.binary_join_element_wise("\x1e", flat, ""), off - off[0])
         # A text may hold the mark itself; such texts are encoded whole.
         odd = np.flatnonzero(np.asarray(pc.match_substring(text, "\x1e")))
+        return self._whole(text, odd, out, starts) if len(odd) else (out, starts)
+
+    def _gather(self, flat: pa.Array, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         coded = flat.dictionary_encode()
         pool, at, size = self._distinct(coded.dictionary)
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -67,11 +101,7 @@ class ChunkEncoder:
         # Position in the pool of every id: its chunk's start plus its place in the chunk.
         place = np.arange(total)
         place += np.repeat(at[code] - (ends - each), each)
-        out = pool[place]
-        starts = np.concatenate([[0], ends])[off]
-        if len(odd):
-            out, starts = self._whole(text, odd, out, starts)
-        return out, starts
+        return pool[place], np.concatenate([[0], ends])[off]
 
     def _distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A pool of ids, and where in it each chunk's ids start and how many they are."""
@@ -94,19 +124,18 @@ class ChunkEncoder:
         return self._pool, self._at[where].astype(np.int64), self._size[where].astype(np.int64)
 
     def _encode_new(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the chunks in a row, and how many each has.  Chunks of one blank and a
-        word are encoded as one running text, whose tokens' places tell the chunk."""
-        plain = np.asarray(pc.match_substring_regex(chunks, f"^ [^{WHITE}]"))
+        """Ids of the chunks in a row, and how many each has.  Chunks that follow a blank
+        are encoded as running texts, whose tokens' places tell the chunk."""
+        marked = np.asarray(pc.starts_with(chunks, "\x1e"))
         names = chunks.to_pylist()
         ids: list[np.ndarray] = []
         size = np.zeros(len(names), np.int64)
-        rest = np.flatnonzero(~plain)
-        run = np.flatnonzero(plain)
-        length = np.asarray(pc.binary_length(chunks) if self._bytes is not None
-                            else pc.utf8_length(chunks)).astype(np.int64)
+        rest, run = np.flatnonzero(marked), np.flatnonzero(~marked)
+        length = 1 + np.asarray(pc.binary_length(chunks) if self._bytes is not None
+                                else pc.utf8_length(chunks)).astype(np.int64)
         for k in range(0, len(run), RUN):
             own = run[k:k + RUN]
-            text = "".join([names[i] for i in own])
+            text = " " + " ".join([names[i] for i in own])
             if self._bytes is not None:
                 got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
                 first = self._bytes[got].cumsum() - self._bytes[got]
@@ -117,7 +146,7 @@ class ChunkEncoder:
             ids.append(got)
             size[own] = np.bincount(np.searchsorted(np.cumsum(length[own]), first, side="right"),
                                     minlength=len(own))
-        done = self.tokenizer.encode_batch_fast([names[i] for i in rest], add_special_tokens=False)
+        done = self.tokenizer.encode_batch_fast([names[i][1:] for i in rest], add_special_tokens=False)
         ids += [np.array(e.ids, np.uint32) for e in done]
         size[rest] = [len(e.ids) for e in done]
         flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
