@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from custlens.llm.common import (documents, hash_words, mix, pack, slices, stage, unpack,
                                  word_arrays)
-from custlens.llm.components import components
+from custlens.llm.components import components, stars
 
 WORDS = 5
 #: Least similarity, as a fraction of integers.
@@ -351,8 +351,7 @@ def _candidates(sets: DataFrame, edges: list[int]) -> DataFrame:
     rows = rows.withColumn("center", F.min("node").over(same)).withColumn(
         "meet", F.max("low").over(same))
     linked = F.when(F.col("other").isNotNull(), F.col("other")).when(F.col("meet"), F.col("center"))
-    return rows.select(F.col("node").alias("u"), linked.alias("v")).where(
-        F.col("u") != F.col("v")).distinct()
+    return rows.select(F.col("node").alias("u"), linked.alias("v")).where(F.col("u") != F.col("v"))
 
 
 # -- step 3: exact verification ----------------------------------------------
@@ -407,11 +406,12 @@ def links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by group to verified links; holds one group at a time."""
+    """Rows sorted by group to the components of its verified links, as stars; holds one
+    group at a time."""
     group, nodes, sets, found = None, [], [], []
 
     def close():
-        found.extend((nodes[a], nodes[b]) for a, b in links(sets))
+        found.extend(stars((nodes[a], nodes[b]) for a, b in links(sets)))
 
     for batch in batches:
         for g, d, b in zip(*(batch.column(c).to_pylist() for c in ("grp", "node", "tokens")), strict=True):
