@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from custlens.llm.common import drop_staged, importable, stage
+from custlens.llm.common import drop_staged, importable, stage, trim
 
 
 #: Edges of a chunk that one task holds.
-CHUNK = 500_000
+CHUNK = 100_000
 
 
 def stars(edges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -54,6 +54,7 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.extend(zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True))
         if len(held) >= CHUNK:
             yield flush()
+            trim()
     if held:
         yield flush()
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custlens.llm.common import (documents, hash_words, mix, pack, slices, stage, unpack,
+from custlens.llm.common import (documents, hash_words, mix, pack, slices, stage, trim, unpack,
                                  word_arrays)
 from custlens.llm.components import components, stars
 
@@ -42,6 +42,9 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Shingles of a shard and tokens of a group that one task verifies, about.
 SHARD_SHINGLES = 2_500_000
 GROUP_TOKENS = 4_000_000
+#: Index keys of sets that are taken together, and bytes of a slice of texts.
+CHUNK_KEYS = 400_000
+SLICE_BYTES = 6 << 20
 #: Spare bits of cut shingle hashes: a collision's chance is 2 to the power of minus these.
 SPARE_BITS = 6
 #: Contents of segments are keys from at most this many tokens on.
@@ -107,7 +110,7 @@ _COUNTS = "slice long, counts binary, docs binary"
 
 def _messages(batches: Iterator[pa.RecordBatch], shards: int, bits: int) -> Iterator[pa.RecordBatch]:
     base, serial = TaskContext.get().partitionId() << 32, 0
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=SLICE_BYTES):
         tokens, starts = shingle_sets(part.column("text"))
         node = digests(tokens, starts)
         # Copies in a slice send their shingles once.
@@ -158,6 +161,8 @@ def _count_private(messages: pd.DataFrame) -> pd.DataFrame:
         own = unpack(owners, np.int64)[alone[at:at + n]]
         out.append(pack(np.bincount(own, minlength=n_sets)))
         at += n
+    del values, value, order, edge, alone
+    trim()
     return pd.DataFrame({"slice": messages["slice"], "counts": out, "docs": None})
 
 
@@ -311,35 +316,46 @@ def _plan(sets: DataFrame, edges: list[int]) -> dict[int, tuple[int, np.ndarray,
 
 
 def _index(batches: Iterator[pa.RecordBatch], edges: list[int], plan: dict) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, other, low).  The sets of a batch that share a key are linked
-    here, in a star, and send the key once; ``other`` marks such links."""
+    """Rows (key, node, other, low).  Sets taken together (up to CHUNK_KEYS keys) that
+    share a key are linked here, in a star, and send the key once; ``other`` marks such
+    links."""
+    key: list[np.ndarray] = []
+    node: list[np.ndarray] = []
+    low: list[np.ndarray] = []
     for batch in batches:
-        key, node, low = [], [], []
-        for b, d in zip(batch.column("tokens").to_pylist(), batch.column("node").to_pylist(), strict=True):
-            tokens = unpack(b)
+        for b, d in zip(batch.column("tokens"), batch.column("node").to_pylist(), strict=True):
+            tokens = unpack(b.as_py())
             for k in _tables_of(len(tokens), edges):
                 some = np.unique(keys(tokens, k, *plan[k]))
                 key.append(some)
                 node.append(np.full(len(some), d))
                 # In table k, sets of band k meet all; those of band k + 1 meet only the former.
                 low.append(np.full(len(some), len(tokens) < edges[k + 1]))
-        if not key:
-            continue
-        key, node, low = map(np.concatenate, (key, node, low))
-        order = np.lexsort((node, ~low, key))
-        key, node, low = key[order], node[order], low[order]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        center = node[first][np.cumsum(first) - 1]
-        link = ~first & (node != center)
-        pairs = np.unique(np.stack([node[link], center[link]]), axis=1)
-        n = pairs.shape[1]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([key[first], mix(pairs[0].astype(np.uint64) ^ mix(pairs[1].astype(np.uint64)))]).astype(np.int64)),
-             pa.array(np.concatenate([node[first], pairs[0]])),
-             pa.array(np.concatenate([np.zeros(first.sum(), np.int64), pairs[1]]),
-                      mask=np.arange(first.sum() + n) < first.sum()),
-             pa.array(np.concatenate([low[first], np.zeros(n, bool)]))],
-            names=["key", "node", "other", "low"])
+            if sum(map(len, key)) >= CHUNK_KEYS:
+                yield _linked(*map(np.concatenate, (key, node, low)))
+                key, node, low = [], [], []
+                trim()
+    if key:
+        yield _linked(*map(np.concatenate, (key, node, low)))
+
+
+def _linked(key: np.ndarray, node: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+    """Stars of the nodes that share a key here, and one row for each key."""
+    order = np.lexsort((node, ~low, key))
+    key, node, low = key[order], node[order], low[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    center = node[first][np.cumsum(first) - 1]
+    link = ~first & (node != center)
+    pairs = np.unique(np.stack([node[link], center[link]]), axis=1)
+    n = pairs.shape[1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([key[first], mix(pairs[0].astype(np.uint64) ^ mix(
+            pairs[1].astype(np.uint64)))]).astype(np.int64)),
+         pa.array(np.concatenate([node[first], pairs[0]])),
+         pa.array(np.concatenate([np.zeros(first.sum(), np.int64), pairs[1]]),
+                  mask=np.arange(first.sum() + n) < first.sum()),
+         pa.array(np.concatenate([low[first], np.zeros(n, bool)]))],
+        names=["key", "node", "other", "low"])
 
 
 def _candidates(sets: DataFrame, edges: list[int]) -> DataFrame:
@@ -424,6 +440,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if found:
             yield _pairs(found)
             found.clear()
+        trim()
     if len(sets) > 1:
         close()
     if found:
