@@ -22,8 +22,6 @@ WHITE = r"\t\n\x0B\f\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}
 #: Distinct chunks whose ids a worker remembers between slices (some 40 bytes each);
 #: beyond that it starts anew.
 REMEMBERED = 2_000_000
-#: Bytes of a slice of texts: the remembered chunks are looked up once for each.
-SLICE_BYTES = 12 << 20
 #: Chunks of one running text.
 RUN = 500
 
