@@ -4,7 +4,10 @@ Fixed masks choose token positions and ignore the others, so a seed still hits
 where a substitution falls on an ignored one.  The hashes of all benchmark windows
 form a table of bounded size that travels with the tasks; benchmarks beyond the
 bound are taken in blocks, each against all documents.  Around every hit the two
-texts are compared token by token along its diagonal, and the best stretch decides.
+texts are compared token by token along its diagonal; a row is given where any stretch
+of it meets the rule.  Every such stretch holds a seed: one with at least six equal
+tokens, and three for each substitution, has three equal tokens in a row, or is two,
+two and two of them with single substitutions between (the last two masks).
 Documents are read in place: no shuffle, no join, so hot sources don't matter.
 """
 
@@ -23,12 +26,14 @@ from pyspark.sql import functions as F
 from custlens.llm.common import documents, hash_words, importable, mix, slices, word_arrays
 
 #: Positions that a seed compares (1) and ignores (0).
-MASKS = ("1111011", "11010010111", "1100101011001", "1010110001011")
+MASKS = ("1111011", "11010010111", "1100101011001", "1010110001011", "111", "11011011")
 #: A stretch counts from this many equal tokens on, or the whole of a shorter item,
 LEAST_EQUAL = 13
 #: but not below this many, and with at most this share of substitutions.
 SHORTEST = 6
 MOST_DIFFERENT = 0.25
+#: Tokens of diagonals that are compared at once.
+COMPARED = 1 << 21
 #: Tokens of the benchmark that one pass holds.
 BLOCK_TOKENS = 1 << 20
 
@@ -109,6 +114,37 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return int(np.argmin(gain[:end + 1])), end
 
 
+def widest_stretch(equal: np.ndarray) -> tuple[int, int]:
+    """Start and end of the stretch with the most equal tokens of which at most a quarter
+    differs; the first among equals, without differing ends."""
+    gain = np.concatenate([[0], np.cumsum(np.where(equal, 1, -3))])
+    # The earliest start from which the gain up to an end is not negative.
+    start = np.searchsorted(-np.minimum.accumulate(gain), -gain, side="left")
+    have = np.concatenate([[0], np.cumsum(equal)])
+    end = int(np.argmax(have - have[start]))
+    inside = np.flatnonzero(equal[start[end]:end])
+    if not len(inside):
+        return 0, 0
+    return int(start[end] + inside[0]), int(start[end] + inside[-1]) + 1
+
+
+def _enough(tokens: np.ndarray, table: SeedTable, a: np.ndarray, n: np.ndarray, shift: np.ndarray,
+            least: np.ndarray) -> np.ndarray:
+    """Diagonals (``n`` tokens from ``a`` on) with at least so many equal tokens in all."""
+    out = np.flatnonzero(n >= least)
+    ends = np.cumsum(n[out])
+    keep, at = [], 0
+    while at < len(out):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COMPARED, side="right")))
+        some = out[at:to]
+        first = np.cumsum(n[some]) - n[some]
+        here = np.repeat(a[some] - first, n[some]) + np.arange(n[some].sum())
+        same = tokens[here] == table.tokens[here - np.repeat(shift[some], n[some])]
+        keep.append(some[np.add.reduceat(same.astype(np.int64), first) >= least[some]])
+        at = to
+    return np.concatenate(keep) if keep else out
+
+
 def overlaps(text: pa.Array, table: SeedTable) -> list[tuple]:
     """(row, item, equal, compared, doc_start, item_start, item tokens) for each
     text and item that share a long enough stretch; the best one of each pair."""
@@ -119,22 +155,28 @@ def overlaps(text: pa.Array, table: SeedTable) -> list[tuple]:
     row = np.searchsorted(off, here, side="right") - 1
     item = np.searchsorted(table.starts, there, side="right") - 1
     # One comparison for each text, item and diagonal.
-    found = np.unique(np.stack([row, item, here - there]), axis=1)
+    order = np.lexsort((here - there, item, row))
+    row, item, shift = row[order], item[order], (here - there)[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(shift) != 0)
+    row, item, shift = row[new], item[new], shift[new]
+    size = np.diff(table.starts)[item]
+    least = np.maximum(SHORTEST, np.minimum(LEAST_EQUAL, np.ceil(size * (1 - MOST_DIFFERENT)))).astype(np.int64)
+    a = np.maximum(off[row], table.starts[item] + shift)
+    n = np.minimum(off[row + 1], table.starts[item + 1] + shift) - a
+    use = _enough(tokens, table, a, n, shift, least)
     best: dict[tuple, tuple] = {}
-    for r, i, shift in found.T.tolist():
-        a = max(int(off[r]), int(table.starts[i]) + shift)
-        b = min(int(off[r + 1]), int(table.starts[i + 1]) + shift)
-        if b <= a:
-            continue
-        same = tokens[a:b] == table.tokens[a - shift:b - shift]
-        s, e = best_stretch(same)
-        size = int(table.starts[i + 1] - table.starts[i])
-        equal = int(same[s:e].sum())
-        least = max(SHORTEST, min(LEAST_EQUAL, math.ceil(size * (1 - MOST_DIFFERENT))))
-        if equal >= least and e - s - equal <= MOST_DIFFERENT * (e - s):
-            one = (equal, e - s, a + s - int(off[r]), a + s - shift - int(table.starts[i]), size)
-            if (r, i) not in best or (-one[0], *one[1:]) < (-best[r, i][0], *best[r, i][1:]):
-                best[r, i] = one
+    for r, i, d, s, length, whole, enough in zip(*(x[use].tolist() for x in (row, item, shift, a, n, size, least)),
+                                                 strict=True):
+        same = tokens[s:s + length] == table.tokens[s - d:s - d + length]
+        for stretch in (best_stretch, widest_stretch):
+            x, y = stretch(same)
+            equal = int(same[x:y].sum())
+            if equal >= enough and y - x - equal <= MOST_DIFFERENT * (y - x):
+                one = (equal, y - x, s + x - int(off[r]), s + x - d - int(table.starts[i]), whole)
+                if (r, i) not in best or (-one[0], *one[1:]) < (-best[r, i][0], *best[r, i][1:]):
+                    best[r, i] = one
+                break
     return [(r, i, *v) for (r, i), v in best.items()]
 
 

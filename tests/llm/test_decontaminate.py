@@ -58,6 +58,39 @@ def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     assert {tuple(r) for r in D.find(docs, bench(spark)).collect()} == whole
 
 
+def brute(doc, item):
+    """The most equal tokens of any stretch that meets the rule, on any diagonal."""
+    doc, item = doc.split(), item.split()
+    least, most = max(6, min(13, -(-3 * len(item) // 4))), 0
+    for shift in range(-len(item), len(doc)):
+        same = [doc[k + shift] == w for k, w in enumerate(item) if 0 <= k + shift < len(doc)]
+        for x in range(len(same)):
+            for y in range(x + 1, len(same) + 1):
+                equal = sum(same[x:y])
+                if equal >= least and 3 * (y - x - equal) <= equal:
+                    most = max(most, equal)
+    return most
+
+
+def test_every_stretch_that_meets_the_rule_is_found():
+    import pyarrow as pa
+
+    def words(marks, k):
+        # A token of the item where the mark is 1, another one elsewhere.
+        return (" ".join(f"w{k}i{j}" for j in range(len(marks))),
+                "ahead " * 3 + " ".join(f"w{k}i{j}" if m == "1" else f"x{k}i{j}" for j, m in enumerate(marks)) + " after" * 3)
+
+    r = random.Random(5)
+    marks = ["1" * 10 + "0" * 4 + "1" * 10, "1" + "0" + "1" * 10 + "0" + "1", "1" * 6, "11011011", "1" * 5, "1110" * 5,
+             "1011101110111" * 2, "111011" * 3]
+    marks += ["".join(r.choice("1110") for _ in range(r.randint(6, 40))) for _ in range(150)]
+    made = [words(m, k) for k, m in enumerate(marks)]
+    table = D.SeedTable.build(list(range(len(made))), pa.array([i for i, _ in made]))
+    got = {(row, item) for row, item, *_ in D.overlaps(pa.array([d for _, d in made]), table)}
+    assert got == {(k, k) for k, (i, d) in enumerate(made) if brute(d, i)}
+    assert {(k, k) for k in (0, 1, 2, 3, 5)} <= got and (4, 4) not in got
+
+
 def test_hard_cases(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.find(hard_docs(spark), none).collect() == []
