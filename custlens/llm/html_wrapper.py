@@ -30,7 +30,12 @@ from custlens.llm.common import importable, slices, stage, strings
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template iframe svg math object textarea title select option".split())
+RAW = frozenset("script style noscript template iframe svg object textarea title select annotation "
+                "annotation-xml".split())
+#: Those that take the rest of the page where their end tag is missing.
+TO_THE_END = frozenset(["script", "style"])
+#: Elements that hold text only, none of the page's, and end with the next tag.
+CHOICES = frozenset(["option", "optgroup"])
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p "
@@ -38,8 +43,7 @@ BLOCK = frozenset(
 #: An opening tag closes an open element of these kinds, up to a container.
 CLOSES = {t: frozenset(["p"]) for t in BLOCK - frozenset("body html td th tr caption".split())} | {
     "li": frozenset(["li", "p"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"]),
-    "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
-    "option": frozenset(["option"])}
+    "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
 HOLDS = frozenset("html body article main section div table ul ol dl td th blockquote nav header "
                   "footer aside form".split())
 CHROME_TAGS = frozenset("nav footer aside form button menu dialog".split())
@@ -115,7 +119,17 @@ def parse(page: str) -> Node:
         if tag in RAW:
             if not (attrs or "").endswith("/"):
                 close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = close.end() if close else end
+                if close:
+                    at = close.end()
+                elif tag in TO_THE_END:
+                    at = end
+                else:
+                    # Without an end tag only the text up to the next tag is its own.
+                    at = next((x.start() for x in [_TAG.search(page, at)] if x), end)
+            continue
+        if tag in CHOICES:
+            if not (attrs or "").endswith("/"):
+                at = next((x.start() for x in [_TAG.search(page, at)] if x), end)
             continue
         closes = CLOSES.get(tag, ())
         for i in range(len(stack) - 1, 0, -1):
@@ -257,9 +271,10 @@ def main_paths(wrapper: list, mass: dict[str, float]) -> list[str]:
 
 def describe(wrapper: list, stats: dict[str, tuple[float, int, int, int]]) -> dict:
     """The rule for a host: main paths, and slots whose text never varies.  ``stats``: by
-    slot path, characters, pages, and the least and greatest hash of its texts."""
+    slot path, characters, pages that differ in other slots, and the least and greatest
+    hash of its texts."""
     varying = {p: c for p, (c, _, lo, hi) in stats.items() if lo != hi}
-    fixed = sorted(p for p, (_, n, lo, hi) in stats.items() if lo == hi and n >= 3)
+    fixed = sorted(p for p, (_, n, lo, hi) in stats.items() if lo == hi and n >= LEAST_PAGES)
     return {"main": main_paths(wrapper, varying or {p: s[0] for p, s in stats.items()}), "fixed": fixed}
 
 
@@ -307,38 +322,50 @@ def extract(root: Node, rule: dict) -> str | None:
     return "\n".join(blocks) if found else None
 
 
+#: Pages with different texts from which on a slot counts as fixed.
+LEAST_PAGES = 3
+
+
 def _stats(root: Node, into: dict[str, tuple]) -> None:
+    """Add a page to the sums by slot path: characters, the hashes of up to LEAST_PAGES
+    pages with different texts (copies count once), and the least and greatest hash of
+    the slot's texts."""
+    import hashlib
     import zlib
     seen: dict[str, list] = {}
     for path, text in slots(root):
         seen.setdefault(path, []).append(text.strip())
+    own = "\x01".join("\x00".join([p, *t]) for p, t in sorted(seen.items()))
+    page = int.from_bytes(hashlib.blake2b(own.encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
     for path, texts in seen.items():
         h = zlib.crc32("\x00".join(texts).encode("utf-8", "surrogatepass"))
         n = sum(map(len, texts))
         old = into.get(path)
-        into[path] = (old[0] + n, old[1] + 1, min(old[2], h), max(old[3], h)) if old else (n, 1, h, h)
+        if old:
+            pages = old[1] if page in old[1] or len(old[1]) >= LEAST_PAGES else (*old[1], page)
+            into[path] = old[0] + n, pages, min(old[2], h), max(old[3], h)
+        else:
+            into[path] = n, (page,), h, h
 
 
 def extract_page(page: str, rule: dict | None) -> str:
-    """Main text of a page; one that its host's rule doesn't fit is read by its own
-    expression."""
+    """Main text of a page; one that its host's rule doesn't fit, or of which fixed slots
+    leave nothing, is read by its own expression."""
     root = parse(page)
     text = extract(root, rule) if rule and rule["main"] else None
-    if text is None:
+    if text is None or not text and rule["fixed"] and extract(root, {**rule, "fixed": []}):
         stats: dict[str, tuple] = {}
         _stats(root, stats)
-        own = describe(expression(root), stats)
+        own = describe(expression(root), {p: (n, len(ids), lo, hi) for p, (n, ids, lo, hi) in stats.items()})
         text = extract(root, own) if own["main"] else None
     return text or ""
 
 
 # -- Spark ------------------------------------------------------------------------
 
-_FACTS = "host string, path string, chars double, pages long, least long, most long"
-
-
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host, expression) without path, and slot sums with it; each once per slice."""
+    """Rows (host, expression) without path, and slot sums with it, each once per slice; the
+    first of a slot's pages has its characters."""
     for part in slices(batches, "html"):
         facts: dict[str, tuple[set, dict]] = {}
         for host, page in zip(part.column("host").to_pylist(),
@@ -349,13 +376,14 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.add(json.dumps(expression(root), separators=(",", ":")))
                 _stats(root, stats)
         rows = [(h, None, e, 0, 0, 0, 0) for h, (seen, _) in facts.items() for e in sorted(seen)]
-        rows += [(h, p, None, *s) for h, (_, stats) in facts.items() for p, s in stats.items()]
+        rows += [(h, p, None, 0 if k else n, x, lo, hi) for h, (_, stats) in facts.items()
+                 for p, (n, ids, lo, hi) in stats.items() for k, x in enumerate(ids)]
         if rows:
-            host, path, expr, chars, pages, least, most = zip(*rows, strict=True)
+            host, path, expr, chars, page, least, most = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(expr, pa.string()),
-                 pa.array(np.array(chars, float)), *(pa.array(x, pa.int64()) for x in (pages, least, most))],
-                names=["host", "path", "expression", "chars", "pages", "least", "most"])
+                 pa.array(np.array(chars, float)), *(pa.array(x, pa.int64()) for x in (page, least, most))],
+                names=["host", "path", "expression", "chars", "page", "least", "most"])
 
 
 def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,7 +419,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     """host, expression: the wrapper of each host; and its rule for main text."""
     spark = pages.sparkSession
     facts = spark.read.parquet(stage(pages.select("host", "html").mapInArrow(
-        _learn, "host string, path string, expression string, chars double, pages long, least long, most long"),
+        _learn, "host string, path string, expression string, chars double, page long, least long, most long"),
         "pages"))
     own = facts.where(F.col("path").isNull()).select("host", "expression").distinct()
     part = F.pmod(F.xxhash64("expression"), F.lit(PARTS))
@@ -400,8 +428,11 @@ def wrappers(pages: DataFrame) -> DataFrame:
         "host", "part", "expression").select("host", "expression").mapInArrow(_merge_runs, schema)
     whole = some.distinct().repartition("host").sortWithinPartitions("host", "expression").mapInArrow(
         _merge_runs, schema)
-    sums = facts.where(F.col("path").isNotNull()).groupBy("host", "path").agg(
-        F.sum("chars").alias("chars"), F.sum("pages").alias("pages"),
+    by_page = facts.where(F.col("path").isNotNull()).groupBy("host", "path", "page").agg(
+        F.sum("chars").alias("chars"), F.min("least").alias("least"), F.max("most").alias("most"))
+    # Below LEAST_PAGES, all pages of a slot are there: the count says whether it gets so far.
+    sums = by_page.groupBy("host", "path").agg(
+        F.sum("chars").alias("chars"), F.count("page").alias("pages"),
         F.min("least").alias("least"), F.max("most").alias("most"))
     # One entry per slot path: as many as a host's pages have different paths.
     by_host = sums.groupBy("host").agg(F.sort_array(F.collect_list(

@@ -48,6 +48,36 @@ def test_given_pages(spark):
     assert got.where("n_chars <> length(text)").count() == 0
 
 
+def test_copies_are_not_boilerplate(spark):
+    one = PLAIN.format(title="Same", a=prose(40, 500), b=prose(30, 501))
+    own = PLAIN.replace('"txt"', '"letter"').replace('"para"', '"verse"').format(title="Own", a=prose(40, 502), b=prose(30, 503))
+    rows = [(i, f"http://copies.example/{i}", one) for i in range(5)]
+    # Copies that differ in what is no text of theirs.
+    rows += [(10 + i, f"http://near.example/{i}", one.replace("<body>", f"<body><!-- {i} -->")) for i in range(5)]
+    rows += [(20 + i, f"http://mixed.example/{i}", PLAIN.format(title=f"T{i}", a=prose(40, i), b=prose(30, i + 70)))
+             for i in range(6)]
+    rows += [(30 + i, f"http://mixed.example/own{i}", own) for i in range(4)]
+    got = texts(H.main_text(pages(spark, rows).repartition(3)))
+    body = lambda t, a, b: f"{t}\n{prose(40, a)}\n{prose(30, b)}"
+    for i in range(5):
+        assert body("Same", 500, 501) in got[i] and body("Same", 500, 501) in got[10 + i]
+    for i in range(6):
+        assert got[20 + i] == body(f"T{i}", i, i + 70)
+    for i in range(4):
+        assert body("Own", 502, 503) in got[30 + i]
+
+
+def test_missing_end_tags_leave_the_article():
+    text = lambda x: H.extract_page(x, None)
+    article = "<article><p>one</p><p>two</p></article>"
+    assert text(f"<datalist id=x><option>a<option value=b>b</datalist>{article}") == "one\ntwo"
+    assert text(f"<datalist><option>a<option>b{article}") == "one\ntwo"
+    for tag in ("select", "svg", "object", "noscript", "template", "iframe", "textarea", "title"):
+        assert text(f"<{tag}>x{article}") == "one\ntwo", tag
+    assert text(f"<select><option>a<option>b</select><title>t</title>{article}") == "one\ntwo"
+    assert text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>") == "so x=2 holds"
+
+
 def test_hard_pages(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (2, None, ""), (3, "nonsense", "no markup at all"), (4, "http://x.example", "<p>a<p>b"),
