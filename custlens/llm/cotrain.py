@@ -7,8 +7,11 @@ At the end each view is calibrated on labelled documents that neither learned fr
 combination of both is fitted on them, and all documents are scored in one pass.
 The same is done for the label ``toxic``.
 
-Models are fitted on bounded samples (LABELLED and UNLABELLED rows, chosen by hash);
-every document is scored, over its whole text, without a shuffle.
+All documents take part: their features are staged once, the bins of the numbers and
+the choice of word features are counted over all of them (all labelled ones, all that a
+view labels), and in each round all unlabelled ones are scored and the surest share of
+them is found by counts.  Bounded are the rows that the weights are then fitted on:
+LABELLED labelled ones, and of those that a view labels HELD per class, even by hash.
 """
 
 from __future__ import annotations
@@ -22,18 +25,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custlens.llm.common import documents, hash_words, pack, slices, strings, unpack, word_arrays
+from custlens.llm.common import documents, hash_words, mix, pack, slices, stage, strings, unpack, word_arrays
 
-#: Rows of the samples that the models are fitted on, at most.
-LABELLED, UNLABELLED = 8_000, 4_000
+#: Rows that the models are fitted on: labelled ones, at most, and about so many of those
+#: that a view labels, for either class.
+LABELLED, HELD = 12_000, 1_200
 ROUNDS = 3
-#: Share of the unlabelled sample that a view may label in a round, for either class,
+#: Share of the unlabelled documents that a view may label in a round, for either class,
 #: and the least confidence.
 GIVEN, SURE = 0.1, 0.95
+#: Bins of the logits beyond that confidence, up to TOP.
+TAIL, TOP = 4096, 30.0
+#: Blocks of word features in which counts are summed.
+BLOCKS = 16
 #: Buckets of the hashed word forms and of the hashed metadata values.
 WORD_BUCKETS, META_BUCKETS = 1 << 17, 64
 BINS = 10
-#: Every so many-th labelled row is kept for calibration.
+#: One labelled row of so many, by hash, is kept for calibration.
 KEPT_APART = 4
 RIDGE = 1e-3
 #: Word features are used whose share differs by so many standard errors, in so many rows.
@@ -46,20 +54,11 @@ SCHEMA = ("doc_id long, p_text double, p_meta double, score double, toxic double
 
 # -- features ---------------------------------------------------------------------
 
-def word_features(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed forms of each text's distinct words (as they are, and in lower case
-    letters only), in a row, and where each text starts."""
-    words, code, off = word_arrays(text)
-    n = len(off) - 1
-    size = max(1, len(words))
-    owner = np.repeat(np.arange(n), np.diff(off))
-    pair = np.unique(owner * size + code)
+def _buckets(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed forms of words: as they are, and in lower case letters only."""
     plain = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}]+", "")
-    raw = (hash_words(words) % np.uint64(WORD_BUCKETS)).astype(np.int64)
-    low = (hash_words(pc.binary_join_element_wise("~", plain, "")) % np.uint64(WORD_BUCKETS)).astype(np.int64)
-    at = np.searchsorted(pair, np.arange(n + 1) * size)
-    both = np.stack([raw[pair % size], low[pair % size]], axis=1).ravel() if len(pair) else np.zeros(0, np.int64)
-    return both, at * 2
+    return tuple((hash_words(w) % np.uint64(WORD_BUCKETS)).astype(np.int64)
+                 for w in (words, pc.binary_join_element_wise("~", plain, "")))
 
 
 def numbers(text: pa.Array) -> np.ndarray:
@@ -121,29 +120,23 @@ def logits(feats: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray
     return total[at[1:]] - total[at[:-1]] + weights[-1]
 
 
-def telling(feats: np.ndarray, at: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """Features whose share of rows differs between the labels by more than chance."""
-    owner = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(at))
-    n = np.array([(y == 0).sum(), (y == 1).sum()], float)
-    have = np.stack([np.bincount(feats[y[owner] == k], minlength=size) for k in (0, 1)]).astype(float)
+def telling(have: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Features whose share of rows differs between the labels by more than chance.
+    ``have``: rows by label and feature; ``n``: rows by label."""
+    if not n.all():
+        return np.zeros(have.shape[1], bool)
     # Rows are taken as at most one occurrence each; hash collisions may exceed that.
     have = np.minimum(have, n[:, None])
-    if not n.all():
-        return np.zeros(size, bool)
     share = (have.sum(0) + 1) / (n.sum() + 2)
     z = (have[1] / n[1] - have[0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n).sum())
     return (np.abs(z) >= LEAST_Z) & (have.sum(0) >= LEAST_ROWS)
 
 
 def fit(feats: np.ndarray, at: np.ndarray, y: np.ndarray, size: int, steps: int = 150) -> np.ndarray:
-    """Logistic regression with a ridge on the telling features, by full-batch Adam: the
-    same on every run."""
+    """Logistic regression with a ridge, by full-batch Adam: the same on every run."""
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     if not len(y):
         return w
-    use = telling(feats, at, y, size)[feats] if size > META_SIZE else np.ones(len(feats), bool)
-    at = np.concatenate([[0], np.cumsum(use)])[at]
-    feats = feats[use]
     owner = np.repeat(np.arange(len(y)), np.diff(at))
     for t in range(1, steps + 1):
         err = (1 / (1 + np.exp(-np.clip(logits(feats, at, w), -30, 30))) - y) / len(y)
@@ -191,81 +184,380 @@ class Views:
         return tuple(1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (*x, z))
 
 
-def co_train(text: tuple, meta: tuple, y: np.ndarray, rounds: int = ROUNDS) -> Views:
-    """Fit the views.  ``y``: 1, 0, or -1 for unlabelled rows of the sample."""
-    labelled = np.flatnonzero(y >= 0)
-    apart = labelled[::KEPT_APART]
-    learn = np.setdiff1d(labelled, apart)
-    free = np.flatnonzero(y < 0)
-    most = int(GIVEN * len(free))
-    given = [np.full(len(y), -1), np.full(len(y), -1)]
-    sizes = (WORD_BUCKETS, META_SIZE)
-    views = (text, meta)
+# -- the exchange -----------------------------------------------------------------
+# Rows come in slices: ids, labels by target (1, 0, -1 none, -2 not to be used), the text
+# view and the metadata view.
+
+_LEAST = float(np.log(SURE / (1 - SURE)))
+
+
+def _even(ids: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers in [0, 1) that ids fall on evenly."""
+    return mix(mix(ids.astype(np.uint64)) + np.uint64(salt)) / 2.0 ** 64
+
+
+def is_apart(ids: np.ndarray) -> np.ndarray:
+    return _even(ids, 1) < 1 / KEPT_APART
+
+
+def _bins(z: np.ndarray) -> np.ndarray:
+    """Bin of each logit beyond the least confidence; -1 for the others."""
+    return np.where(z < _LEAST, -1, np.minimum((z - _LEAST) * (TAIL / (TOP - _LEAST)), TAIL - 1)).astype(np.int64)
+
+
+def tails(part: tuple, weights: list) -> np.ndarray:
+    """Unlabelled rows by target, view, class and bin; of each target all in the last place."""
+    _, y, *views = part
+    out = np.zeros((y.shape[1], 2, 2, TAIL + 1), np.int64)
+    for t in range(y.shape[1]):
+        free = y[:, t] == -1
+        out[t, :, :, TAIL] = free.sum()
+        for v, view in enumerate(views):
+            z = logits(*view, weights[t][v])[free]
+            for k in (0, 1):
+                got = _bins(z if k else -z)
+                out[t, v, k, :TAIL] = np.bincount(got[got >= 0], minlength=TAIL)
+    return out
+
+
+def cut(count: np.ndarray) -> tuple[int, float, float]:
+    """The first bin that is labelled whole, the share of the one before it, and the rows:
+    at most GIVEN of all unlabelled ones, the surest first."""
+    most, count = int(GIVEN * count[TAIL]), count[:TAIL]
+    above = np.concatenate([[0], np.cumsum(count[::-1])])
+    whole = int(np.searchsorted(above, most, side="right")) - 1
+    first, rest = TAIL - whole, most - int(above[whole])
+    share = rest / count[first - 1] if first else 0.0
+    return first, float(share), float(above[whole] + (rest if first else 0))
+
+
+def given(z: np.ndarray, free: np.ndarray, ids: np.ndarray, cuts: list) -> np.ndarray:
+    """Labels that a view gives: 0, 1, or -1 for none."""
+    out, u = np.full(len(z), -1), _even(ids, 2)
+    for k in (0, 1):
+        first, share, _ = cuts[k]
+        at = _bins(z if k else -z)
+        out[free & (at >= 0) & ((at >= first) | ((at == first - 1) & (u < share)))] = k
+    return out
+
+
+def _word_counts(text: tuple, rows: np.ndarray) -> np.ndarray:
+    return np.bincount(_take(*text, np.flatnonzero(rows))[0], minlength=WORD_BUCKETS)
+
+
+def picks(part: tuple, weights: list, cuts: list) -> tuple[np.ndarray, np.ndarray, list]:
+    """Of the rows that views label: word counts by target and label and their numbers
+    (labels by the metadata view, which the text view learns from), and the rows to hold as
+    (target, view, label, row)."""
+    ids, y, *views = part
+    n_t = y.shape[1]
+    have, n, held = np.zeros((n_t, 2, WORD_BUCKETS), np.int64), np.zeros((n_t, 2), np.int64), []
+    u = _even(ids, 3)
+    for t in range(n_t):
+        for v, view in enumerate(views):
+            label = given(logits(*view, weights[t][v]), y[:, t] == -1, ids, cuts[t][v])
+            for k in (0, 1):
+                if v == 1:
+                    n[t, k] = (label == k).sum()
+                    if n[t, k]:
+                        have[t, k] = _word_counts(views[0], label == k)
+                some = (label == k) & (u * max(1.0, cuts[t][v][k][2]) < HELD)
+                held += [(t, v, k, r) for r in np.flatnonzero(some).tolist()]
+    return have, n, held
+
+
+def labelled(part: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Word counts by target and label of the labelled rows, but those kept apart."""
+    ids, y, text, _ = part
+    have, n = np.zeros((y.shape[1], 2, WORD_BUCKETS), np.int64), np.zeros((y.shape[1], 2), np.int64)
+    for t in range(y.shape[1]):
+        for k in (0, 1):
+            rows = (y[:, t] == k) & ~is_apart(ids)
+            n[t, k] = rows.sum()
+            if n[t, k]:
+                have[t, k] = _word_counts(text, rows)
+    return have, n
+
+
+def _rows(feats: list, size: list) -> tuple[np.ndarray, np.ndarray]:
+    return (np.concatenate([*feats, np.zeros(0, np.int32)]).astype(np.int32),
+            np.concatenate([[0], np.cumsum(size, dtype=np.int64)]).astype(np.int64))
+
+
+def _only(view: tuple, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A view's rows with the features to ``use`` alone."""
+    keep = use[view[0]]
+    return view[0][keep], np.concatenate([[0], np.cumsum(keep, dtype=np.int32)])[view[1]]
+
+
+def _joined(view: tuple, rows: np.ndarray, more: list, use: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a view and ``more`` of them, with the features to ``use`` alone."""
+    if use is not None:
+        view, more = _only(view, use), [x[use[x]] for x in more]
+    feats, at = _take(*view, rows)
+    extra, ends = _rows(more, [len(x) for x in more])
+    return np.concatenate([feats, extra]), np.concatenate([at, at[-1] + ends[1:]])
+
+
+def teach(sample: tuple, have: np.ndarray, n: np.ndarray, pool, rounds: int = ROUNDS) -> list[Views]:
+    """The views of each target.  ``sample``: labelled rows; ``have``, ``n``: counts of all
+    labelled rows; ``pool``: gives ``tails`` and ``picks`` of all unlabelled ones."""
+    ids, y, text, meta = sample
+    apart, n_t = is_apart(ids), y.shape[1]
+    extra: list = [[[], []] for _ in range(n_t)]
+    more, more_n = np.zeros_like(have), np.zeros_like(n)
     for r in range(rounds + 1):
         weights = []
-        for view, size, extra in zip(views, sizes, given, strict=True):
-            rows = np.concatenate([learn, np.flatnonzero(extra >= 0)])
-            weights.append(fit(*_take(*view, rows), np.where(y[rows] >= 0, y[rows], extra[rows]), size))
+        for t in range(n_t):
+            learn = np.flatnonzero((y[:, t] >= 0) & ~apart)
+            use = telling((have[t] + more[t]).astype(float), (n[t] + more_n[t]).astype(float))
+            own = []
+            for v, (view, size) in enumerate(((text, WORD_BUCKETS), (meta, META_SIZE))):
+                rows = _joined(view, learn, [x[1] for x in extra[t][v]], None if v else use)
+                label = np.concatenate([y[learn, t], np.array([x[0] for x in extra[t][v]], int)])
+                own.append(fit(*rows, label, size))
+            weights.append(own)
         if r == rounds:
             break
-        for k in (0, 1):
-            # The surest of one view become labels of the other.
-            p = 1 / (1 + np.exp(-np.clip(logits(*views[k], weights[k])[free], -30, 30)))
-            order = np.argsort(p, kind="stable")
-            low, high = order[:most], order[::-1][:most]
-            other = given[1 - k]
-            other[free[low[p[low] <= 1 - SURE]]] = 0
-            other[free[high[p[high] >= SURE]]] = 1
-    a, b = (logits(*_take(*v, apart), w) for v, w in zip(views, weights, strict=True))
-    cal = [_platt([x], y[apart]) for x in (a, b)]
-    both = _platt([c[0] * x + c[1] for c, x in zip(cal, (a, b), strict=True)], y[apart])
-    return Views(*weights, *cal, both)
+        count = pool.tails(weights)
+        cuts = [[[cut(count[t, v, k]) for k in (0, 1)] for v in (0, 1)] for t in range(n_t)]
+        more, more_n, held = pool.picks(weights, cuts)
+        # The surest of one view become labels of the other.
+        extra = [[[x[2:] for x in held if x[:2] == (t, 1 - v)] for v in (0, 1)] for t in range(n_t)]
+    out = []
+    for t in range(n_t):
+        rows = np.flatnonzero((y[:, t] >= 0) & apart)
+        a, b = (logits(*_take(*_only(v, w[:-1] != 0), rows), w) for v, w in zip((text, meta), weights[t], strict=True))
+        cal = [_platt([x], y[rows, t]) for x in (a, b)]
+        both = _platt([c[0] * x + c[1] for c, x in zip(cal, (a, b), strict=True)], y[rows, t])
+        out.append(Views(*weights[t], *cal, both))
+    return out
+
+
+def _held_rows(part: tuple, held: list) -> list[tuple]:
+    """(target, view, label, features in the other view) of rows to hold."""
+    views = part[2:]
+    return [(t, v, k, views[1 - v][0][views[1 - v][1][r]:views[1 - v][1][r + 1]]) for t, v, k, r in held]
+
+
+@dataclass
+class ArrayPool:
+    """Unlabelled rows in memory."""
+
+    part: tuple
+
+    def tails(self, weights):
+        return tails(self.part, weights)
+
+    def picks(self, weights, cuts):
+        have, n, held = picks(self.part, weights, cuts)
+        return have, n, _held_rows(self.part, held)
+
+
+def co_train(text: tuple, meta: tuple, y: np.ndarray, rounds: int = ROUNDS) -> Views:
+    """Fit the views on rows in memory.  ``y``: 1, 0, or -1 for unlabelled rows."""
+    part = np.arange(len(y)), np.asarray(y)[:, None], text, meta
+    return teach(part, *labelled(part), ArrayPool(part), rounds)[0]
 
 
 # -- Spark ------------------------------------------------------------------------
 
-def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_STAGED = ("ids binary, nulls binary, labels binary, inside binary, raw binary, low binary, codes binary, "
+           "sizes binary, nums binary, vals binary")
+_NAMES = [f.split()[0] for f in _STAGED.split(", ")]
+_FOUND = "block int, counts binary, t int, v int, label int, id long, words binary, meta binary, toxic int"
+_FOUND_ARROW = pa.schema([("block", pa.int32()), ("counts", pa.binary()), ("t", pa.int32()), ("v", pa.int32()),
+                          ("label", pa.int32()), ("id", pa.int64()), ("words", pa.binary()), ("meta", pa.binary()),
+                          ("toxic", pa.int32())])
+
+
+def _planes(code: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Differences of each text's ascending word places, byte plane by byte plane."""
+    step = np.diff(code, prepend=0)
+    first = (np.cumsum(size) - size)[size > 0]
+    step[first] = code[first]
+    return np.ascontiguousarray(step.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
+
+
+def _places(planes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    step = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(step)])
+    return total[1:] - np.repeat(total[np.cumsum(size, dtype=np.int64) - size], size)
+
+
+def _stage_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row of packed features for each slice: words as distinct places in the slice's."""
     for part in slices(batches):
-        feats, at = word_features(part.column("text"))
-        nums = numbers(part.column("text"))
-        values = meta_values(part.column("source"), part.column("lang"))
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("quality"), part.column("toxic"),
-             pa.array([pack(feats[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-             pa.array(nums.tolist(), pa.list_(pa.float64())), pa.array(values.tolist(), pa.list_(pa.int64()))],
-            names=["doc_id", "quality", "toxic", "words", "nums", "vals"])
-
-
-def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, Views], np.ndarray]:
-    """The views of both targets and the bins of the numbers.  Rows without a label, and
-    ids that are null, are not sampled as labelled; repeated labels count once."""
+        words, code, off = word_arrays(part.column("text"))
+        size = max(1, len(words))
+        pair = np.unique(np.repeat(np.arange(len(off) - 1), np.diff(off)) * size + code)
+        at = np.searchsorted(pair, np.arange(len(off)) * size)
+        raw, low = _buckets(words)
+        ids = part.column("doc_id")
+        y = np.stack([part.column(t).fill_null(-1).to_numpy(zero_copy_only=False) for t in TARGETS], axis=1)
+        cols = [ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
+                ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), y.ravel() + 1,
+                part.column("inside").to_numpy(zero_copy_only=False).astype(np.uint8), raw, low,
+                _planes(pair % size, np.diff(at)), np.diff(at), numbers(part.column("text")).ravel(),
+                meta_values(part.column("source"), part.column("lang")).ravel()]
+        yield pa.RecordBatch.from_arrays([pa.array([pack(c)], pa.binary()) for c in cols], names=_NAMES)
+
+
+def _staged(batches: Iterator[pa.RecordBatch], edges: np.ndarray | None) -> Iterator[tuple]:
+    """(null ids, sampled, numbers, slice) of each staged slice; a slice is as above."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids, nulls, y, inside, raw, low, code, size, nums, vals = (
+                unpack(batch.column(c)[i].as_py()) for c in _NAMES)
+            ids, nulls, nums = ids.astype(np.int64), nulls.astype(bool), nums.reshape(-1, NUMBERS)
+            if edges is None:
+                yield nulls, inside, nums, None
+                continue
+            size = size.astype(np.int64)
+            code = _places(code, size)
+            y = y.astype(int).reshape(-1, len(TARGETS)) - 1
+            y[nulls] = -2
+            both = np.stack([raw.astype(np.int32)[code], low.astype(np.int32)[code]], axis=1).ravel()
+            text = both, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]) * 2
+            meta = meta_features(vals.astype(np.int64).reshape(-1, 2), nums, edges)
+            yield nulls, inside.astype(bool), nums, (ids, y, text, meta)
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FOUND_ARROW, strict=True)],
+                                      schema=_FOUND_ARROW)
+
+
+def _count_rows(have: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Counts of a task, in blocks of features; the numbers of rows are the last block."""
+    parts = [*np.split(have, BLOCKS, axis=2), n]
+    return _found([(k, pack(np.ascontiguousarray(x).ravel()), *[None] * 7) for k, x in enumerate(parts)])
+
+
+def _gathered(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the counts over all tasks, made in tasks."""
+    def add(rows):
+        total = None
+        for b in rows["counts"]:
+            x = unpack(b, np.int64)
+            total = x if total is None else total + x
+        return rows.iloc[:1].assign(counts=[pack(total)])[["block", "counts"]]
+
+    got = {r["block"]: unpack(r["counts"], np.int64) for r in found.where("block >= 0").select("block", "counts").groupBy(
+        "block").applyInPandas(add, "block int, counts binary").collect()}
+    n_t = len(TARGETS)
+    if not got:
+        return np.zeros((n_t, 2, WORD_BUCKETS), np.int64), np.zeros((n_t, 2), np.int64)
+    return (np.concatenate([got[k].reshape(n_t, 2, -1) for k in range(BLOCKS)], axis=2), got[BLOCKS].reshape(n_t, 2))
+
+
+@dataclass
+class SparkPool:
+    """Unlabelled rows of the staged slices."""
+
+    staged: DataFrame
+    edges: np.ndarray
+
+    def tails(self, weights):
+        edges = self.edges
+
+        def count(batches):
+            total = sum((tails(part, weights) for *_, part in _staged(batches, edges)), np.zeros(1, np.int64))
+            if total.ndim > 1:
+                yield pa.RecordBatch.from_arrays([pa.array([pack(total.ravel())], pa.binary())], names=["counts"])
+
+        out = np.zeros((len(TARGETS), 2, 2, TAIL + 1), np.int64)
+        for r in self.staged.mapInArrow(count, "counts binary").toLocalIterator():
+            out += unpack(r["counts"], np.int64).reshape(out.shape)
+        return out
+
+    def picks(self, weights, cuts):
+        edges = self.edges
+
+        def pick(batches):
+            have = n = None
+            for *_, part in _staged(batches, edges):
+                h, m, held = picks(part, weights, cuts)
+                have, n = (h, m) if have is None else (have + h, n + m)
+                rows = [(-1, None, t, v, k, None, pack(x), None, None) for t, v, k, x in _held_rows(part, held)]
+                if rows:
+                    yield _found(rows)
+            if have is not None:
+                yield _count_rows(have, n)
+
+        found = self.staged.sparkSession.read.parquet(stage(self.staged.mapInArrow(pick, _FOUND), "picks"))
+        held = [(r["t"], r["v"], r["label"], unpack(r["words"], np.int32))
+                for r in found.where("block < 0").select("t", "v", "label", "words").orderBy(
+                    "t", "v", "label", "words").toLocalIterator()]
+        return *_gathered(found), held
+
+
+def _edges(staged: DataFrame) -> np.ndarray:
+    """Edges of the numbers' bins over all documents, from counts of the numbers cut to ten
+    binary places."""
+    def count(batches):
+        for _, _, nums, _ in _staged(batches, None):
+            key = nums.astype(np.float32).view(np.uint32) >> np.uint32(13)
+            for j in range(NUMBERS):
+                k, n = np.unique(key[:, j], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), j)), pa.array(k.astype(np.int64)), pa.array(n)],
+                                                 names=["j", "key", "n"])
+
+    got = staged.mapInArrow(count, "j long, key long, n long").groupBy("j", "key").agg(
+        F.sum("n").alias("n")).orderBy("j", "key").toPandas()
+    cuts, out = np.arange(1, BINS + 1) / (BINS + 1), np.zeros((NUMBERS, BINS))
+    for j, rows in got.groupby("j"):
+        below = np.cumsum(rows["n"].to_numpy())
+        key = rows["key"].to_numpy()[np.searchsorted(below, cuts * below[-1])]
+        out[int(j)] = (key.astype(np.uint32) << np.uint32(13)).view(np.float32)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Views], np.ndarray, DataFrame]:
+    """The views of both targets, the bins of the numbers and the staged features.  Rows
+    without a label, and ids that are null, are not sampled as labelled; repeated labels
+    count once."""
     rows = documents(docs, "source", "lang").select(
         "doc_id", "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
     own = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"),
                         F.col("toxic").cast("int").alias("toxic")).dropna(subset=["id"])
     own = own.groupBy("id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    order = [F.xxhash64("id"), "id"]
-    known = own.orderBy(*order).limit(LABELLED)
-    others = rows.select(F.col("doc_id").alias("id")).dropna().distinct().join(own.select("id"), "id", "left_anti")
-    free = others.orderBy(*order).limit(UNLABELLED).select(
-        "id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
-    # At most LABELLED + UNLABELLED ids are broadcast, and as many rows come back.
-    sample = F.broadcast(known.unionAll(free))
-    picked = rows.join(sample, F.col("doc_id") == F.col("id")).select(
-        "doc_id", "quality", "toxic", "text", "source", "lang")
-    got = picked.mapInArrow(_sample_features, "doc_id long, quality int, toxic int, words binary, "
-                            "nums array<double>, vals array<long>").dropDuplicates(["doc_id"]).toPandas()
-    got = got.sort_values("doc_id").reset_index(drop=True)
-    n = len(got)
-    feats = [unpack(b, np.int32) for b in got.pop("words")]
-    text = (np.concatenate([*feats, np.zeros(0, np.int32)]), np.concatenate([[0], np.cumsum([len(f) for f in feats])]).astype(np.int64))
-    del feats
-    nums = np.array(got["nums"].tolist(), float).reshape(n, NUMBERS)
-    vals = np.array(got["vals"].tolist(), np.int64).reshape(n, 2)
-    cuts = np.arange(1, BINS + 1) / (BINS + 1)
-    edges = np.quantile(nums, cuts, axis=0).T if n else np.zeros((NUMBERS, BINS))
-    meta = meta_features(vals, nums, edges)
-    return {t: co_train(text, meta, got[t].fillna(-1).to_numpy().astype(int)) for t in TARGETS}, edges
+    # Staged, its size is known before the join: a small table is broadcast, and texts stay.
+    spark = docs.sparkSession
+    own = spark.read.parquet(stage(own.withColumn("h", F.xxhash64("id")), "labels"))
+    last = own.orderBy("h", "id").limit(LABELLED).agg(F.max(F.struct("h", "id")).alias("last")).first()["last"]
+    inside = F.lit(False) if last is None else F.coalesce(
+        (F.col("h") < last["h"]) | ((F.col("h") == last["h"]) & (F.col("id") <= last["id"])), F.lit(False))
+    staged = spark.read.parquet(stage(rows.join(own, F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id", "quality", "toxic", inside.alias("inside"), "text", "source", "lang").mapInArrow(
+        _stage_features, _STAGED), "features"))
+    edges = _edges(staged)
+
+    def count(batches):
+        have = n = None
+        for _, sampled, _, part in _staged(batches, edges):
+            h, m = labelled(part)
+            have, n = (h, m) if have is None else (have + h, n + m)
+            ids, y = part[:2]
+            (words, at), (meta, m_at) = part[2:]
+            rows = [(-1, None, 0, 0, int(y[r, 0]), int(ids[r]), pack(words[at[r]:at[r + 1]]),
+                     pack(meta[m_at[r]:m_at[r + 1]]), int(y[r, 1])) for r in np.flatnonzero(sampled).tolist()]
+            if rows:
+                yield _found(rows)
+        if have is not None:
+            yield _count_rows(have, n)
+
+    found = spark.read.parquet(stage(staged.mapInArrow(count, _FOUND), "labelled"))
+    got = found.where("block < 0").select("id", "label", "toxic", "words", "meta").dropDuplicates(["id"]).toPandas()
+    got = got.sort_values("id").reset_index(drop=True)
+    views = []
+    for c in ("words", "meta"):
+        feats = [unpack(b, np.int32) for b in got.pop(c)]
+        views.append(_rows(feats, [len(f) for f in feats]))
+        del feats
+    y = got[["label", "toxic"]].to_numpy().astype(int).reshape(len(got), 2)
+    sample = got["id"].to_numpy().astype(np.int64), y, *views
+    return teach(sample, *_gathered(found), SparkPool(staged, edges)), edges, staged
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -277,21 +569,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     repeated rows give repeated results.  Without labels every probability is 0.5, and
     all rows are kept.
     """
-    views, edges = train(docs, labels)
-    nothing = all(not v.text.any() for v in views.values())
+    views, edges, staged = train(docs, labels)
+    quality, toxicity = views
+    nothing = all(not v.text.any() for v in views)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            text = word_features(part.column("text"))
-            meta = meta_features(meta_values(part.column("source"), part.column("lang")),
-                                 numbers(part.column("text")), edges)
-            pt, pm, p = views["quality"].probabilities(text, meta)
-            toxic = views["toxic"].probabilities(text, meta)[2]
+        for nulls, _, _, (ids, _, text, meta) in _staged(batches, edges):
+            pt, pm, p = quality.probabilities(text, meta)
+            toxic = toxicity.probabilities(text, meta)[2]
             kept = (p >= threshold) & ((toxic < threshold) | nothing)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *(pa.array(x) for x in (pt, pm, p, toxic, kept))],
+                [pa.array(ids, pa.int64(), mask=nulls), *(pa.array(x) for x in (pt, pm, p, toxic, kept))],
                 names=["doc_id", "p_text", "p_meta", "score", "toxic", "kept"])
 
-    rows = documents(docs, "source", "lang").select(
-        "doc_id", "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
-    return rows.mapInArrow(score, SCHEMA)
+    return staged.mapInArrow(score, SCHEMA)

@@ -31,6 +31,39 @@ def test_views_teach_each_other():
     assert ((p > 0.5) == y)[80:].mean() > 0.97
 
 
+def test_all_unlabelled_documents_take_part(spark, monkeypatch):
+    # Five times as many documents as rows that are fitted on.
+    monkeypatch.setattr(C, "LABELLED", 200)
+    monkeypatch.setattr(C, "HELD", 20)
+    d = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    seen, picked = [], []
+
+    class Pool(C.SparkPool):
+        def tails(self, weights):
+            out = super().tails(weights)
+            seen.append(out[0, 0, 0, C.TAIL])
+            return out
+
+        def picks(self, weights, cuts):
+            out = super().picks(weights, cuts)
+            picked.append((out[1], cuts))
+            return out
+
+    monkeypatch.setattr(C, "SparkPool", Pool)
+    C.train(docs, labels.where("doc_id % 10 < 3"))
+    assert seen == [docs.join(labels.where("doc_id % 10 < 3"), "doc_id", "left_anti").count()] * C.ROUNDS
+    for n, cuts in picked:
+        assert all(abs(n[t, k] - cuts[t][1][k][2]) <= 12 for t in (0, 1) for k in (0, 1))
+        assert n.max() <= C.GIVEN * seen[0] + 12
+
+
+def test_cut_takes_the_surest_share():
+    count = np.zeros(C.TAIL + 1, int)
+    count[C.TAIL], count[4000], count[3000], count[10] = 1000, 60, 80, 500
+    assert C.cut(count) == (3001, 0.5, 100.0)
+
+
 def test_hard_cases(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (7, 0, None), (None, 1, 1), (12, None, 1)],
                                    "doc_id long, quality int, toxic int")
