@@ -95,13 +95,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             trim()
 
 
-def word_arrays(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of every text: the distinct words, the
-    words of all texts as positions in them, and where each text starts."""
+def word_arrays(text: pa.Array, lower: bool = False,
+                gap: str = WORD_GAP) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words (what stands between ``gap``, by default ``[^\\x20\\x09-\\x0D]+``) of
+    every text: the distinct words, the words of all texts as positions in them, and
+    where each text starts."""
     text = strings(text)
     if lower:
         text = pc.ascii_lower(text)
-    parts = pc.split_pattern_regex(text, WORD_GAP)
+    parts = pc.split_pattern_regex(text, gap)
     flat, off = parts.flatten(), np.asarray(parts.offsets)
     keep = np.asarray(pc.not_equal(flat, ""))
     off = np.concatenate([[0], np.cumsum(keep)])[off - off[0]]

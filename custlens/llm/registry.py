@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from custlens.llm import (chat_format, cotrain, decontaminate, html_wrapper, jaccard_join,
-                          ngram_trie, packing, quality_rules, secret_scan, token_files)
+                          ngram_trie, packing, quality_rules, secret_scan, source_audit, token_files)
 from custlens.llm.common import read_table
 
 
@@ -57,6 +57,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_trie": op1_ngram_trie,
     "op2_quality_rules": op2_quality_rules,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_secret_scan": op9_secret_scan,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_source_audit": op11_source_audit,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_source_audit": source_audit.SQL}
