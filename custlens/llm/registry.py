@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from custlens.llm import (chat_format, cotrain, decontaminate, html_wrapper, jaccard_join,
-                          ngram_trie, packing, quality_rules, secret_scan, source_audit, token_files)
+                          language_id, ngram_trie, packing, quality_rules, secret_scan, source_audit, token_files)
 from custlens.llm.common import read_table
 
 
@@ -61,6 +61,10 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_trie": op1_ngram_trie,
     "op2_quality_rules": op2_quality_rules,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_source_audit": op11_source_audit,
+    "op12_language_id": op12_language_id,
 }
 
 ORACLE: dict[str, str] = {"op11_source_audit": source_audit.SQL}
