@@ -18,6 +18,7 @@ doesn't grow with the documents.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +43,9 @@ UNKNOWN = "und"
 LOW, LIFT = 1e-100, 1e100
 LEAST_P = 1e-12
 
+#: Bytes of a slice of texts, and of words: a slice's distinct words are worked out once.
+TEXT_BYTES, WORD_BYTES = 24 << 20, 1 << 19
+
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -159,50 +163,55 @@ def word_scores(words: pa.Array, pieces: Pieces, p: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sums(points: np.ndarray, lang: np.ndarray, pieces: Pieces, prefix: np.ndarray, p: np.ndarray,
-          back: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Forward (or backward) sums at each place of a word under its own language, times
-    e to the logarithm given with them."""
-    w, n = points.shape
-    sums, scale = np.zeros((n + 1, w)), np.zeros((n + 1, w))
-    at = range(n, -1, -1) if back else range(n + 1)
-    first = at[0]
-    sums[first] = 1
+def _sums(spans: list[tuple], n: int, w: int, back: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Forward (or backward) sums at each place of a word, and the logarithm of what
+    they are to be multiplied by (None: one).  ``spans``: start, end, rows and weights."""
+    sums, scale = np.zeros((n + 1, w)), None
+    sums[n if back else 0] = 1
     shift = np.zeros(w)
-    window: list[int] = [first]
-    for here in at[1:]:
-        for there in window:
-            start, end = (here, there) if back else (there, here)
-            rows, ids = pieces.matches(prefix, start, end)
-            # Sums of the window are held at the scale of now.
-            sums[here, rows] += sums[there, rows] * np.exp(shift[rows] - scale[there, rows]) * p[ids, lang[rows]]
+    place = 0 if back else 1
+    for here, some in itertools.groupby(spans, key=lambda x: x[place]):
+        for start, end, rows, _, weight in some:
+            term = sums[end if back else start, rows] * weight
+            if scale is not None:
+                term *= np.exp(shift[rows] - scale[end if back else start, rows])
+            sums[here, rows] += term
         low = (sums[here] < LOW) & (sums[here] > 0)
-        scale[here] = shift
-        if low.any():
+        if low.any() and scale is None:
+            scale = np.zeros((n + 1, w))
+        if scale is not None:
             sums[here, low] *= LIFT
             shift[low] += np.log(LIFT)
-            scale[here, low] = shift[low]
-        window = [*window, here][-pieces.longest:]
-    return sums, -scale
+            scale[here] = shift
+    return sums, None if scale is None else -scale
 
 
 def expected_uses(points: np.ndarray, lang: np.ndarray, n: np.ndarray, pieces: Pieces,
                   p: np.ndarray) -> np.ndarray:
     """Expected uses of each piece (rows) in each language (columns) over all
     segmentations of words of one length with their counts ``n``."""
-    out = np.zeros(p.size)
-    prefix = _hashes(points)
-    ahead, log_ahead = _sums(points, lang, pieces, prefix, p, False)
-    behind, log_behind = _sums(points, lang, pieces, prefix, p, True)
-    last = points.shape[1]
-    whole, log_whole = ahead[last], log_ahead[last]
+    prefix, (w, last) = _hashes(points), points.shape
+    spans = []
     for end in range(1, last + 1):
         for start in range(max(0, end - pieces.longest), end):
             rows, ids = pieces.matches(prefix, start, end)
-            share = (ahead[start, rows] * p[ids, lang[rows]] * behind[end, rows] / whole[rows]
-                     * np.exp(log_ahead[start, rows] + log_behind[end, rows] - log_whole[rows]))
-            out += np.bincount(ids * p.shape[1] + lang[rows], share * n[rows], minlength=p.size)
-    return out.reshape(p.shape)
+            if len(rows):
+                cell = ids * p.shape[1] + lang[rows]
+                spans.append((start, end, slice(None) if len(rows) == w else rows, cell, p.ravel()[cell]))
+    ahead, log_ahead = _sums(spans, last, w, False)
+    behind, log_behind = _sums(sorted(spans, key=lambda x: -x[0]), last, w, True)
+    part, scaled = n / ahead[last], log_ahead is not None or log_behind is not None
+    if scaled:
+        zero = np.zeros_like(ahead)
+        log_ahead, log_behind = (zero if x is None else x for x in (log_ahead, log_behind))
+    cells, shares = [], []
+    for start, end, rows, cell, weight in spans:
+        share = ahead[start, rows] * weight * behind[end, rows] * part[rows]
+        if scaled:
+            share *= np.exp(log_ahead[start, rows] + log_behind[end, rows] - log_ahead[last, rows])
+        cells.append(cell)
+        shares.append(share)
+    return np.bincount(np.concatenate(cells), np.concatenate(shares), minlength=p.size).reshape(p.shape)
 
 
 # -- learning ---------------------------------------------------------------------
@@ -222,7 +231,7 @@ def _finder(pieces: tuple[str, ...]) -> Pieces:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per slice of texts the count of each (language, word)."""
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=TEXT_BYTES):
         lang = strings(part.column("lang")).dictionary_encode()
         words, code, off = letter_words(part.column("text"))
         if not len(words):
@@ -251,14 +260,16 @@ def learn(rows: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> Mod
     model = Model(langs, log_prior, np.full((len(pieces) + 1, len(langs)), 1 / (len(pieces) + 1)), pieces)
     if not langs:
         return model
+    # The words are little data and much work: they are dealt to all tasks.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = stage(known.mapInArrow(_word_counts, "lang string, word string, n long")
-                    .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+                    .groupBy("lang", "word").agg(F.sum("n").alias("n")).repartition(parts), "language-words")
     words = spark.read.parquet(counted)
     for _ in range(rounds):
         def uses(batches: Iterator[pa.RecordBatch], m: Model = model) -> Iterator[pa.RecordBatch]:
             finder, total = _finder(m.pieces), np.zeros(m.p.shape)
             number = pa.array(m.langs, pa.string())
-            for part in slices(batches, "word", 1 << 20):
+            for part in slices(batches, "word", WORD_BYTES):
                 lang = pc.index_in(part.column("lang"), number).to_numpy(zero_copy_only=False)
                 n = part.column("n").to_numpy().astype(float)
                 for at, points in by_length(part.column("word")):
@@ -311,7 +322,7 @@ def identify(docs: DataFrame, path: str | None = None) -> DataFrame:
     model = learn(rows.where(~F.col("held_out")).select("text", "lang"), path)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=TEXT_BYTES):
             lang, p = predict(part.column("text"), model)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(lang, pa.string()), pa.array(p)],
