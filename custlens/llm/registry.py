@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from custlens.llm import (chat_format, cotrain, decontaminate, html_wrapper, jaccard_join,
-                          language_id, ngram_trie, packing, quality_rules, secret_scan, source_audit, token_files)
+                          language_id, ngram_trie, packing, quality_rules, secret_scan, source_audit,
+                          spelling, token_files)
 from custlens.llm.common import read_table
 
 
@@ -65,6 +66,10 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_trie": op1_ngram_trie,
     "op2_quality_rules": op2_quality_rules,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_source_audit": op11_source_audit,
     "op12_language_id": op12_language_id,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = {"op11_source_audit": source_audit.SQL}
