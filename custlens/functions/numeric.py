@@ -22,10 +22,13 @@ def nan_to_null(col) -> Column:
 def money_sum(col, scale: int | None = 2) -> Column:
     """Sum of a money column of ``scale`` decimals.  Amounts are summed as whole
     numbers of the smallest unit, so the sum is exact and does not depend on the
-    order of the rows; ``None`` sums the doubles as they are."""
+    order of the rows.  What an amount has beyond ``scale`` decimals is summed apart,
+    as doubles, and not lost; ``None`` sums the doubles as they are."""
     if scale is None:
         return F.sum(_c(col))
-    return F.sum(F.round(_c(col) * F.lit(10.0 ** scale)).cast("bigint")) / F.lit(10.0 ** scale)
+    unit = F.lit(10.0 ** scale)
+    whole = F.round(_c(col) * unit)
+    return F.sum(whole.cast("bigint")) / unit + F.sum(_c(col) - whole / unit)
 
 
 def log_bucket(col, per_octave: int = 256) -> Column:
@@ -37,6 +40,14 @@ def log_bucket(col, per_octave: int = 256) -> Column:
     return F.when(x >= 0, b + 1).otherwise(-b)
 
 
+def relative_bucket(col, per_octave: int = 64) -> Column:
+    """Monotone non-decreasing integer bucket of a double with ``per_octave`` buckets per
+    doubling at any size, also of values close to 0 (which ``log_bucket`` holds together)."""
+    x = _c(col)
+    b = F.floor((F.log2(F.abs(x)) + F.lit(1100.0)) * F.lit(float(per_octave)))
+    return F.when(x == 0, F.lit(0).cast("bigint")).when(x > 0, b).otherwise(-b)
+
+
 def recode(col, mapping: dict, default=None) -> Column:
     """Map values through ``mapping``; anything else becomes ``default`` (NULL)."""
     c = _c(col)

@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens.functions.numeric import money_sum, nan_to_null, row_sum
-from custlens.operators.median import BROADCAST_MAX_ROWS, exact_median
+from custlens.operators.median import BROADCAST_MAX_ROWS
+from custlens.operators.ordered import running_sums
+from custlens.operators.skew import HOT_GROUP_ROWS
+from custlens.operators.weighted import signed_medians
+from custlens.sources.materialize import materialize
 
 WOE_SUFFIX = "_crossentroy"
 
@@ -131,6 +135,49 @@ def woe_encode(users: DataFrame, cols: Sequence[str], label: str = "flag",
     return out
 
 
+def ordered_target(df: DataFrame, cols: Sequence[str], label: str, train: Column, key: str = "id",
+                   seed: int = 999, weight: float = 1.0, out: str = "{}_target",
+                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Ordered target statistics: the label mean of each category, drawn towards the
+    overall mean by ``weight`` rows, added as ``out.format(c)``.
+
+    A train row (``train`` is true) takes the mean of the train rows of its category that
+    come before it in a permutation, so no row sees its own label; the order is that of
+    ``md5("<key>:<seed>")``.  All other rows take the mean of all train rows of their
+    category, and the overall mean for a category that train lacks.  NULL stays NULL.
+
+    The sums run along the permutation per (column, value); values with more than
+    ``hot_rows`` rows are cut into segments by the first digits of the checksum.
+    ``key`` is unique.
+    """
+    cols = list(cols)
+    rows = df.where(train)
+    order = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    long = _unpivot_values(rows.select(F.col(key).alias("_key"), F.col(label).cast("double").alias("_y"),
+                                       order.alias("_h"), *cols), ["_key", "_y", "_h"], cols)
+    prior = rows.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    prior = F.lit(0.0 if prior is None else float(prior))
+
+    def mean(pos, n):
+        return (pos + prior * weight) / (n + weight)
+
+    sums = running_sums(long, ["_name", "_val"], F.substring("_h", 1, 3), ["_h", "_key"],
+                        {"_pos": F.col("_y"), "_n": F.lit(1).cast("long")}, hot_rows)
+    own = sums.groupBy("_key").agg(*[
+        F.max(F.when(F.col("_name") == c, mean(F.col("_pos") - F.col("_y"), F.col("_n") - 1))).alias(f"_own_{i}")
+        for i, c in enumerate(cols)])
+    totals = materialize(long.groupBy("_name", "_val").agg(
+        mean(F.sum("_y"), F.count(F.lit(1))).alias("_all")), "target-totals")
+    sizes = {r["_name"]: r["count"] for r in totals.groupBy("_name").count().collect()}
+    res = df.withColumn("_train", train).join(own, F.col(key) == F.col("_key"), "left").drop("_key")
+    for i, c in enumerate(cols):
+        table = totals.where(F.col("_name") == c).select(F.col("_val").alias("_k"), "_all")
+        value = F.when(F.col(c).isNull(), F.lit(None).cast("double")).when(F.col("_train"), F.col(f"_own_{i}"))
+        res = (res.join(_maybe_broadcast(table, sizes.get(c, 0)), F.col(c).cast("string") == F.col("_k"), "left")
+               .withColumn(out.format(c), value.otherwise(F.coalesce("_all", prior))).drop("_k", "_all"))
+    return res.drop("_train", *[f"_own_{i}" for i in range(len(cols))])
+
+
 MONEY_STATS = ("_cny_median", "_cny_sum", "pos_cny_median", "pos_cny_sum",
                "neg_cny_median", "neg_cny_sum")
 
@@ -147,7 +194,7 @@ def category_money(users: DataFrame, trd: DataFrame, cols: Sequence[str], key: s
 
     ``scoring_copies=2`` counts the scoring customers' transactions twice, as
     the reference does.  Sums come from per-customer partial sums (small);
-    medians use the distributed exact median keyed by (column, value, sign).
+    medians from one weighted histogram by (column, value, signed bucket).
     """
     cols = list(cols)
     card = cardinalities if cardinalities is not None else category_cardinalities(users, cols)
@@ -161,8 +208,9 @@ def category_money(users: DataFrame, trd: DataFrame, cols: Sequence[str], key: s
 
     # Sums: per-customer partial sums, then per category.
     a = F.col("_amt")
-    per_cust = t.groupBy(key).agg(F.sum(a).alias("_s"), F.sum(F.when(a > 0, a)).alias("_sp"),
-                                  F.sum(F.when(a < 0, a)).alias("_sn"))
+    per_cust = t.groupBy(key).agg(money_sum(a, money_scale).alias("_s"),
+                                  money_sum(F.when(a > 0, a), money_scale).alias("_sp"),
+                                  money_sum(F.when(a < 0, a), money_scale).alias("_sn"))
     cust_cat = _unpivot_values(per_cust.join(dims, key).select(
         "_s", "_sp", "_sn", weight.alias("_w"), *cols), ["_s", "_sp", "_sn", "_w"], cols)
     w = F.col("_w")
@@ -174,21 +222,13 @@ def category_money(users: DataFrame, trd: DataFrame, cols: Sequence[str], key: s
     # the signed sums stay NULL since such a category has no signed rows.
     sums = sums.withColumn("_cny_sum", F.coalesce(F.col("_cny_sum"), F.lit(0.0)))
 
-    # Medians: every transaction, tagged with each category value of its
-    # customer and its sign part, repeated for scoring copies.
-    tc = t.join(dims, key)
-    if scoring_copies != 1:
-        tc = tc.withColumn("_rep", F.explode(F.array_repeat(F.lit(1), weight))).drop("_rep")
-    parts = F.array(F.lit("all"), F.when(a > 0, F.lit("pos")).when(a < 0, F.lit("neg")))
-    long = (_unpivot_values(tc, ["_amt"], cols)
-            .select("_name", "_val", "_amt", F.explode(parts).alias("_part"))
-            .where(F.col("_part").isNotNull()))
-    med = exact_median(long, ["_name", "_val", "_part"], "_amt", "_m",
-                       max_groups=3 * n_groups)
-    meds = med.groupBy("_name", "_val").agg(
-        F.max(F.when(F.col("_part") == "all", F.col("_m"))).alias("_cny_median"),
-        F.max(F.when(F.col("_part") == "pos", F.col("_m"))).alias("pos_cny_median"),
-        F.max(F.when(F.col("_part") == "neg", F.col("_m"))).alias("neg_cny_median"))
+    # Medians: every transaction once for each category value of its customer, with its
+    # weight; the signs come out of the same counts.
+    tc = t.where(a.isNotNull()).join(dims, key).select("_amt", weight.alias("_w"), *cols)
+    med = signed_medians(_unpivot_values(tc, ["_amt", "_w"], cols), ["_name", "_val"], "_amt", "_w",
+                         max_groups=n_groups)
+    meds = med.select("_name", "_val", F.col("median_all").alias("_cny_median"),
+                      F.col("median_pos").alias("pos_cny_median"), F.col("median_neg").alias("neg_cny_median"))
     table = meds.join(sums, ["_name", "_val"], "full")
 
     out = users

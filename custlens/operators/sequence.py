@@ -41,14 +41,15 @@ def token_sequences(events: DataFrame, key: str, token: str, order: Sequence[str
 
 
 def fit_embedding(sequences: DataFrame, size: int = 6, window: int = 5, min_count: int = 1,
-                  seed: int = 999, partitions: int = 16, max_iter: int = 1) -> Word2VecModel:
+                  seed: int = 999, partitions: int = 16, max_iter: int = 1,
+                  max_len: int = MAX_LEN) -> Word2VecModel:
     """Skip-gram ``Word2Vec`` over the token chunks (``tokens`` column).
 
     Spark trains one model copy per partition and averages them, so the result
     depends on ``partitions``: an argument with a fixed default, not a property of
     the cluster.  Raise it for large inputs."""
     w2v = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed,
-                   numPartitions=partitions, maxIter=max_iter, maxSentenceLength=MAX_LEN,
+                   numPartitions=partitions, maxIter=max_iter, maxSentenceLength=max_len,
                    inputCol="tokens", outputCol="_vec")
     return w2v.fit(sequences.select("tokens"))
 

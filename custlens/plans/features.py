@@ -14,16 +14,19 @@ directory) before training, because every boosting round re-reads it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custlens.operators import clean, encode, model, select, sequence
 from custlens.operators.profile import FAMILIES, attach, transaction_profile
 from custlens.operators.temporal import gap_stats
 from custlens.session import ensure_checkpoint_dir
+from custlens.sources import io as sio
 
 
 def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = None,
@@ -72,7 +75,7 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
 
     def embed_piece():
         seqs = sequence.token_sequences(trd, "id", "cod2", list(order), max_len=max_len)
-        vocab = sequence.vocabulary(sequence.fit_embedding(seqs))
+        vocab = sequence.vocabulary(sequence.fit_embedding(seqs, max_len=max_len))
         return sequence.token_mean_vectors(trd, "id", "cod2", vocab, dim=6, prefix="")
 
     tasks = [lambda: transaction_profile(trd, families, money_scale=money_scale), lambda: gap_stats(trd, "id", "trx_tm")]
@@ -96,11 +99,13 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
                     actual_imp: DataFrame | None = None, categorical: Sequence[str] = (),
                     model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,
                     narrow: bool = True, scores_path: str | None = None,
-                    absent: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Blended scores per scoring customer and the fold AUC table.  With
-    ``scores_path`` the scores of each model and fold are written there, and the
-    blend is made from what was written.  A selected feature that the table lacks is
-    an error unless it is named in ``absent``.
+                    absent: Sequence[str] = ()) -> Scored:
+    """Blended scores per scoring customer, the fold AUC table, and the AUC by round and
+    split counts of the models.  With ``scores_path`` the scores of each model and fold are
+    written there as soon as a model is done, its AUCs and split counts beside them, and
+    the blend is made from what was written; a rerun on the same inputs fits only the
+    models that are not there yet.  A selected feature that the table lacks is an error
+    unless it is named in ``absent``.
 
     Feature selection (when importance tables are given) keeps the features
     whose gain score reaches 40 plus every ``*_crossentroy`` column.  Model 1
@@ -135,7 +140,7 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
         data = clean.narrow_types(data, skip=["id", "flag", "fold"])
     data = data.checkpoint()
     numeric = [c for c, t in data.select(*feats).dtypes if c not in cats and t != "string"]
-    def fit(m: int):
+    def fit(m: int) -> model.OofFit:
         if m == 3 and cats:
             # Categories replaced by their money encodings (computed here for
             # the ones the feature table does not carry yet).
@@ -145,25 +150,78 @@ def score_customers(features: DataFrame, trd: DataFrame, null_imp: DataFrame | N
             # Every boosting round reads the encodings again.
             enc = enc.drop(*cats).checkpoint()
             m_numeric = list(dict.fromkeys(numeric + [c for c in money if c in enc.columns]))
-            s, o, _ = model.oof_fit(enc, m_numeric, [], model_id=m, max_iter=max_iter)
-        else:
-            s, o, _ = model.oof_fit(data, numeric, cats, model_id=m, max_iter=max_iter,
-                                    encoding="onehot" if m == 2 else "index")
-        return s, o
+            return model.oof_fit(enc, m_numeric, [], model_id=m, max_iter=max_iter)
+        return model.oof_fit(data, numeric, cats, model_id=m, max_iter=max_iter,
+                             encoding="onehot" if m == 2 else "index")
 
+    store = ModelStore(spark, scores_path, (data, trd.select("id", "amt") if 3 in model_ids and cats else None),
+                       (numeric, cats, max_iter, model.SEED)) if scores_path else None
+    todo = [m for m in model_ids if store is None or not store.has(m)]
     # The model variants are independent: fit them on concurrent driver
     # threads so their boosting rounds share the cluster.
-    with ThreadPoolExecutor(max_workers=len(model_ids)) as pool:
-        fitted = [f.result() for f in [pool.submit(fit, m) for m in model_ids]]
-    all_scores, all_oof = fitted[0]
-    for s, o in fitted[1:]:
-        all_scores, all_oof = all_scores.unionByName(s), all_oof.unionByName(o)
-    if scores_path:
-        from custlens.sources import io as sio
-        sio.write_scores(all_scores, scores_path)
-        all_scores = sio.read_scores(spark, scores_path)
-    aucs = model.auc_by_group(all_oof, ["model", "fold"])
-    return model.blend(all_scores), aucs
+    fits: list[model.OofFit] = []
+    failed = None
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        running = {pool.submit(fit, m): m for m in todo}
+        for done in as_completed(running):
+            try:
+                fits.append(done.result())
+                if store is not None:
+                    store.put(running[done], fits[-1])
+            except Exception as e:  # the others still finish and are kept
+                failed = failed or e
+    if failed is not None:
+        raise failed
+    if store is not None:
+        scores, rounds, splits = (t.where(F.col("model").isin(list(model_ids))) for t in store.tables())
+    else:
+        scores, rounds, splits = (reduce(DataFrame.unionByName, [getattr(f, t) for f in fits])
+                                  for t in ModelStore.TABLES)
+    aucs = rounds.where("best").select("model", "fold", "auc", "n_pos", "n_neg")
+    return Scored(model.blend(scores), aucs, rounds, splits)
+
+
+@dataclass
+class Scored:
+    """What ``score_customers`` returns; unpacks to the first two."""
+
+    blended: DataFrame   # id, score
+    fold_auc: DataFrame  # model, fold, auc, n_pos, n_neg of the chosen rounds
+    rounds: DataFrame    # model, fold, round, auc, n_pos, n_neg, best
+    splits: DataFrame    # model, feature, splits
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        return iter((self.blended, self.fold_auc))
+
+
+class ModelStore:
+    """Results of finished models under ``path`` (scores, by model and fold), with the AUCs
+    by round, the split counts and a manifest in tables beside it.  The manifest names the
+    state of the inputs that a model was fitted on; it is written last, so a model that
+    was interrupted counts as missing and its partitions are replaced."""
+
+    TABLES = ("scores", "rounds", "splits")
+
+    def __init__(self, spark: SparkSession, path: str, inputs: Sequence[DataFrame | None], settings: tuple):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.state = sio.table_state(inputs[0], settings, *[sio.table_state(t) for t in inputs[1:] if t is not None])
+
+    def _at(self, table: str) -> str:
+        return self.path if table == "scores" else f"{self.path}_{table}"
+
+    def has(self, m: int) -> bool:
+        known = sio.read_parts(self.spark, self._at("manifest"))
+        return known is not None and bool(known.where((F.col("model") == m) & (F.col("state") == self.state)).limit(1).count())
+
+    def put(self, m: int, fit: model.OofFit) -> None:
+        for table in self.TABLES:
+            by = ["model", "fold"] if table == "scores" else ["model"]
+            sio.replace_parts(getattr(fit, table), self._at(table), by)
+        sio.replace_parts(self.spark.createDataFrame([(m, self.state)], "model int, state string"),
+                          self._at("manifest"), ["model"])
+
+    def tables(self) -> list[DataFrame]:
+        return [self.spark.read.parquet(self._at(t)) for t in self.TABLES]
 
 
 # The reference's transaction column names.
@@ -181,36 +239,39 @@ def score_from_files(spark, customers: dict[str, str], transactions: dict[str, s
                  null_importances: str | None = None, actual_importances: str | None = None,
                  model_ids: Sequence[int] = (1, 2, 3), max_iter: int = 20,
                  scoring_copies: int = 1, embed: bool = True,
-                 absent: Sequence[str] = ()) -> DataFrame:
+                 absent: Sequence[str] = (), money_scale: int | None = 2,
+                 max_len: int = sequence.MAX_LEN, most_rejects: int | None = None) -> DataFrame:
     """Files in, scores out: ``customers`` / ``transactions`` / ``page_views``
     map a split name (``train``, ``score``) to a CSV path.  Writes the blended
-    scores as ``id<TAB>score`` and the per-model scores as parquet under
-    ``out_dir``; returns the blended scores."""
-    from custlens.sources import io as sio
-    from functools import reduce
+    scores as ``id<TAB>score`` and the per-model scores, fold AUCs and split counts as
+    parquet under ``out_dir``; returns the blended scores.  ``most_rejects``: transactions
+    that don't parse are set apart under ``out_dir``, up to so many a file (None: the
+    first one is an error).  A rerun fits only what ``out_dir`` lacks."""
     categorical = sio.CATEGORICAL if categorical is None else categorical
 
     def union(frames):
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
+    rejects = None if most_rejects is None else f"{out_dir.rstrip('/')}/rejects"
     users = clean.require_unique(
         union([sio.read_customers(spark, p, split) for split, p in customers.items()]))
     trd = standardize_transactions(
-        union([sio.read_transactions(spark, p, split) for split, p in transactions.items()]))
+        union([sio.read_transactions(spark, p, split, rejects, most_rejects) for split, p in transactions.items()]))
     beh = union([sio.read_page_views(spark, p, split) for split, p in page_views.items()])
     # Cross features of the columns that the files have.
     products = {o: p for o, p in sio.PRODUCTS.items() if set(p) <= set(users.columns)}
     ratios = sio.RATIO_COLUMNS if set(sio.RATIO_COLUMNS) <= set(users.columns) else ()
     feats = build_features(users, trd, beh, categorical=categorical, embed=embed,
                            scoring_copies=scoring_copies, products=products,
-                           ratio_cols=ratios, ratio_sum=sio.RATIO_SUM)
+                           ratio_cols=ratios, ratio_sum=sio.RATIO_SUM, money_scale=money_scale,
+                           max_len=max_len)
     null_imp = sio.read_importances(spark, null_importances) if null_importances else None
     act_imp = sio.read_importances(spark, actual_importances) if actual_importances else None
     mode_cols = [c for c in ("dat3_mode", "trx1_mode", "trx2_mode", "week_mode2",
                              "weekday_mode2") if c in feats.columns]
-    blended, aucs = score_customers(feats, trd, null_imp, act_imp, categorical=mode_cols,
-                                    model_ids=model_ids, max_iter=max_iter,
-                                    scores_path=f"{out_dir.rstrip('/')}/scores", absent=absent)
-    sio.write_submission(blended, f"{out_dir.rstrip('/')}/submission")
-    aucs.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/fold_auc")
-    return blended
+    got = score_customers(feats, trd, null_imp, act_imp, categorical=mode_cols,
+                          model_ids=model_ids, max_iter=max_iter,
+                          scores_path=f"{out_dir.rstrip('/')}/scores", absent=absent)
+    sio.write_submission(got.blended, f"{out_dir.rstrip('/')}/submission")
+    got.fold_auc.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/fold_auc")
+    return got.blended

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from custlens.plans.oracle import gap_sql, per_customer_profile_sql, profile_ctes
+from custlens.plans.oracle import R, gap_sql, per_customer_profile_sql, profile_ctes
 from custlens.plans.oracle_views import with_views
 
 ORACLE: dict[str, str] = {
@@ -34,12 +34,13 @@ SENT = "(chr(92) || 'N', '31', '30')"
 
 
 def _money_sql(user_views: list[str], users_ctes: list[tuple[str, str]], users: str,
-               cats: list[str], keep: list[str], drop_cats: bool) -> str:
-    """Category money encodings of ``cats`` (columns of CTE ``users``)."""
+               cats: list[str], keep: list[str], drop_cats: bool,
+               rows: str = "select id, amt from trd") -> str:
+    """Category money encodings of ``cats`` (columns of CTE ``users``) over ``rows``."""
     unions = " union all ".join(
         f"select '{c}' as n, cast(u.{c} as varchar) as v, x.amt from x join {users} u on u.id = x.id "
         f"where u.{c} is not null" for c in cats)
-    ctes = users_ctes + [("x", "select id, amt from trd"), ("lng", unions), ("enc", """
+    ctes = users_ctes + [("x", rows), ("lng", unions), ("enc", """
 select n, v,
        round(median(amt), 4) as m_all, coalesce(round(sum(amt), 2), 0) as s_all,
        round(median(case when amt > 0 then amt end), 4) as m_pos,
@@ -293,3 +294,93 @@ from mlng group by n, v""")]
 
 
 ORACLE["customer_features"] = _customer_features_sql()
+
+
+_FLAGGED = ["cny_trx_amt_max", "cny_trx_amt_positive_median", "cny_trx_amt_negative_std", "buy_a"]
+
+
+def _missing_flags_sql() -> str:
+    ctes, _ = profile_ctes(["amount", "signed"])
+    ctes.append(("r", "select tag.id, tag.split, tag.buy_a, p.* exclude (id) from tag left join p on p.id = tag.id"))
+    ctes.append(("f", "select " + ", ".join(
+        f"count(*) - count({c}) as k_{c}, coalesce(case when count(*) > count({c}) then median({c}) else avg({c}) end, 0)"
+        f" as v_{c}" for c in _FLAGGED) + " from r where split = 'train'"))
+    return with_views(["trd", "tag"], ctes, "select r.id, r.split, " + ", ".join(
+        f"{R.format(f'coalesce(r.{c}, f.v_{c})')} as {c}, "
+        f"cast(case when f.k_{c} > 0 and r.{c} is null then 1 else 0 end as bigint) as {c}_missing"
+        for c in _FLAGGED) + " from r, f")
+
+
+def _ordered_target_sql() -> str:
+    before = "(partition by {} order by h, id rows between unbounded preceding and 1 preceding)"
+    own = ", ".join(f"(coalesce(sum(flag) over {before.format(c)}, 0) + prior)"
+                    f" / (count(*) over {before.format(c)} + 1) as own_{c}" for c in ("seg_cd", "nat_cd"))
+    ctes = [("tr", "select *, md5(cast(id as varchar) || ':999') as h from tag where split = 'train'"),
+            ("pr", "select cast(avg(flag) as double) as prior from tr"),
+            ("o", f"select tr.id, {own} from tr, pr")]
+    ctes += [(f"t_{c}", f"select {c}, (sum(flag) + any_value(prior)) / (count(*) + 1) as v from tr, pr group by {c}")
+             for c in ("seg_cd", "nat_cd")]
+    value = ", ".join(f"case when tag.{c} is null then null when tag.split = 'train' then o.own_{c} "
+                      f"else coalesce(t_{c}.v, prior) end as {c}_target" for c in ("seg_cd", "nat_cd"))
+    return with_views(["tag"], ctes, f"""
+select cast(tag.id as bigint) as id, cast(tag.flag as bigint) as flag, tag.split, tag.seg_cd, tag.nat_cd, {value}
+from tag cross join pr left join o on o.id = tag.id left join t_seg_cd on t_seg_cd.seg_cd = tag.seg_cd
+     left join t_nat_cd on t_nat_cd.nat_cd = tag.nat_cd""")
+
+
+def _page_profile_sql() -> str:
+    ctes, names = profile_ctes(["flag1", "codes", "calendar", "flag3"])
+    return with_views(["page_trd", "tag"], [("trd", "select * from page_trd"), *ctes],
+                      "select tag.id, " + ", ".join(f"p.{o}" for o in names) + " from tag left join p on p.id = tag.id")
+
+
+def _narrow_plan_sql() -> str:
+    ints = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    floats = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    bounds = [f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in ints + floats]
+    rows = [f"""
+select '{c}' as "column", case when lo_{c} > -128 and hi_{c} < 127 then 'tinyint'
+       when lo_{c} > -32768 and hi_{c} < 32767 then 'smallint'
+       when lo_{c} > -2147483648 and hi_{c} < 2147483647 then 'int' else 'bigint' end as type from b""" for c in ints]
+    rows += [f"""
+select '{c}' as "column", case when lo_{c} > -3.4028235e38 and hi_{c} < 3.4028235e38 then 'float' else 'double' end as type
+from b""" for c in floats]
+    rows += [f"select '{c}', '{t}'" for c, t in
+             (("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"))]
+    return with_views([], [("b", "select " + ", ".join(bounds) + " from lineitem")], " union all ".join(rows))
+
+
+ORACLE.update({
+    "category_money_copies2": _money_sql(
+        ["trd", "tag"], [], "tag", ["seg_cd", "nat_cd"], ["id", "split"], drop_cats=False,
+        rows="select id, amt from trd union all "
+             "select trd.id, amt from trd join tag on tag.id = trd.id where tag.split = 'score'"),
+    "ordered_target": _ordered_target_sql(),
+    "missing_flags": _missing_flags_sql(),
+    "rejects": with_views(["text_amounts"], [], """
+select 'lineitem' as source, id,
+       concat_ws(',', case when quantity is not null and try_cast(quantity as double) is null then 'quantity' end,
+                 case when shipped is not null and try_cast(shipped as date) is null then 'shipped' end) as bad_columns,
+       quantity, shipped
+from text_amounts
+where (quantity is not null and try_cast(quantity as double) is null)
+   or (shipped is not null and try_cast(shipped as date) is null)"""),
+    "parsed_rows": with_views(["text_amounts"], [], """
+select id, try_cast(quantity as double) as quantity, try_cast(shipped as date) as shipped from text_amounts
+where not (quantity is not null and try_cast(quantity as double) is null)
+  and not (shipped is not null and try_cast(shipped as date) is null)"""),
+    "page_profile": _page_profile_sql(),
+    "token_sequences_short": ORACLE["token_sequences"].replace("(rn - 1) / 1000", "(rn - 1) / 7"),
+    "narrow_plan": _narrow_plan_sql(),
+    "woe_table": with_views(["tag"], [
+        ("lng", "select 'seg_cd' as c, seg_cd as v, flag, split from tag union all "
+                "select 'nat_cd' as c, nat_cd as v, flag, split from tag"),
+        ("tot", "select sum(flag) as pos, count(*) - sum(flag) as neg from tag where split = 'train'"),
+        ("cls", "select c, v, sum(flag) as pos_c, count(*) as n_c from lng "
+                "where split = 'train' and v is not null group by c, v"),
+        ("ok", "select c from cls group by c having min(n_c) > 100"),
+        ("seen", "select distinct c, v from lng")], """
+select seen.c as "column", seen.v as value,
+       round(ln((cls.pos_c / tot.pos) * (tot.neg / (cls.n_c - cls.pos_c))), 4) as woe
+from seen join ok on ok.c = seen.c cross join tot left join cls on cls.c = seen.c and cls.v = seen.v"""),
+})

@@ -24,6 +24,20 @@ select o_custkey as id, l_orderkey, l_linenumber, l_shipdate as trx_tm,
 from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
     "beh": """
 select user_id as id, ts as page_tm, event_type as page from events""",
+    "page_trd": """
+select user_id as id, ts as trx_tm, case when event_type = 'click' then -value else value end as amt,
+       case event_type when 'click' then 'B' when 'view' then 'C' else 'D' end as flg1,
+       case event_type when 'click' then 'A' when 'view' then 'B' else 'C' end as flg3,
+       event_type as cod1, substr(event_type, 1, 1) as cod2
+from events""",
+    "text_amounts": """
+select l_orderkey || '-' || l_linenumber as id,
+       case when (l_orderkey * 8 + l_linenumber) % 97 = 0 then 'n/a'
+            else cast(cast(l_quantity as integer) as varchar) end as quantity,
+       case when (l_orderkey * 8 + l_linenumber) % 101 = 0 then '2020-02-30'
+            when (l_orderkey * 8 + l_linenumber) % 53 = 0 then null
+            else strftime(l_shipdate, '%Y-%m-%d') end as shipped
+from lineitem""",
     "tag_text": """
 select p_partkey as id, case when p_partkey % 5 = 0 then 'score' else 'train' end as split,
        case when p_partkey % 17 = 0 then chr(92) || 'N' else p_brand end as brand_txt,

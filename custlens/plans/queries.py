@@ -6,18 +6,23 @@ oracle SQL of the same name lives in ``custlens.plans.oracle_sql``.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType
 
 from custlens.operators import clean, encode, model, select, sequence
+from custlens.operators.missing import MissingFlags
 from custlens.operators.profile import attach, transaction_profile
 from custlens.operators.temporal import bucket_counts_rowwise as _bucket_rows
 from custlens.operators.temporal import gap_stats, with_calendar_parts
 from custlens.plans.tidy import tidy
 from custlens.session import ensure_checkpoint_dir
 from custlens.sources import fixtures as fx
+from custlens.sources import io
 from custlens.sources.materialize import file_state, materialize, stage
 from custlens.sources.tables import read_table
 
@@ -301,3 +306,147 @@ QUERIES.update({
     "score_blend": score_blend,
     "gbt_oof": gbt_oof,
 })
+
+
+# --- weighted encodings, ordered statistics, missing values, rejects ----------
+
+def category_money_copies2(spark, sf_dir):
+    """Money encodings with the scoring customers' transactions counted twice."""
+    users = fx.tag(spark, sf_dir).select("id", "split", *FIXTURE_CATS)
+    return tidy(encode.category_money(users, _transactions(spark, sf_dir), FIXTURE_CATS, scoring_copies=2))
+
+
+def ordered_target(spark, sf_dir):
+    """Ordered target statistics: a train row takes the labels before it in a permutation."""
+    users = fx.tag(spark, sf_dir).select("id", "flag", "split", *FIXTURE_CATS)
+    out = encode.ordered_target(users, FIXTURE_CATS, "flag", F.col("split") == "train")
+    return tidy(out, round_cols=[])
+
+
+#: Number columns of the missing-value query: of customers with, or with signed, transactions.
+FLAGGED = ["cny_trx_amt_max", "cny_trx_amt_positive_median", "cny_trx_amt_negative_std", "buy_a"]
+
+
+def missing_flags(spark, sf_dir):
+    """Fill values learned from the train customers, and a flag for what was missing."""
+    prof = transaction_profile(_transactions(spark, sf_dir), ["amount", "signed"])
+    rows = fx.tag(spark, sf_dir).join(prof, "id", "left").select("id", "split", *FLAGGED)
+    fitted = MissingFlags(FLAGGED).fit(rows.where(F.col("split") == "train"))
+    out = fitted.transform(rows)
+    return tidy(out.select("id", "split", *FLAGGED, *[
+        (F.col(f"_m_{c}") if c in fitted.flagged else F.lit(0)).cast("bigint").alias(f"{c}_missing")
+        for c in FLAGGED]), round_cols=FLAGGED)
+
+
+def rejects(spark, sf_dir):
+    """Rows of which a value doesn't parse, as they were set apart."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/custlens-rejects-{uuid.uuid4().hex}"
+    io.set_rejects_apart(fx.text_amounts(spark, sf_dir), REJECT_SCHEMA, path, "lineitem")
+    return spark.read.parquet(path).select(
+        "source", F.col("raw")["id"].alias("id"), F.array_join("bad_columns", ",").alias("bad_columns"),
+        F.col("raw")["quantity"].alias("quantity"), F.col("raw")["shipped"].alias("shipped"))
+
+
+REJECT_SCHEMA = StructType([StructField("id", StringType()), StructField("quantity", DoubleType()),
+                            StructField("shipped", DateType())])
+
+
+def parsed_rows(spark, sf_dir):
+    """The rows of the same table that parse, typed."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/custlens-rejects-{uuid.uuid4().hex}"
+    good, _ = io.set_rejects_apart(fx.text_amounts(spark, sf_dir), REJECT_SCHEMA, path, "lineitem")
+    return good
+
+
+def page_profile(spark, sf_dir):
+    """Flag, code, signed and calendar profiles of events that bear hours, with a flag
+    value that the recode doesn't know."""
+    users = fx.tag(spark, sf_dir).select("id")
+    prof = transaction_profile(fx.page_trd(spark, sf_dir), ["flag1", "codes", "calendar", "flag3"])
+    return tidy(attach(users, prof))
+
+
+def token_sequences_short(spark, sf_dir):
+    """Token sequences in chunks of seven, so that most customers have several."""
+    t = _transactions(spark, sf_dir)
+    return tidy(sequence.token_sequences(t, "id", "cod2", ["trx_tm", "l_orderkey", "l_linenumber"], max_len=7))
+
+
+def narrow_plan(spark, sf_dir):
+    """The type that each column of the transactions is narrowed to."""
+    t = read_table(spark, sf_dir, "lineitem")
+    return spark.createDataFrame(clean.narrow_types(t).dtypes, "column string, type string")
+
+
+def woe_table(spark, sf_dir):
+    """Weight of evidence by column and value, for the columns that pass the class-size guard."""
+    users = fx.tag(spark, sf_dir).select("id", "flag", "split", *FIXTURE_CATS)
+    coded = encode.woe_encode(users, FIXTURE_CATS)
+    passed = [c for c in FIXTURE_CATS if f"{c}{encode.WOE_SUFFIX}" in coded.columns]
+    parts = [coded.select(F.lit(c).alias("column"), F.col(c).alias("value"),
+                          F.round(F.col(f"{c}{encode.WOE_SUFFIX}"), 4).alias("woe")).distinct() for c in passed]
+    empty = spark.createDataFrame([], "column string, value string, woe double")
+    return functools.reduce(DataFrame.unionByName, parts, empty)
+
+
+# --- models ---------------------------------------------------------------------
+
+MODEL_CATS = ["seg_cd", "home_cd", "dat3_mode", "trx1_mode"]
+
+
+def _model_table(spark, sf_dir):
+    """Customers with a profile and folds; ``home_cd`` has more than fifty values."""
+    trd = _transactions(spark, sf_dir)
+    users = fx.tag(spark, sf_dir).withColumn("home_cd", F.concat_ws("-", "nat_cd", "seg_cd"))
+    feats = users.join(transaction_profile(trd, ["amount", "signed", "codes"]), "id", "left")
+    train = clean.mark_member(feats.where(F.col("split") == "train"), trd.select("id"), "id", "has_trx")
+    train = model.assign_folds(train, "id", "has_trx")
+    rest = feats.where(F.col("split") != "train").withColumn("has_trx", F.lit(None).cast("int")) \
+                .withColumn("fold", F.lit(None).cast("int"))
+    data = materialize(train.unionByName(rest), "model-table")
+    numeric = [c for c, t in data.dtypes if c not in ("id", "flag", "split", "fold", "has_trx")
+               and t in ("double", "bigint", "int")]
+    return data, numeric
+
+
+def gbt_onehot(spark, sf_dir):
+    """Model 2: categories one-hot up to fifty values, ordered statistics above."""
+    data, numeric = _model_table(spark, sf_dir)
+    return model.oof_fit(data, numeric, MODEL_CATS, model_id=2, encoding="onehot", max_iter=5).scores
+
+
+def gbt_money(spark, sf_dir):
+    """Model 3: categories replaced by their money encodings."""
+    data, numeric = _model_table(spark, sf_dir)
+    coded = encode.category_money(data, _transactions(spark, sf_dir), MODEL_CATS).drop(*MODEL_CATS)
+    money = [f"{c}{s}" for c in MODEL_CATS for s in encode.MONEY_STATS]
+    return model.oof_fit(materialize(coded, "model-table"), numeric + money, [], model_id=3, max_iter=5).scores
+
+
+def auc_by_round(spark, sf_dir):
+    """AUC of each fold after each boosting round; ``best`` marks the round that scores."""
+    data, numeric = _model_table(spark, sf_dir)
+    return model.oof_fit(data, numeric, MODEL_CATS, max_iter=5).rounds
+
+
+def split_importance(spark, sf_dir):
+    """Splits by feature in the trees up to each fold's best round, summed over folds."""
+    data, numeric = _model_table(spark, sf_dir)
+    return model.oof_fit(data, numeric, MODEL_CATS, max_iter=5).splits
+
+
+QUERIES.update({
+    "category_money_copies2": category_money_copies2,
+    "ordered_target": ordered_target,
+    "missing_flags": missing_flags,
+    "rejects": rejects,
+    "parsed_rows": parsed_rows,
+    "page_profile": page_profile,
+    "token_sequences_short": token_sequences_short,
+    "narrow_plan": narrow_plan,
+    "woe_table": woe_table,
+    "gbt_onehot": gbt_onehot,
+    "gbt_money": gbt_money,
+    "auc_by_round": auc_by_round,
+    "split_importance": split_importance,
+})

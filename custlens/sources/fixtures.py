@@ -77,6 +77,30 @@ def beh(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("event_type").alias("page"))
 
 
+def page_trd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page events in the shape of transactions, with times of day; ``flg1`` takes values
+    beside B and C, and clicks are negative amounts."""
+    e = read_table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    return e.select(
+        F.col("user_id").alias("id"), F.col("ts").alias("trx_tm"),
+        F.when(kind == "click", -F.col("value")).otherwise(F.col("value")).alias("amt"),
+        F.when(kind == "click", "B").when(kind == "view", "C").otherwise("D").alias("flg1"),
+        F.when(kind == "click", "A").when(kind == "view", "B").otherwise("C").alias("flg3"),
+        kind.alias("cod1"), F.substring(kind, 1, 1).alias("cod2"))
+
+
+def text_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as a CSV gives them, all text; some amounts and times don't parse."""
+    li = read_table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
+        F.when(k % 97 == 0, "n/a").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+        F.when(k % 101 == 0, "2020-02-30").when(k % 53 == 0, F.lit(None).cast("string"))
+         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("shipped"))
+
+
 def tag_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text-typed attributes with sentinels, one column per sentinel case."""
     p = read_table(spark, sf_dir, "part")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DoubleType, LongType, StringType, StructField,
                                StructType, TimestampType)
@@ -47,16 +50,47 @@ def _typed(name: str, kind: DataType) -> Column:
     return F.when(c.isNull() | value.isNotNull(), value).otherwise(bad).alias(name)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def mark_rejects(raw: DataFrame, schema: StructType) -> DataFrame:
+    """The text columns of ``schema`` by name: ``good`` (a struct of typed values),
+    ``bad_columns`` (names of those whose text doesn't parse) and ``raw`` (the texts)."""
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(), F.lit(f.name))
+           for f in schema.fields]
+    texts = F.create_map(*[x for f in schema.fields for x in (F.lit(f.name), F.col(f"`{f.name}`").cast("string"))])
+    return raw.select(F.struct(*typed).alias("good"), F.array_compact(F.array(*bad)).alias("bad_columns"),
+                      texts.alias("raw"))
+
+
+def set_rejects_apart(raw: DataFrame, schema: StructType, path: str, source: str,
+                      most: int | None = None) -> tuple[DataFrame, int]:
+    """The typed rows of ``raw`` that parse, and how many don't.  Those are appended to the
+    parquet table ``path`` as ``source, bad_columns, raw``, counted as they are written;
+    more than ``most`` of them are an error (after the write, so that they can be read)."""
+    marked = mark_rejects(raw, schema)
+    seen = Observation()
+    (marked.where(F.size("bad_columns") > 0).select(F.lit(source).alias("source"), "bad_columns", "raw")
+     .observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path))
+    n = seen.get["n"]
+    if most is not None and n > most:
+        raise ValueError(f"{source}: {n} rows don't parse, {most} are allowed; they are in {path}")
+    return marked.where(F.size("bad_columns") == 0).select("good.*"), n
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
+             rejects: str | None = None, most_rejects: int | None = None) -> DataFrame:
     """Headered CSV.  Without a schema every column is read as text (sentinel
     columns must stay text until they are cleaned).  With one, its columns are taken
-    by name, whatever their order and whichever others there are."""
+    by name, whatever their order and whichever others there are.  A value that doesn't
+    parse is an error, or sets its row apart in the table ``rejects`` where that is given
+    (up to ``most_rejects`` rows)."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if schema is None:
         return raw
     missing = [f.name for f in schema.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    if rejects is not None:
+        return set_rejects_apart(raw, schema, rejects, path, most_rejects)[0]
     return raw.select(*[_typed(f.name, f.dataType) for f in schema.fields])
 
 
@@ -68,8 +102,9 @@ def read_customers(spark: SparkSession, path: str, split: str) -> DataFrame:
     return df
 
 
-def read_transactions(spark: SparkSession, path: str, split: str) -> DataFrame:
-    return read_csv(spark, path, TRD_SCHEMA).withColumn("split", F.lit(split))
+def read_transactions(spark: SparkSession, path: str, split: str, rejects: str | None = None,
+                      most_rejects: int | None = None) -> DataFrame:
+    return read_csv(spark, path, TRD_SCHEMA, rejects, most_rejects).withColumn("split", F.lit(split))
 
 
 def read_page_views(spark: SparkSession, path: str, split: str) -> DataFrame:
@@ -91,6 +126,26 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
     scores.write.mode(mode).partitionBy("model").parquet(path)
 
 
+def replace_parts(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write ``df`` partitioned ``by``; partitions that it has are replaced, others stay."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where nothing was written yet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.parquet(path)
+
+
+def table_state(df: DataFrame, *more) -> str:
+    """Checksum of a table's rows (in any order), its schema and ``more``."""
+    each = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    n, low, high = df.agg(F.count(F.lit(1)), F.sum(each.cast("decimal(38,0)")), F.bit_xor(each)).first()
+    return hashlib.sha256(repr((n, str(low), high, df.dtypes, more)).encode()).hexdigest()
+
+
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
