@@ -22,10 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custlens.llm.common import documents, hash_words, mix, pack, slices, stage, strings, unpack, word_arrays
+from custlens.llm.common import (documents, drop_staged, hash_words, mix, pack, slices, stage, strings, trim, unpack,
+                                 word_arrays)
 
 #: Rows that the models are fitted on: labelled ones, at most, and about so many of those
 #: that a view labels, for either class.
@@ -137,7 +139,7 @@ def fit(feats: np.ndarray, at: np.ndarray, y: np.ndarray, size: int, steps: int
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     if not len(y):
         return w
-    owner = np.repeat(np.arange(len(y)), np.diff(at))
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(at))
     for t in range(1, steps + 1):
         err = (1 / (1 + np.exp(-np.clip(logits(feats, at, w), -30, 30))) - y) / len(y)
         grad = np.concatenate([np.bincount(feats, err[owner], size), [err.sum()]])
@@ -362,9 +364,10 @@ def co_train(text: tuple, meta: tuple, y: np.ndarray, rounds: int = ROUNDS) -> V
 
 # -- Spark ------------------------------------------------------------------------
 
-_STAGED = ("ids binary, nulls binary, labels binary, inside binary, raw binary, low binary, codes binary, "
-           "sizes binary, nums binary, vals binary")
-_NAMES = [f.split()[0] for f in _STAGED.split(", ")]
+_PACKED = "ids binary, nulls binary, raw binary, low binary, codes binary, sizes binary, nums binary, vals binary"
+_PARTS = [f.split()[0] for f in _PACKED.split(", ")]
+#: Groups in which tasks' sums are added up, before those are.
+SUMS = 64
 _FOUND = "block int, counts binary, t int, v int, label int, id long, words binary, meta binary, toxic int"
 _FOUND_ARROW = pa.schema([("block", pa.int32()), ("counts", pa.binary()), ("t", pa.int32()), ("v", pa.int32()),
                           ("label", pa.int32()), ("id", pa.int64()), ("words", pa.binary()), ("meta", pa.binary()),
@@ -386,41 +389,62 @@ def _places(planes: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _stage_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row of packed features for each slice: words as distinct places in the slice's."""
-    for part in slices(batches):
+    """A row of packed features for each slice: words as distinct places in the slice's.
+    Slices are numbered within their partition."""
+    first = TaskContext.get().partitionId() << 32
+    for number, part in enumerate(slices(batches)):
         words, code, off = word_arrays(part.column("text"))
         size = max(1, len(words))
         pair = np.unique(np.repeat(np.arange(len(off) - 1), np.diff(off)) * size + code)
         at = np.searchsorted(pair, np.arange(len(off)) * size)
         raw, low = _buckets(words)
         ids = part.column("doc_id")
-        y = np.stack([part.column(t).fill_null(-1).to_numpy(zero_copy_only=False) for t in TARGETS], axis=1)
         cols = [ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), y.ravel() + 1,
-                part.column("inside").to_numpy(zero_copy_only=False).astype(np.uint8), raw, low,
+                ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), raw, low,
                 _planes(pair % size, np.diff(at)), np.diff(at), numbers(part.column("text")).ravel(),
                 meta_values(part.column("source"), part.column("lang")).ravel()]
-        yield pa.RecordBatch.from_arrays([pa.array([pack(c)], pa.binary()) for c in cols], names=_NAMES)
+        yield pa.RecordBatch.from_arrays([pa.array([first + number], pa.int64()),
+                                          *(pa.array([pack(c)], pa.binary()) for c in cols)], names=["slice", *_PARTS])
+
+
+def _stage_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, slice and place in it of the rows of staged slices that have an id."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids, nulls = (unpack(batch.column(c)[i].as_py(), np.int64) for c in ("ids", "nulls"))
+            at = np.flatnonzero(nulls == 0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(np.full(len(at), batch.column("slice")[i].as_py())),
+                                              pa.array(at)], names=["id", "slice", "place"])
+
+
+def _stage_labels(key: tuple, rows: pa.Table) -> pa.Table:
+    """A slice's labelled places, labels (plus 1) and marks of sampled rows, packed as one."""
+    table = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("place", *TARGETS, "inside")])
+    table[1:1 + len(TARGETS)] += 1
+    return pa.table({"slice": [key[0].as_py()], "labels": [pack(table.ravel())]})
 
 
 def _staged(batches: Iterator[pa.RecordBatch], edges: np.ndarray | None) -> Iterator[tuple]:
     """(null ids, sampled, numbers, slice) of each staged slice; a slice is as above."""
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, nulls, y, inside, raw, low, code, size, nums, vals = (
-                unpack(batch.column(c)[i].as_py()) for c in _NAMES)
+            ids, nulls, raw, low, code, size, nums, vals = (unpack(batch.column(c)[i].as_py()) for c in _PARTS)
             ids, nulls, nums = ids.astype(np.int64), nulls.astype(bool), nums.reshape(-1, NUMBERS)
             if edges is None:
-                yield nulls, inside, nums, None
+                yield nulls, None, nums, None
                 continue
             size = size.astype(np.int64)
             code = _places(code, size)
-            y = y.astype(int).reshape(-1, len(TARGETS)) - 1
+            y, inside = np.full((len(ids), len(TARGETS)), -1), np.zeros(len(ids), bool)
+            known = batch.column("labels")[i].as_py()
+            if known is not None:
+                place, *got, sampled = unpack(known, np.int64).reshape(len(TARGETS) + 2, -1)
+                y[place], inside[place] = np.stack(got, axis=1) - 1, sampled > 0
             y[nulls] = -2
             both = np.stack([raw.astype(np.int32)[code], low.astype(np.int32)[code]], axis=1).ravel()
             text = both, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]) * 2
             meta = meta_features(vals.astype(np.int64).reshape(-1, 2), nums, edges)
-            yield nulls, inside.astype(bool), nums, (ids, y, text, meta)
+            yield nulls, inside, nums, (ids, y, text, meta)
 
 
 def _found(rows: list[tuple]) -> pa.RecordBatch:
@@ -434,17 +458,24 @@ def _count_rows(have: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return _found([(k, pack(np.ascontiguousarray(x).ravel()), *[None] * 7) for k, x in enumerate(parts)])
 
 
-def _gathered(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the counts over all tasks, made in tasks."""
-    def add(rows):
+def _added(rows: DataFrame) -> DataFrame:
+    """Sums of the packed ``counts`` of each ``block``, made in tasks: in groups of rows
+    first, then over the groups, so that no task adds up more as tasks get more."""
+    def add(found):
         total = None
-        for b in rows["counts"]:
+        for b in found["counts"]:
             x = unpack(b, np.int64)
             total = x if total is None else total + x
-        return rows.iloc[:1].assign(counts=[pack(total)])[["block", "counts"]]
+        return found.iloc[:1].assign(counts=[pack(total)])[["block", "counts"]]
+
+    kind = "block int, counts binary"
+    part = rows.select("block", "counts", F.pmod(F.xxhash64("counts"), F.lit(SUMS)).alias("part"))
+    return (part.groupBy("block", "part").applyInPandas(add, kind).groupBy("block").applyInPandas(add, kind))
 
-    got = {r["block"]: unpack(r["counts"], np.int64) for r in found.where("block >= 0").select("block", "counts").groupBy(
-        "block").applyInPandas(add, "block int, counts binary").collect()}
+
+def _gathered(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the counts over all tasks."""
+    got = {r["block"]: unpack(r["counts"], np.int64) for r in _added(found.where("block >= 0")).collect()}
     n_t = len(TARGETS)
     if not got:
         return np.zeros((n_t, 2, WORD_BUCKETS), np.int64), np.zeros((n_t, 2), np.int64)
@@ -464,10 +495,11 @@ class SparkPool:
         def count(batches):
             total = sum((tails(part, weights) for *_, part in _staged(batches, edges)), np.zeros(1, np.int64))
             if total.ndim > 1:
-                yield pa.RecordBatch.from_arrays([pa.array([pack(total.ravel())], pa.binary())], names=["counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([pack(total.ravel())], pa.binary())],
+                                                 names=["block", "counts"])
 
         out = np.zeros((len(TARGETS), 2, 2, TAIL + 1), np.int64)
-        for r in self.staged.mapInArrow(count, "counts binary").toLocalIterator():
+        for r in _added(self.staged.mapInArrow(count, "block int, counts binary")).collect():
             out += unpack(r["counts"], np.int64).reshape(out.shape)
         return out
 
@@ -522,15 +554,21 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Views], np.ndarray,
     own = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"),
                         F.col("toxic").cast("int").alias("toxic")).dropna(subset=["id"])
     own = own.groupBy("id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    # Staged, its size is known before the join: a small table is broadcast, and texts stay.
     spark = docs.sparkSession
     own = spark.read.parquet(stage(own.withColumn("h", F.xxhash64("id")), "labels"))
     last = own.orderBy("h", "id").limit(LABELLED).agg(F.max(F.struct("h", "id")).alias("last")).first()["last"]
     inside = F.lit(False) if last is None else F.coalesce(
         (F.col("h") < last["h"]) | ((F.col("h") == last["h"]) & (F.col("id") <= last["id"])), F.lit(False))
-    staged = spark.read.parquet(stage(rows.join(own, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "quality", "toxic", inside.alias("inside"), "text", "source", "lang").mapInArrow(
-        _stage_features, _STAGED), "features"))
+    # Texts stay where they are read.  Only ids meet the labels, by a merge at every size;
+    # the labels then go to their slices of features.
+    plain = stage(rows.mapInArrow(_stage_features, f"slice long, {_PACKED}"), "features")
+    slices_ = spark.read.parquet(plain)
+    known = (slices_.select("slice", "ids", "nulls").mapInArrow(_stage_ids, "id long, slice long, place long").hint("merge")
+             .join(own, "id").select("slice", "place", *[F.coalesce(t, F.lit(-1)).alias(t) for t in TARGETS],
+                                     inside.cast("int").alias("inside"))
+             .groupBy("slice").applyInArrow(_stage_labels, "slice long, labels binary"))
+    staged = spark.read.parquet(stage(slices_.hint("merge").join(known, "slice", "left"), "labelled-features"))
+    drop_staged(spark, plain)
     edges = _edges(staged)
 
     def count(batches):
@@ -548,16 +586,19 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Views], np.ndarray,
             yield _count_rows(have, n)
 
     found = spark.read.parquet(stage(staged.mapInArrow(count, _FOUND), "labelled"))
-    got = found.where("block < 0").select("id", "label", "toxic", "words", "meta").dropDuplicates(["id"]).toPandas()
-    got = got.sort_values("id").reset_index(drop=True)
+    got = found.where("block < 0").select("id", "label", "toxic", "words", "meta").dropDuplicates(["id"]).toArrow()
+    got = got.sort_by("id")
+    have, n = _gathered(found)
     views = []
     for c in ("words", "meta"):
-        feats = [unpack(b, np.int32) for b in got.pop(c)]
+        feats = [unpack(b.as_py(), np.int32) for b in got.column(c)]
         views.append(_rows(feats, [len(f) for f in feats]))
         del feats
-    y = got[["label", "toxic"]].to_numpy().astype(int).reshape(len(got), 2)
-    sample = got["id"].to_numpy().astype(np.int64), y, *views
-    return teach(sample, *_gathered(found), SparkPool(staged, edges)), edges, staged
+    y = np.stack([got.column(c).to_numpy() for c in ("label", "toxic")], axis=1).astype(int).reshape(-1, 2)
+    sample = got.column("id").to_numpy().astype(np.int64), y, *views
+    del got
+    trim()
+    return teach(sample, have, n, SparkPool(staged, edges)), edges, staged
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
