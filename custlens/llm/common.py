@@ -27,7 +27,7 @@ from custlens.sources.tables import read_table
 
 __all__ = ["DOC_COLUMNS", "SPACE", "WORD_GAP", "documents", "drop_staged", "hash_words",
            "importable",            "mix", "pack", "no_text", "read_table", "scratch_root", "slices", "stage", "strings", "unpack",
-           "word_arrays"]
+           "unused", "word_arrays"]
 
 #: White space of the contracts: blank and the controls 0x09 to 0x0D.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -68,6 +68,12 @@ def drop_staged(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each lengthened until no column has it in any case of letters."""
+    taken = {c.lower() for c in columns}
+    return [name + "_" * next(k for k in range(len(taken) + 1) if name + "_" * k not in taken) for name in names]
+
+
 def strings(column: pa.Array) -> pa.Array:
     """A plain string array without nulls."""
     if isinstance(column, pa.ChunkedArray):

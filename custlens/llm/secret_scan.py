@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm.common import documents, no_text, scratch_root, slices, stage, strings
+from custlens.llm.common import documents, no_text, scratch_root, slices, stage, strings, unused
 
 #: Fixed patterns and least lengths of the base kinds, in the contract's order.
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -30,13 +30,14 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 BASE_KINDS = ("assign", "access", "hex")
 
 #: Further rules of the scan: kind, pattern, and a cheap test that every match passes.
+#: A kind with two patterns runs from a match of the first to the next one of the second.
 MORE_RULES = (
-    ("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[\s\S]*?-----END (?:[A-Z0-9]+ )*"
-            r"PRIVATE KEY-----", "PRIVATE KEY-----"),
+    ("pem", (r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+     "PRIVATE KEY-----"),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ"),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", "gh"),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", "xox"),
-    ("urlauth", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@", "://"),
+    ("urlauth", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]+:[^\s/:@]{3,}@", "://"),
 )
 KINDS = BASE_KINDS + tuple(k for k, _, _ in MORE_RULES)
 RULES_VERSION = "1:" + hashlib.sha256(
@@ -48,12 +49,41 @@ _ARROW = pa.schema([("blob", pa.string()), ("rules", pa.string()), ("n_assign",
                     ("n_access", pa.int64()), ("n_hex", pa.int64()),
                     ("base_sha256", pa.string()), ("spans", pa.string())])
 
+
+
+def _matches(pattern: str) -> Callable[[str], list[tuple[int, int]]]:
+    found = re.compile(pattern)
+    return lambda text: [m.span() for m in found.finditer(text)]
+
+
+def _between(first: str, last: str) -> Callable[[str], list[tuple[int, int]]]:
+    """Leftmost spans from ``first`` to the next ``last``, none within another: all marks
+    are found first and paired in one pass, so marks without a partner cost no search."""
+    marks = [re.compile(f"(?=({p}))") for p in (first, last)]
+
+    def spans(text: str) -> list[tuple[int, int]]:
+        begins, ends = ([m.span(1) for m in mark.finditer(text)] for mark in marks)
+        out, at, done = [], 0, 0
+        for start, to in begins:
+            if start < done:
+                continue
+            while at < len(ends) and ends[at][0] < to:
+                at += 1
+            if at == len(ends):
+                break
+            done = ends[at][1]
+            out.append((start, done))
+        return out
+
+    return spans
+
+
 # Explicit ASCII case folding: without re.A, "K" and "s" also match non-ASCII letters.
 _ASSIGN = re.compile(ASSIGN, re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (LEAST["access"] - 4))
 # A run of hex digits is maximal because the search is leftmost and greedy.
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % LEAST["hex"])
-_MORE = tuple((k, re.compile(p), hint) for k, p, hint in MORE_RULES)
+_MORE = tuple((k, _between(*p) if isinstance(p, tuple) else _matches(p), hint) for k, p, hint in MORE_RULES)
 
 
 def find_spans(text: str) -> list[tuple[int, int, int]]:
@@ -64,9 +94,9 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    for rank, (_, pattern, hint) in enumerate(_MORE, len(BASE_KINDS)):
+    for rank, (_, search, hint) in enumerate(_MORE, len(BASE_KINDS)):
         if hint in text:
-            out += [(m.start(), rank, m.end()) for m in pattern.finditer(text)]
+            out += [(a, rank, b) for a, b in search(text)]
     return sorted(out)
 
 
@@ -143,7 +173,8 @@ def scan(docs: DataFrame, ledger: str | None = None) -> DataFrame:
         import uuid
         ledger = f"{scratch_root(spark)}/custlens-ledger-{uuid.uuid4().hex}"
     paths = scan_new(docs, ledger)
-    found = read_ledger(spark, ledger).where(F.col("rules") == RULES_VERSION).drop("rules")
+    # Scans that ran at once may both have entered a blob.
+    found = read_ledger(spark, ledger).where(F.col("rules") == RULES_VERSION).drop("rules").dropDuplicates(["blob"])
     return paths.join(found, "blob").select("doc_id", "blob", "n_assign", "n_access", "n_hex",
                                             "base_sha256", "spans")
 
@@ -165,19 +196,17 @@ def _mark(texts: pd.Series, spans: pd.Series, mark: str) -> pd.Series:
 def redact(docs: DataFrame, mark: str = "[SECRET]", ledger: str | None = None) -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one);
     ``n_chars``, where present, follows the text.  All rows and columns stay."""
+    blob, spans, new = unused(docs.columns, "blob", "spans", "new_text")
     found = (scan(docs, ledger).where(F.col("spans") != "")
-             .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-             .dropDuplicates(["__blob"]))
-    rows = docs.withColumn("__blob", F.sha2(no_text(F.col("text").cast("string")), 256))
-    rows = rows.join(found, "__blob", "left")
-    changed = F.col("__spans").isNotNull()
+             .select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob]))
+    rows = docs.withColumn(blob, F.sha2(no_text(F.col("text").cast("string")), 256)).join(found, blob, "left")
+    changed = F.col(spans).isNotNull()
     text = F.col("text").cast("string")
     marked = F.pandas_udf(lambda t, s: _mark(t, s, mark), "string")
     # Rows without findings pass nulls to the function and keep their own text.
-    rows = rows.withColumn("__text", F.when(
-        changed, marked(F.when(changed, text), F.col("__spans"))).otherwise(text))
-    out = [F.col("__text").alias("text") if c == "text"
-           else F.when(changed, F.length("__text")).otherwise(F.col(c))
+    rows = rows.withColumn(new, F.when(changed, marked(F.when(changed, text), F.col(spans))).otherwise(text))
+    out = [F.col(new).alias("text") if c == "text"
+           else F.when(changed, F.length(new)).otherwise(F.col(c))
            .cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else F.col(c)
            for c in docs.columns]
     return rows.select(out)

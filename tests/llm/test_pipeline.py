@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_stages_are_as_ordered():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "jaccard_join", "decontamination", "secret_scan", "packing"]
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLE) <= set(QUERIES)
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLE) <= set(QUERIES)
 
 
 def test_run_packs_what_the_stages_keep(spark):

@@ -1,7 +1,10 @@
 import hashlib
 import re
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from custlens.llm import secret_scan as S
 from tests.llm.cases import hard_docs, hard_rows, no_docs
 
@@ -66,3 +69,34 @@ def test_redaction_replaces_every_span(spark):
     keep = Counter((r[0], r[1], r[4]) for r in hard_rows() if r[0] != 11)
     assert Counter((r["doc_id"], r["text"], r["n_chars"]) for r in out.where("doc_id is null or doc_id <> 11").collect()) == keep
     assert S.redact(no_docs(spark)).collect() == []
+
+
+def test_long_passwords_and_key_marks():
+    url = f"see https://me:{'p' * 300}@host/x"
+    assert S._join(S.find_spans(url)) == f"urlauth:4:{url.index('@') + 1}"
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    plain = re.compile(re.escape(begin) + r"[\s\S]*?" + re.escape(end))
+    for text in (begin + end, begin * 2 + "x" + end * 2 + begin, end + begin + "a" + end + begin + "b" + end, begin[:-5] + end):
+        got = [(a, b) for a, k, b in S.find_spans(text) if S.KINDS[k] == "pem"]
+        assert got == [m.span() for m in plain.finditer(text)], text
+    started = time.process_time()
+    assert not [s for s in S.find_spans((begin + "\n") * 8000) if S.KINDS[s[1]] == "pem"]
+    assert time.process_time() - started < 2
+
+
+def test_a_blob_entered_twice_counts_once(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = hard_docs(spark)
+    S.scan_new(docs, ledger)
+    spark.read.parquet(ledger).write.parquet(f"{ledger}-copy")
+    spark.read.parquet(f"{ledger}-copy").write.mode("append").parquet(ledger)
+    assert S.scan(docs, ledger).count() == len(hard_rows())
+
+
+def test_redaction_leaves_columns_of_its_own_names_alone(spark):
+    docs = hard_docs(spark)
+    for c in ("blob", "spans", "new_text", "__blob", "__text", "Blob_"):
+        docs = docs.withColumn(c, F.lit("mine"))
+    out = S.redact(docs)
+    assert out.columns == docs.columns and out.count() == len(hard_rows())
+    assert out.where("blob <> 'mine' or spans <> 'mine' or new_text <> 'mine' or __text <> 'mine'").count() == 0
