@@ -40,14 +40,6 @@ def log_bucket(col, per_octave: int = 256) -> Column:
     return F.when(x >= 0, b + 1).otherwise(-b)
 
 
-def relative_bucket(col, per_octave: int = 64) -> Column:
-    """Monotone non-decreasing integer bucket of a double with ``per_octave`` buckets per
-    doubling at any size, also of values close to 0 (which ``log_bucket`` holds together)."""
-    x = _c(col)
-    b = F.floor((F.log2(F.abs(x)) + F.lit(1100.0)) * F.lit(float(per_octave)))
-    return F.when(x == 0, F.lit(0).cast("bigint")).when(x > 0, b).otherwise(-b)
-
-
 def recode(col, mapping: dict, default=None) -> Column:
     """Map values through ``mapping``; anything else becomes ``default`` (NULL)."""
     c = _c(col)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from custlens.operators.median import BROADCAST_MAX_ROWS
 from custlens.operators.ordered import row_numbers
+from custlens.operators.skew import HOT_GROUP_ROWS
 
 MAX_LEN = 1000
 # Fixed value: missing tokens are written as the text "nan" (pandas astype(str)).
@@ -23,16 +24,16 @@ NULL_TOKEN = "nan"
 
 
 def token_sequences(events: DataFrame, key: str, token: str, order: Sequence[str],
-                    segment: Column | None = None, max_len: int = MAX_LEN) -> DataFrame:
+                    segment: Column | None = None, max_len: int = MAX_LEN,
+                    hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """``key, seq_no, tokens``: the key's tokens in ``order``, cut into
     consecutive chunks of ``max_len``.  The token itself breaks remaining ties,
-    so the sequence is deterministic.  Ranks are computed per ``segment``
-    (default: calendar day of the first order column)."""
+    so the sequence is deterministic.  Ranks of hot keys are computed per ``segment``
+    (default: between quantiles of the first order column, a time or a number)."""
     order = list(order)
-    seg = segment if segment is not None else F.to_date(F.col(order[0]))
     tok = F.coalesce(F.col(token).cast("string"), F.lit(NULL_TOKEN))
-    ranked = row_numbers(events.select(key, *order, tok.alias("_tok")), [key], seg,
-                         [*order, "_tok"], "_rn")
+    ranked = row_numbers(events.select(key, *order, tok.alias("_tok")), [key], segment,
+                         [*order, "_tok"], "_rn", hot_rows)
     chunk = F.floor((F.col("_rn") - 1) / max_len).alias("seq_no")
     grouped = (ranked.select(key, chunk, "_rn", "_tok")
                      .groupBy(key, "seq_no")

@@ -11,13 +11,13 @@ from custlens.operators.skew import HOT_GROUP_ROWS, hot_keys
 
 
 def day_gaps(events: DataFrame, key: str = "id", tm: str = "trx_tm",
-             segment=None) -> DataFrame:
+             segment=None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Per event: whole days since the customer's previous event (NULL for the
     first).  Times are ordered within the customer, as the reference re-sorts
-    them before differencing.  ``segment`` (default: the calendar day) splits
-    a customer's history so a very active customer is ordered in many tasks."""
-    seg = segment if segment is not None else F.to_date(F.col(tm))
-    prev = previous_value(events.select(key, tm), [key], seg, tm, "_prev_tm")
+    them before differencing.  ``segment`` (default: between quantiles of the
+    customer's own times) splits a customer's history so a very active customer is
+    ordered in many tasks, also one whose events all fall on one day."""
+    prev = previous_value(events.select(key, tm), [key], segment, tm, "_prev_tm", hot_rows)
     return prev.select(key, tm, whole_days_between("_prev_tm", tm).alias("days"))
 
 
