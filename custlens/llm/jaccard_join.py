@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custlens.llm.common import (documents, hash_words, mix, pack, slices, stage, trim, unpack,
+from custlens.llm.common import (documents, hash_words, mix, pack, slices, stage, trim, unpack, unused,
                                  word_arrays)
 from custlens.llm.components import components, stars
 
@@ -528,11 +528,17 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` less all but one of each group of linked documents: the
-    row of the smallest doc_id (of repeated rows one stays).  Rows without words, or
-    whose group has null ids only, all stay, once for each distinct doc_id and text."""
-    firsts = join(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("doc_id").alias("__first")).distinct()
-    ids = F.col("doc_id").cast("long")
-    return docs.join(firsts.hint("shuffle_hash"), ids.eqNullSafe(F.col("__first")), "left_semi").dropDuplicates(
-        ["doc_id", "text"])
+    """The rows of ``docs`` less all but one of each group of linked documents: the row
+    of the smallest doc_id, and of several texts with that id the one of the smallest
+    hash (of repeated rows one stays).  Null ids come last.  Rows without words link with
+    nothing and stay, once for each distinct doc_id and text."""
+    # Rows are told apart by id and text, as an id may have several texts.
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ids = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id")).distinct()
+    groups = join(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id").distinct()
+    firsts = groups.join(ids, "key").groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("first"))
+    name, = unused(docs.columns, "row_key")
+    rows = docs.withColumn(name, key)
+    return (rows.join(firsts.select(F.col("first.key").alias(name)).hint("shuffle_hash"), name, "left_semi")
+            .drop(name).dropDuplicates(["doc_id", "text"]))

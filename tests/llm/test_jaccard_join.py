@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from custlens.llm import jaccard_join as J
 from custlens.llm.components import components
-from tests.llm.cases import hard_docs, hard_rows, no_docs, words
+from tests.llm.cases import SCHEMA, hard_docs, hard_rows, no_docs, prose, same_rows, words
 
 
 def sets_of(rows):
@@ -142,6 +142,16 @@ def test_one_of_each_group_stays(spark):
         {r[0] for r in hard_rows() if r[0] is not None} - {2, 3, 9})
 
 
+def test_an_id_with_two_texts(spark):
+    one, other = prose(200, 31), prose(200, 32)
+    near = one.replace(one.split()[100], "zzz", 1)
+    rows = [(3, one), (5, near), (5, other), (None, near), (None, prose(90, 33)), (8, ""), (8, None), (7, other)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA).withColumn("row_key", F.lit("mine"))
+    out = J.keep_one(docs)
+    assert out.columns == docs.columns
+    same_rows([(r["doc_id"], r["text"]) for r in out.collect()], [(3, one), (5, other), (None, prose(90, 33)), (8, ""), (8, None)])
+
+
 @pytest.mark.parametrize("top", [1, 7, 100, 5000])
 def test_partners_are_in_neighbouring_bands(top):
     edges = J.band_edges(top)
