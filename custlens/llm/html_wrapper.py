@@ -8,6 +8,11 @@ mismatches become optional or repeated groups.  What the wrapper and the texts s
 in its slots tell (the article element, or else the part that carries the varying
 text; slots whose text never changes) decides which part of a page is main text.
 
+Inside the main text, furniture goes by element or role.  A word in a class or id alone
+removes nothing there: its element must hold text that is the same on the host's pages,
+or be a container that is mostly links, holds controls, or bears a name of nothing but
+such words (``ad-slot``, not ``related-work``) and is small or, for reader comments, last.
+
 Only distinct expressions and sums per slot move between tasks, merged before and
 after the shuffle, so a host with a third of all pages costs no task more than its
 distinct expressions; wrappers meet pages in a join that Spark can split.
@@ -55,6 +60,19 @@ CHROME_WORDS = frozenset(
     "navigation menu breadcrumb breadcrumbs masthead footer sidebar aside widget widgets related "
     "recommended comment comments commentlist disqus replies respond share sharing social newsletter "
     "subscribe subscription signup login search pagination pager toolbar copyright teaser".split())
+#: Names of reader comments among them, and words that only say where or in what a part stands.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond".split())
+PLACE_WORDS = frozenset("area bar block bottom box container content div group holder inline inner item items left "
+                        "links list main mid middle outer panel reader right section slot thread top unit user "
+                        "wrap wrapper".split())
+#: Elements that can hold a part of furniture inside the main text, and controls.
+CONTAINERS = frozenset("center details div dl figure ins ol section table ul".split())
+CONTROLS = frozenset("form input button".split())
+#: Share of its text in links from which on a named container is a list of links, and share
+#: of the main text up to which one by name alone is small.
+LINKED, SMALL = 0.5, 0.25
+#: Slots in links and list items weigh this much where the main element is searched.
+LIST_WEIGHT = 0.1
 #: Elements nested deeper than this leave their texts to the one that holds them.
 DEEPEST = 100
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -69,26 +87,45 @@ _GAP = re.compile(r"\s+")
 
 
 class Node:
-    """An element of a page: its label, its children and whether it is page furniture."""
+    """An element of a page: its label, its children, whether it is page furniture by its
+    element or role (``chrome``), and what its class and id say (``named``: 0 nothing, 1 a
+    word of furniture among others, 2 only such words, 3 these of reader comments)."""
 
-    __slots__ = ("tag", "label", "chrome", "items")
+    __slots__ = ("tag", "label", "chrome", "named", "items", "_size")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.label, self.chrome, self.items = tag, tag, tag in CHROME_TAGS, []
+        self.named, self._size = 0, None
         if attrs:
             got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
             name = got.get("class") or got.get("id") or ""
             if name:
                 self.label = f"{tag}.{re.sub(r'[0-9]+', '0', name.split()[0])[:60] if name.split() else ''}"
-            words = {w.lower() for k in ("class", "id") for w in _WORD.findall(got.get(k, ""))}
             if tag not in ("html", "body", "article", "main"):
-                self.chrome |= bool(words & CHROME_WORDS) or got.get("role", "").lower() in CHROME_ROLES
+                self.named = max((_kind(x) for k in ("class", "id") for x in got.get(k, "").split()), default=0)
+                self.chrome |= got.get("role", "").lower() in CHROME_ROLES
             if got.get("role", "").lower() == "main" or got.get("itemprop") == "articleBody":
-                self.label, self.tag, self.chrome = "main", "main", False
+                self.label, self.tag, self.chrome, self.named = "main", "main", False, 0
 
     def nodes(self) -> Iterator[Node]:
         return (x for x in self.items if isinstance(x, Node))
 
+    def size(self) -> int:
+        """Characters of text outside furniture by element or role."""
+        if self._size is None:
+            self._size = 0 if self.chrome else sum(
+                x.size() if isinstance(x, Node) else len(x.strip()) for x in self.items)
+        return self._size
+
+
+def _kind(name: str) -> int:
+    words = {w.lower() for w in _WORD.findall(name)}
+    if not words & CHROME_WORDS:
+        return 0
+    if words <= COMMENT_WORDS | PLACE_WORDS:
+        return 3
+    return 2 if words <= CHROME_WORDS | PLACE_WORDS else 1
+
 
 def parse(page: str) -> Node:
     """The page's elements as a tree; texts as undecoded strings."""
@@ -218,15 +255,17 @@ def fold(items: list[list], longest: int = 4) -> list[list]:
 
 # -- what the wrapper says about a host's pages ---------------------------------
 
-def slots(node: Node, path: str = "", hidden: bool = False) -> Iterator[tuple[str, str]]:
-    """(path of labels, text) of the texts outside page furniture."""
+def slots(node: Node, path: str = "", named: bool = False) -> Iterator[tuple[str, str]]:
+    """(path of labels, text) of the texts outside page furniture; below elements with a
+    name of furniture, paths begin with ``!``."""
     path = f"{path}/{node.label}"
-    hidden |= node.chrome
+    named |= node.named > 0
     for x in node.items:
         if isinstance(x, Node):
-            yield from slots(x, path, hidden)
-        elif not hidden and not x.isspace():
-            yield path, x
+            if not x.chrome:
+                yield from slots(x, path, named)
+        elif not x.isspace():
+            yield "!" + path if named else path, x
 
 
 def _find(wrapper: list, label: str, path: str = "") -> list[str]:
@@ -254,6 +293,8 @@ def main_paths(wrapper: list, mass: dict[str, float]) -> list[str]:
         if got:
             return sorted(set(got))
     # Go down while one child, not one of a row of like ones, carries most varying text.
+    mass = {s: n * (LIST_WEIGHT if {x.partition(".")[0] for x in s.split("/")} & {"a", "li"} else 1)
+            for s, n in mass.items()}
     path, total, rows = "", sum(mass.values()), _repeated(wrapper)
     while total:
         below: dict[str, float] = {}
@@ -265,6 +306,10 @@ def main_paths(wrapper: list, mass: dict[str, float]) -> list[str]:
         if not step or step in rows or below[step] < 0.6 * total or step.rsplit("/", 1)[1].partition(".")[0] in (
                 "p", "li", "span", "b", "i", "em", "strong", "a", *HEADINGS):
             break
+        if 2 * mass.get(step, 0) > below[step] and path.rsplit("/", 1)[-1] not in ("", "#page", "html") and (
+                path.rsplit("/", 1)[-1].partition(".")[0] != "body"):
+            # Its text is its own: one of the paragraphs of the element around.
+            break
         path, total = step, below[step]
     return [path] if path else []
 
@@ -273,9 +318,33 @@ def describe(wrapper: list, stats: dict[str, tuple[float, int, int, int]]) -> di
     """The rule for a host: main paths, and slots whose text never varies.  ``stats``: by
     slot path, characters, pages that differ in other slots, and the least and greatest
     hash of its texts."""
-    varying = {p: c for p, (c, _, lo, hi) in stats.items() if lo != hi}
+    own = {p: c for p, (c, *_) in stats.items() if p[0] != "!"}
+    varying = {p: c for p, c in own.items() if stats[p][2] != stats[p][3]}
     fixed = sorted(p for p, (_, n, lo, hi) in stats.items() if lo == hi and n >= LEAST_PAGES)
-    return {"main": main_paths(wrapper, varying or {p: s[0] for p, s in stats.items()}), "fixed": fixed}
+    return {"main": main_paths(wrapper, varying or own), "fixed": fixed}
+
+
+def _is_furniture(node: Node, above: str, fixed: set[str], whole: int, last: bool) -> bool:
+    """Whether an element with a name of furniture is it, inside the main text.  ``above``:
+    its parent's path; ``whole``: characters of the main element; ``last``: no text of its own follows there."""
+    if node.tag in BLOCK or node.tag in CONTAINERS:
+        own = {p for p, _ in slots(node, above, True)}
+        if own and own <= fixed:
+            return True
+    if node.tag not in CONTAINERS:
+        return False
+    size = node.size()
+
+    def linked(x: Node) -> int:
+        return x.size() if x.tag == "a" else sum(map(linked, x.nodes()))
+
+    small = size <= SMALL * whole
+    return (linked(node) >= LINKED * size > 0 or small and (node.named > 1 or _has(node, CONTROLS))
+            or node.named == 3 and last)
+
+
+def _has(node: Node, tags) -> bool:
+    return any(x.tag in tags or _has(x, tags) for x in node.nodes())
 
 
 def extract(root: Node, rule: dict) -> str | None:
@@ -292,36 +361,47 @@ def extract(root: Node, rule: dict) -> str | None:
             blocks.append(text)
         run.clear()
 
-    def has(node: Node, tags) -> bool:
-        return any(x.tag in tags or has(x, tags) for x in node.nodes())
-
-    def walk(node: Node, path: str, inside: bool):
+    def walk(node: Node, path: str, whole: int, last: bool):
+        """``whole``: characters of the main element around (0: none, 1: the page)."""
         nonlocal found
-        path = f"{path}/{node.label}"
-        if path in main:
-            inside = found = True
-        if node.chrome and not has(node, ("article", "main")):
+        above, path = path, f"{path}/{node.label}"
+        if path in main and not whole:
+            found, last = True, True
+            # The whole page is no main element: names count as outside one.
+            whole = 1 if node.tag in ("#page", "html", "body") else 2 + node.size()
+        if node.chrome and not _has(node, ("article", "main")):
+            return
+        if node.named and path not in main and not _has(node, ("article", "main")) and (
+                whole < 2 or _is_furniture(node, above, fixed, whole, last)):
             return
-        if node.tag == "header" and not (inside and has(node, HEADINGS)):
+        if node.tag == "header" and not (whole and _has(node, HEADINGS)):
             return
         block = node.tag in BLOCK
         if block:
             flush()
-        if node.tag == "br" and inside:
+        if node.tag == "br" and whole:
             run.append(" ")
+        rest = sum(_own(x) for x in node.items) if whole and last else 0
         for x in node.items:
+            if whole and last:
+                rest -= _own(x)
             if isinstance(x, Node):
-                walk(x, path, inside)
-            elif inside and (inside_article or path not in fixed):
+                walk(x, path, whole, last and not rest)
+            elif whole and (inside_article or path not in fixed):
                 run.append(x)
         if block:
             flush()
 
-    walk(root, "", False)
+    walk(root, "", 0, False)
     flush()
     return "\n".join(blocks) if found else None
 
 
+def _own(x: Node | str) -> int:
+    """Characters of a child that are the main element's own, by its name."""
+    return (0 if x.named else x.size()) if isinstance(x, Node) else len(x.strip())
+
+
 #: Pages with different texts from which on a slot counts as fixed.
 LEAST_PAGES = 3
 
@@ -335,7 +415,7 @@ def _stats(root: Node, into: dict[str, tuple]) -> None:
     seen: dict[str, list] = {}
     for path, text in slots(root):
         seen.setdefault(path, []).append(text.strip())
-    own = "\x01".join("\x00".join([p, *t]) for p, t in sorted(seen.items()))
+    own = "\x01".join("\x00".join([p, *t]) for p, t in sorted(seen.items()) if p[0] != "!")
     page = int.from_bytes(hashlib.blake2b(own.encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
     for path, texts in seen.items():
         h = zlib.crc32("\x00".join(texts).encode("utf-8", "surrogatepass"))

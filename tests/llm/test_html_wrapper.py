@@ -103,3 +103,38 @@ def test_alignment_resolves_optional_and_repeated_groups():
         ("h1", False, False), ("img", True, False), ("p", False, True), ("hr", True, False)]
     pairs = H.expression(H.parse("<dl><dt>a<dd>b<dt>c<dd>d</dl>"))[1][0]
     assert pairs[1][0][0] == "(dt dd)" and pairs[1][0][3]
+
+
+def test_class_words_alone_remove_nothing_from_the_article(spark):
+    page = """<html><body><div class="share-price">outside</div><article><h1>{t}</h1>
+<p class="share-price">price {a}</p><p>some <span class="search-term">{b}</span> words</p>
+<section class="related-work"><h2>Related work {b}</h2><p>{c}</p></section>
+<div class="related"><ul><li><a href="/x">{b} and more</a></li></ul></div><p>{d}</p>
+<div class="ad-slot">offer {b}</div><p class="copyright">always the same</p>
+<div class="notice"><p>{c} {c}</p><p>{c} {d}</p></div>
+<section class="comments"><div class="comment"><p>{d} {d} {d}</p></div></section></article></body></html>"""
+
+    def rows(host, n):
+        return [(n * 100 + i, f"http://{host}/{i}", page.format(
+            t=f"T{i}", a=prose(6, i), b=prose(2, i + 20), c=prose(15, i + 40), d=prose(15, i + 60))) for i in range(n)]
+
+    got = texts(H.main_text(pages(spark, rows("one.example", 1) + rows("many.example", 5))))
+    for n in (1, 5):
+        for i in range(n):
+            b, c, d = prose(2, i + 20), prose(15, i + 40), prose(15, i + 60)
+            want = [f"T{i}", f"price {prose(6, i)}", f"some {b} words", f"Related work {b}", c, d]
+            # With a single page, nothing tells that a paragraph is the same on all.
+            want += ["always the same"] * (n == 1) + [f"{c} {c}", f"{c} {d}"]
+            assert got[n * 100 + i] == "\n".join(want)
+
+
+def test_side_lists_that_vary_are_not_main_text(spark):
+    page = """<html><body><div class="left"><ul>{side}</ul></div><div class="txt"><h2>{t}</h2>
+<div class="para">{a}</div><ul><li>{b}</li></ul><section class="related-work"><p>{c}</p></section></div></body></html>"""
+    for item in ("<li>{}</li>", "<li><a href='/'>{}</a></li>"):
+        rows = [(i, "http://side.example", page.format(
+            side="".join(item.format(prose(8, 1000 + 20 * i + k)) for k in range(12)), t=f"T{i}", a=prose(60, i),
+            b=prose(9, i + 30), c=prose(20, i + 60))) for i in range(5)]
+        got = texts(H.main_text(pages(spark, rows)))
+        for i in range(5):
+            assert got[i] == f"T{i}\n{prose(60, i)}\n{prose(9, i + 30)}\n{prose(20, i + 60)}"
