@@ -4,8 +4,9 @@ A level array counts the partially filled windows of every fill level.  Each
 document (its rest, after whole windows are cut off) goes to the level that
 leaves the sum of squared counts smallest, as it arrives.  Every input
 partition packs its own rows, so nothing is shuffled and no hot source matters;
-the windows still open at a partition's end are cut anew and filled exactly, and
-the last tokens form sequences of powers of two, which need no padding.
+at a partition's end the fullest open windows keep what the rule gave them and their
+gaps are filled exactly with documents of the emptiest ones; the last tokens form
+sequences of powers of two, so nothing is padded.
 """
 
 from __future__ import annotations
@@ -67,13 +68,16 @@ class LevelPacker:
         return None
 
     def rest(self) -> Iterator[list]:
-        """The open windows' pieces, cut anew: full windows, then powers of two."""
-        left = [p for level in reversed(self.open) for w in level for p in w]
-        todo = sum(len(p[2]) for p in left)
-        left.reverse()
-        while todo:
-            size = self.window if todo >= self.window else 1 << (todo.bit_length() - 1)
-            pieces, room = [], size
+        """The open windows' pieces: as many of the fullest windows as all their ids fill
+        stay whole, and only their gaps are filled from the emptiest ones, whose documents
+        are cut; the last ids go into powers of two."""
+        kept = [(level, w) for level in range(self.window, 0, -1) for w in self.open[level]]
+        todo = sum(level for level, _ in kept)
+        whole = todo // self.window
+        # The last is taken from first: the emptiest window's latest piece.
+        left = [p for _, w in kept[whole:] for p in w]
+
+        def take(room: int, pieces: list) -> list:
             while room:
                 doc, start, ids, n = left.pop()
                 if len(ids) > room:
@@ -81,8 +85,15 @@ class LevelPacker:
                     ids = ids[:room]
                 pieces.append((doc, start, ids, n))
                 room -= len(ids)
+            return pieces
+
+        for level, pieces in kept[:whole]:
+            yield take(self.window - level, pieces)
+        todo -= whole * self.window
+        while todo:
+            size = 1 << (todo.bit_length() - 1)
             todo -= size
-            yield pieces
+            yield take(size, [])
 
 
 def _rows(sequence: int, pieces: list) -> Iterator[tuple]:

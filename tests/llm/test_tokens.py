@@ -74,6 +74,34 @@ def test_level_packer_minimises_the_squared_counts():
         assert all(len(p.open[h]) == p.count[h] for h in range(1, 16))
 
 
+def test_the_level_rule_places_nearly_all_ids():
+    rng = np.random.default_rng(3)
+    sizes = np.clip(rng.lognormal(6, 1, 1000).astype(int), 1, 4095)
+    ids = [np.full(n, i, np.uint32) for i, n in enumerate(sizes)]
+    p = packing.LevelPacker()
+    closed = [w for i, x in enumerate(ids) for w in [p.place((i, 0, x, len(x)))] if w]
+    placed = {id(x[2]): len(x[2]) for level in p.open for w in level for x in w}
+    rest = list(p.rest())
+    kept = sum(placed.get(id(x[2]), 0) for w in rest if sum(len(y[2]) for y in w) == 4096 for x in w)
+    kept += sum(len(x[2]) for w in closed for x in w)
+    assert kept >= 0.95 * sizes.sum()
+    # Every id once, in full windows and powers of two.
+    got = defaultdict(list)
+    for w in closed + rest:
+        size = sum(len(x[2]) for x in w)
+        assert size == 4096 or size & (size - 1) == 0
+        for doc, start, x, n in w:
+            assert (x == doc).all() and n == sizes[doc]
+            got[doc].append((start, len(x)))
+    for doc, n in enumerate(sizes):
+        at = 0
+        for start, length in sorted(got[doc]):
+            assert start == at and length > 0
+            at += length
+        assert at == n
+    assert list(packing.LevelPacker().rest()) == []
+
+
 def test_token_files_read_back(spark):
     folder = token_files.write_files(hard_docs(spark))
     got = token_files.read_files(spark, folder).collect()
