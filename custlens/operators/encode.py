@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens.functions.numeric import money_sum, nan_to_null, row_sum
@@ -21,6 +21,12 @@ from custlens.operators.weighted import signed_medians
 from custlens.sources.materialize import materialize
 
 WOE_SUFFIX = "_crossentroy"
+CODE_SUFFIX = "_code"
+#: Most values of a column that get codes of their own; values of larger ones share
+#: this many hashed codes, so a model's bins are bounded.
+MAX_CODES = 1000
+#: Bytes of a column's values up to which its code table is broadcast.
+CODE_TABLE_BYTES = 1 << 20
 
 
 def product_features(df: DataFrame, spec: dict[str, tuple[str, str]]) -> DataFrame:
@@ -58,6 +64,45 @@ def _maybe_broadcast(df: DataFrame, bound: int | None) -> DataFrame:
     return F.broadcast(df) if bound is not None and bound <= BROADCAST_MAX_ROWS else df
 
 
+def category_codes(df: DataFrame, cols: Sequence[str], learn: Column | None = None,
+                   max_codes: int = MAX_CODES) -> tuple[DataFrame, dict[str, int]]:
+    """``<c>_code`` for each column, and the number of codes ``n`` of each.
+
+    The values of the rows where ``learn`` holds (default: all) get their rank in text
+    order, from 0 on.  A column with more than ``max_codes`` values gets the first 32 bits
+    of the values' MD5, modulo ``max_codes`` (``n``).  A missing value gets ``n``, one that
+    was not learned ``n + 1``.  Distinct values are counted and ranked in Spark; only
+    ranked columns have a code table, of ``max_codes`` rows at most, and the driver holds
+    two numbers a column.
+    """
+    if not cols:
+        return df, {}
+    values = materialize(_unpivot_values(df if learn is None else df.where(learn), [], cols).distinct(),
+                         "category-values")
+    facts = {r["_name"]: (r["n"], r["b"]) for r in values.groupBy("_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_val")).alias("b")).collect()}
+    ranked = [c for c in cols if facts.get(c, (0, 0))[0] <= max_codes]
+    place = F.row_number().over(Window.partitionBy("_name").orderBy("_val")) - 1
+    table = values.where(F.col("_name").isin(ranked)).select("_name", "_val", place.cast("long").alias("_code"))
+    out, codes, sizes = df, {}, {}
+    for i, c in enumerate(cols):
+        text = F.col(c).cast("string")
+        n, size = facts.get(c, (0, 0))
+        if c in ranked:
+            own = table.where(F.col("_name") == c).select(
+                F.col("_val").alias(f"_code_value_{i}"), F.col("_code").alias(f"_code_rank_{i}"))
+            own = F.broadcast(own) if size <= CODE_TABLE_BYTES else own.hint("merge")
+            out = out.join(own, text == F.col(f"_code_value_{i}"), "left")
+            code = F.coalesce(F.col(f"_code_rank_{i}"), F.lit(n + 1))
+        else:
+            n = max_codes
+            code = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % n
+        sizes[c] = n
+        codes[f"{c}{CODE_SUFFIX}"] = F.when(text.isNull(), F.lit(n)).otherwise(code).cast("long")
+    out = out.withColumns(codes)
+    return out.drop(*[f"_code_{k}_{i}" for k in ("value", "rank") for i in range(len(cols))]), sizes
+
+
 def woe_encode(users: DataFrame, cols: Sequence[str], label: str = "flag",
                split_col: str = "split", train_value: str = "train",
                min_class: int = 100, fold_col: str | None = None) -> DataFrame:

@@ -384,3 +384,24 @@ select seen.c as "column", seen.v as value,
        round(ln((cls.pos_c / tot.pos) * (tot.neg / (cls.n_c - cls.pos_c))), 4) as woe
 from seen join ok on ok.c = seen.c cross join tot left join cls on cls.c = seen.c and cls.v = seen.v"""),
 })
+
+
+def _category_codes_sql() -> str:
+    """Ranks of the train values, or hashed codes for a column of more than sixty."""
+    cols = ["seg_cd", "nat_cd", "home_cd"]
+    views = [("t", "select id, split, seg_cd, nat_cd, concat_ws('-', nat_cd, seg_cd) as home_cd from tag")]
+    picks, joins = [], []
+    for c in cols:
+        views += [(f"k_{c}", f"select v, row_number() over (order by v) - 1 as code from "
+                             f"(select distinct {c} as v from t where split = 'train' and {c} is not null)"),
+                  (f"n_{c}", f"select count(*) as n from k_{c}")]
+        picks.append(f"""
+       cast(case when t.{c} is null then least(n_{c}.n, 60)
+                 when n_{c}.n > 60 then cast('0x' || substr(md5(t.{c}), 1, 8) as bigint) % 60
+                 else coalesce(k_{c}.code, n_{c}.n + 1) end as bigint) as {c}_code""")
+        joins.append(f"cross join n_{c} left join k_{c} on k_{c}.v = t.{c}")
+    return with_views(["tag"], views, "\nselect cast(t.id as bigint) as id, t.split, t.seg_cd, t.nat_cd, t.home_cd,"
+                      + ",".join(picks) + "\nfrom t " + "\n     ".join(joins))
+
+
+ORACLE["category_codes"] = _category_codes_sql()

@@ -338,6 +338,14 @@ def missing_flags(spark, sf_dir):
         for c in FLAGGED]), round_cols=FLAGGED)
 
 
+def category_codes(spark, sf_dir):
+    """Category codes learned from the train customers; ``home_cd`` has more than sixty values."""
+    users = fx.tag(spark, sf_dir).select("id", "split", *FIXTURE_CATS).withColumn(
+        "home_cd", F.concat_ws("-", "nat_cd", "seg_cd"))
+    cols = [*FIXTURE_CATS, "home_cd"]
+    return tidy(encode.category_codes(users, cols, F.col("split") == "train", max_codes=60)[0])
+
+
 def rejects(spark, sf_dir):
     """Rows of which a value doesn't parse, as they were set apart."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/custlens-rejects-{uuid.uuid4().hex}"
@@ -438,6 +446,7 @@ def split_importance(spark, sf_dir):
 QUERIES.update({
     "category_money_copies2": category_money_copies2,
     "ordered_target": ordered_target,
+    "category_codes": category_codes,
     "missing_flags": missing_flags,
     "rejects": rejects,
     "parsed_rows": parsed_rows,

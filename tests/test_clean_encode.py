@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from custlens.operators import clean, encode
 
@@ -164,3 +165,28 @@ def test_infer_numeric(spark):
                                "id string, x string, y string, z string")
     out = clean.infer_numeric(df, skip=["id"])
     assert dict(out.dtypes) == {"id": "string", "x": "double", "y": "string", "z": "string"}
+
+
+def test_category_codes_are_ranks_or_bounded_hashes(spark):
+    rows = [(i, f"v{i:03d}", "b" if i % 3 else "a", None, i < 40) for i in range(60)]
+    rows += [(100, None, None, None, True), (101, "v007", "new", "late", False), (102, "", "a", None, True)]
+    df = spark.createDataFrame(rows, "id int, many string, few string, none string, learn boolean")
+    got, sizes = encode.category_codes(df, ["many", "few", "none"], F.col("learn"), max_codes=20)
+    assert sizes == {"many": 20, "few": 2, "none": 0}
+    by = {r["id"]: r for r in got.collect()}
+    assert len(by) == len(rows) and got.columns == [*df.columns, "many_code", "few_code", "none_code"]
+    assert {by[i]["few_code"] for i in range(60)} == {0, 1} and by[0]["few_code"] == 0
+    # Missing values get n, unlearned ones n + 1 (hashed columns know all values).
+    assert (by[100]["few_code"], by[101]["few_code"]) == (2, 3)
+    assert (by[100]["many_code"], by[100]["none_code"], by[101]["none_code"]) == (20, 0, 1)
+    assert by[101]["many_code"] == by[7]["many_code"]
+    hashed = {r["many_code"] for i, r in by.items() if i != 100}
+    assert hashed <= set(range(20)) and len(hashed) > 10
+    ranks, sizes = encode.category_codes(df, ["many"], F.col("learn"), max_codes=41)
+    by = {r["id"]: r["many_code"] for r in ranks.collect()}
+    # The empty text is a value, the first in order.
+    assert sizes == {"many": 41} and by[102] == 0 and [by[i] for i in range(40)] == list(range(1, 41))
+    assert by[50] == 42 and by[100] == 41
+    empty, sizes = encode.category_codes(df.limit(0), ["few"], max_codes=5)
+    assert empty.collect() == [] and sizes == {"few": 0}
+    assert encode.category_codes(df, [])[0] is df
