@@ -12,42 +12,58 @@ row per key then gives, per column, with conditional aggregates:
 * ``freq``    = count of the mode (rows equal to the mode),
 * ``minfreq`` = smallest count of any present value.
 
-Whole numbers, other numbers and text are carried in separate struct fields, so
-that whole numbers keep all their digits and ties break numerically for
-numbers and lexicographically for text.
+Whole numbers, decimals (one field per decimal type), other numbers and text are
+carried in separate struct fields, so that whole numbers and decimals keep all their
+digits and ties break numerically for numbers and lexicographically for text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, NumericType
 
 STATS = ("nunique", "mode", "freq", "minfreq")
 
 
+def _decimals(types: list[DataType]) -> dict[DecimalType, str]:
+    """A field for each decimal type among ``types``."""
+    found = dict.fromkeys(t for t in types if isinstance(t, DecimalType))
+    return {t: f"d{j}" for j, t in enumerate(found)}
+
+
 def value_counts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
     """``key, n, i, x, s, c``: rows per distinct non-null value of each named column
     (``n`` = the column's position in ``columns``; whole numbers in ``i``, other
-    numbers in ``x``, text in ``s``), with map-side partial aggregation."""
+    numbers in ``x``, text in ``s``, decimals in ``d0``, ``d1`` ... after them, a field for
+    each decimal type that occurs), with map-side partial aggregation."""
     types = df.select(*[c.alias(n) for n, c in columns.items()]).schema
+    decimals = _decimals([f.dataType for f in types.fields])
     entries = []
     for i, field in enumerate(types.fields):
         c = columns[field.name]
         w, x, s = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+        d = {name: F.lit(None).cast(t) for t, name in decimals.items()}
         if isinstance(field.dataType, IntegralType):
             w = c.cast("bigint")
+        elif field.dataType in decimals:
+            d[decimals[field.dataType]] = c
         elif isinstance(field.dataType, NumericType):
             x = c.cast("double")
         else:
             s = c.cast("string")
         # The column is identified by its position (an int key hashes and
         # shuffles cheaper than its name).
-        entries.append(F.struct(F.lit(i).alias("n"), w.alias("i"), x.alias("x"), s.alias("s")))
+        entries.append(F.struct(F.lit(i).alias("n"), w.alias("i"), x.alias("x"), s.alias("s"),
+                                *[v.alias(name) for name, v in d.items()]))
+    fields = ["i", "x", "s", *decimals.values()]
     long = (df.select(key, F.explode(F.array(*entries)).alias("e"))
-              .select(key, "e.n", "e.i", "e.x", "e.s")
-              .where(F.col("i").isNotNull() | F.col("x").isNotNull() | F.col("s").isNotNull()))
-    return long.groupBy(key, "n", "i", "x", "s").agg(F.count(F.lit(1)).alias("c"))
+              .select(key, "e.n", *[f"e.{f}" for f in fields])
+              .where(reduce(or_, [F.col(f).isNotNull() for f in fields])))
+    return long.groupBy(key, "n", *fields).agg(F.count(F.lit(1)).alias("c"))
 
 
 def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
@@ -61,6 +77,8 @@ def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
     are never gathered in one place."""
     types = {f.name: f.dataType for f in
              df.select(*[c.alias(n) for n, c in columns.items()]).schema.fields}
+    decimals = _decimals(list(types.values()))
+    fields = ["i", "x", "s", *decimals.values()]
     counted = value_counts(df, key, columns)
     position = {name: i for i, name in enumerate(columns)}
     c = F.col("c")
@@ -78,8 +96,9 @@ def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
             elif stat == "minfreq":
                 outs.append(F.min(F.when(is_name, c)).alias(out))
             elif stat == "mode":
-                best = F.min(F.when(is_name, F.struct((-c).alias("nc"), F.col("i"), F.col("x"), F.col("s"))))
+                best = F.min(F.when(is_name, F.struct((-c).alias("nc"), *[F.col(f) for f in fields])))
                 field = ("i" if isinstance(types[name], IntegralType)
+                         else decimals[types[name]] if types[name] in decimals
                          else "x" if isinstance(types[name], NumericType) else "s")
                 outs.append(best[field].cast(types[name]).alias(out))
             else:

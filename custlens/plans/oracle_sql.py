@@ -405,3 +405,15 @@ def _category_codes_sql() -> str:
 
 
 ORACLE["category_codes"] = _category_codes_sql()
+ORACLE["decimal_modes"] = """
+with t as (select l_suppkey, cast(12345678901234567.00 + cast(l_discount as decimal(4,2)) as decimal(20,2)) as big,
+                  cast(l_tax as decimal(6,4)) as tax from lineitem),
+     b as (select l_suppkey, big, count(*) as c from t where big is not null group by l_suppkey, big),
+     x as (select l_suppkey, tax, count(*) as c from t where tax is not null group by l_suppkey, tax),
+     rb as (select *, row_number() over (partition by l_suppkey order by c desc, big) as r,
+                   count(*) over (partition by l_suppkey) as k from b),
+     rx as (select *, row_number() over (partition by l_suppkey order by c desc, tax) as r from x)
+select cast(rb.l_suppkey as bigint) as l_suppkey, rb.k as big_nunique, rb.c as big_freq,
+       cast(rb.big as varchar) as big_mode, cast(rx.tax as varchar) as tax_mode,
+       cast(rb.l_suppkey as bigint) as key_mode
+from rb join rx on rx.l_suppkey = rb.l_suppkey and rx.r = 1 where rb.r = 1"""

@@ -9,12 +9,14 @@ from __future__ import annotations
 import functools
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType
 
 from custlens.operators import clean, encode, model, select, sequence
+from custlens.operators.histogram import value_stats
 from custlens.operators.missing import MissingFlags
 from custlens.operators.profile import attach, transaction_profile
 from custlens.operators.temporal import bucket_counts_rowwise as _bucket_rows
@@ -374,6 +376,18 @@ def page_profile(spark, sf_dir):
     return tidy(attach(users, prof))
 
 
+def decimal_modes(spark, sf_dir):
+    """Modes of decimals of twenty digits by supplier; doubles could not tell them apart."""
+    t = read_table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", (F.lit(Decimal("12345678901234567.00")) + F.col("l_discount").cast("decimal(4,2)"))
+        .cast("decimal(20,2)").alias("big"), F.col("l_tax").cast("decimal(6,4)").alias("tax"))
+    out = value_stats(t, "l_suppkey", {"big": F.col("big"), "tax": F.col("tax"), "key": F.col("l_suppkey")}, {
+        "big": {"nunique": "big_nunique", "mode": "big_mode", "freq": "big_freq"},
+        "tax": {"mode": "tax_mode"}, "key": {"mode": "key_mode"}})
+    return tidy(out.select("l_suppkey", "big_nunique", "big_freq", F.col("big_mode").cast("string").alias("big_mode"),
+                           F.col("tax_mode").cast("string").alias("tax_mode"), "key_mode"))
+
+
 def token_sequences_short(spark, sf_dir):
     """Token sequences in chunks of seven, so that most customers have several."""
     t = _transactions(spark, sf_dir)
@@ -451,6 +465,7 @@ QUERIES.update({
     "rejects": rejects,
     "parsed_rows": parsed_rows,
     "page_profile": page_profile,
+    "decimal_modes": decimal_modes,
     "token_sequences_short": token_sequences_short,
     "narrow_plan": narrow_plan,
     "woe_table": woe_table,
