@@ -4,15 +4,16 @@ The model is an interpolated trigram model.  It is sharded by the middle word b
 each trigram (a, b, c): a shard has all successors of b, all contexts (a, b) and all
 trigrams, so every count and total that it needs is its own.  A word so frequent that
 its trigrams would swamp a shard is split by the word before it into classes, each
-a context node of its own; the split follows the corpus count and is the same
-everywhere.
+a context node of its own.  A split places work and changes no count: shards count
+their pairs (b, c) of split words, these are added up over all classes, and each shard
+gets the whole counts of the pairs that it holds; the word's total is its corpus count.
 
 A shard's trie has four levels: words (by number), nodes (b, class), their successors c, their
 contexts a and, under each context, the successors seen after it, written as places
 within the node's successors (context-relative).  Every level is Elias-Fano coded, has
 monotone pointers to its children, and 16-bit codes of smoothed probabilities or
-back-off weights on a fixed logarithmic grid.  The levels are written to one file,
-mapped into memory and searched by successor queries.
+back-off weights on a fixed logarithmic grid.  The levels stand in one memory map,
+without a file, and are searched by successor queries.
 
 Texts are read once; what moves are words' counts, packed slices of word numbers and
 packed n-grams.  A document's score is summed from its shards' parts.
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 import math
 import mmap
-import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -46,6 +46,8 @@ STRENGTH_2, STRENGTH_3 = 5000.0, 10.0
 SHARD_TOKENS = 2_000_000
 CLASS_TOKENS = 500_000
 SLICE_BYTES = 12 << 20
+#: Shards whose pairs of split words are added up in one group.
+SHARDS_A_GROUP = 16
 #: Tokens of a piece of a slice whose n-grams are sorted together.
 PIECE_TOKENS = 1 << 21
 
@@ -76,18 +78,28 @@ def from_code(code: np.ndarray) -> np.ndarray:
 # -- the trie -----------------------------------------------------------------
 
 def build_trie(words: np.ndarray, unigram: np.ndarray, node: np.ndarray, c: np.ndarray,
-               a: np.ndarray, mu2: float = STRENGTH_2, mu3: float = STRENGTH_3) -> bytes:
+               a: np.ndarray, mu2: float = STRENGTH_2, mu3: float = STRENGTH_3,
+               whole: tuple[np.ndarray, ...] | None = None) -> bytes:
     """Bytes of a shard's trie from its training trigrams.
 
     ``words``: sorted numbers; ``unigram``: their probabilities.  Of each trigram
     occurrence: ``node``, its context node's key, and places of ``c`` and ``a`` in words.
+    ``whole``: of each pair of a split word's node, the node's key, the place of c, the
+    pair's count in all classes, and the word's total.
     """
     n_words = max(1, len(words))
-    keys, node = ranks(node)
+    node_w, c_w, count_w, total_w = whole or [np.zeros(0, np.int64)] * 4
+    n = len(node)
+    keys, node = ranks(np.concatenate([node, node_w]))
+    node, node_w = node[:n], node[n:]
     total = np.bincount(node, minlength=len(keys)).astype(np.float64)
+    total[node_w] = total_w
 
-    pair, of_pair = ranks(node * n_words + c)
+    seen = count_w > 0
+    pair, of_pair = ranks(np.concatenate([node * n_words + c, node_w[seen] * n_words + c_w[seen]]))
+    of_pair, of_whole = of_pair[:n], of_pair[n:]
     count2 = np.bincount(of_pair, minlength=len(pair))
+    count2[of_whole] = count_w[seen]
     first2 = np.searchsorted(pair, np.arange(len(keys) + 1) * n_words)
     p2 = (count2 + mu2 * unigram[pair % n_words]) / (total[pair // n_words] + mu2)
 
@@ -320,11 +332,76 @@ def _grams(state: pd.DataFrame, told: pd.DataFrame, shards: int, total: int, dis
     return pd.DataFrame(rows, columns=[f.split()[0] for f in _GRAMS.split(", ")])
 
 
+_PAIRS = "grp int, shard int, b binary, c binary, counts binary"
+
+
+def _pair_keys(b: np.ndarray, c: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of numbers in order, the sums of their counts, and the place of each."""
+    if not len(b):
+        return b, c, counts, np.zeros(0, np.int64)
+    wide = int(c.max()) + 1
+    if int(b.max()) < (1 << 63) // wide:
+        keys, back = ranks(b * wide + c)
+        pairs = keys // wide, keys % wide
+    else:
+        back = _distinct_rows(c, b)
+        pairs = np.empty(int(back.max()) + 1, np.int64), np.empty(int(back.max()) + 1, np.int64)
+        pairs[0][back], pairs[1][back] = b, c
+    return *pairs, np.bincount(back, counts, len(pairs[0])).astype(np.int64), back
+
+
+def _split_pairs(rows: pd.DataFrame, groups: int) -> pd.DataFrame:
+    """A shard's pairs (b, c) whose b is split, with their learned counts here (0: only
+    held-out texts have it), dealt to groups by the pair."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    for words, counts, b, c, marks in zip(*(rows[x] for x in ("words", "counts", "b", "c", "docs")), strict=True):
+        if words is None or not (split := unpack(counts, np.int64) >= CLASS_TOKENS).any():
+            continue
+        words, b, c = _words(words).astype(np.int64), unpack(b), unpack(c)
+        at = np.flatnonzero(split[b])
+        pair, back = ranks(b[at].astype(np.int64) * len(words) + c[at])
+        learned = np.bincount(back, unpack(marks)[at] % 2 == 0, len(pair)).astype(np.int64)
+        found.append((words[pair // len(words)], words[pair % len(words)], learned))
+    b, c, n, _ = _pair_keys(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    group = mix(mix(b.astype(np.uint64)) ^ c.astype(np.uint64)) % _U(groups)
+    out = []
+    for g in np.unique(group).tolist():
+        x = group == g
+        out.append((g, int(rows["shard"].iloc[0]), pack(b[x]), pack(c[x]), pack(n[x])))
+    trim()
+    return pd.DataFrame(out, columns=[f.split()[0] for f in _PAIRS.split(", ")])
+
+
+def _add_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """Each shard's pairs of a group with their counts over all shards."""
+    sizes = np.cumsum([0, *(len(unpack(x)) for x in rows["counts"])])
+    *_, total, back = _pair_keys(*(np.concatenate([unpack(x, np.int64) for x in rows[k]]) for k in ("b", "c", "counts")))
+    rows["counts"] = [pack(total[back[i:j]]) for i, j in zip(sizes[:-1], sizes[1:], strict=True)]
+    return rows
+
+
 _PARTS = "slice long, docs binary, scores binary, done binary"
 
 
-def _score(rows: pd.DataFrame, total: int, distinct: int) -> pd.DataFrame:
-    """Learn a shard's trie from its learned trigrams and score all of them."""
+def _whole(told: pd.DataFrame, words: np.ndarray, count: np.ndarray, node: np.ndarray, c: np.ndarray,
+           most: int) -> tuple[np.ndarray, ...] | None:
+    """The pairs of split words' nodes with their counts and totals in the whole corpus."""
+    split = np.flatnonzero(count[node // most] >= CLASS_TOKENS)
+    if not len(split):
+        return None
+    pair = ranks(node[split] * len(words) + c[split])[0]
+    node, c = pair // len(words), pair % len(words)
+    b_t, c_t, n_t = (np.concatenate([unpack(x, np.int64) for x in told[k]]) for k in ("b", "c", "counts"))
+    b_t, c_t = (np.searchsorted(words, x.astype(np.uint64)) for x in (b_t, c_t))
+    known = b_t * len(words) + c_t
+    order = np.argsort(known)
+    at = order[np.searchsorted(known[order], node // most * len(words) + c)]
+    return node, c, n_t[at], count[node // most]
+
+
+def _score(rows: pd.DataFrame, told: pd.DataFrame, total: int, distinct: int) -> pd.DataFrame:
+    """Learn a shard's trie from its learned trigrams, and the whole counts of its split
+    words' pairs, and score all of them."""
     if rows["shard"].iloc[0] < 0:
         return pd.DataFrame({"slice": rows["slice"], "docs": None, "scores": None, "done": rows["done"]})
     own = [_words(w) for w in rows["words"]]
@@ -346,7 +423,9 @@ def _score(rows: pd.DataFrame, total: int, distinct: int) -> pd.DataFrame:
     most = int(_classes(count).max())
     node = b.astype(np.int64) * most + _node(words[b], _classes(count)[b], words[a])
     del b, place, own
-    data = build_trie(words, unigram, node[learned], c[learned], a[learned])
+    whole = _whole(told, words, count, node, c, most)
+    data = build_trie(words, unigram, node[learned], c[learned], a[learned], whole=whole)
+    del whole
     trim()
 
     # Each distinct trigram is searched once.
@@ -359,14 +438,13 @@ def _score(rows: pd.DataFrame, total: int, distinct: int) -> pd.DataFrame:
     first = np.empty(int(back.max()) + 1, np.int64)
     first[back] = np.arange(len(back))
     del nodes, pairs, at, learned
-    with tempfile.TemporaryFile() as file:
-        file.write(data)
-        file.flush()
-        with mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) as view:
-            trie = Trie(view)
-            log1 = from_code(to_code(unigram))
-            score = trie.log10(node[first], c[first], a[first], log1[c[first]])[back]
-            del trie
+    with mmap.mmap(-1, len(data)) as view:
+        view.write(data)
+        del data
+        trie = Trie(view)
+        log1 = from_code(to_code(unigram))
+        score = trie.log10(node[first], c[first], a[first], log1[c[first]])[back]
+        del trie
     out, start = [], 0
     for m in marks:
         doc, where = np.unique(m >> 1, return_inverse=True)
@@ -414,6 +492,8 @@ def score(docs: DataFrame) -> DataFrame:
      .option("path", f"{scratch_root(spark)}/{name}")
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "slice").saveAsTable(name))
     state = spark.table(name)
+    # The plan knows the files and their buckets; the catalog keeps no entry.
+    spark.sql(f"DROP TABLE {name}")
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("b")).first()["b"] or 0
     # Words and gaps of six bytes, about; only the number of shards depends on it.
     shards = max(1, math.ceil(size / 6 / SHARD_TOKENS))
@@ -424,7 +504,12 @@ def score(docs: DataFrame) -> DataFrame:
     total, distinct = int(sums["n"] or 0), int(sums["v"] or 0)
     grams = state.groupBy("slice").cogroup(told.select("shard", "slice", "counts", "numbers").groupBy("slice")).applyInPandas(
         lambda s, t: _grams(s, t, shards, total, distinct), _GRAMS)
-    parts = grams.groupBy("shard").applyInPandas(lambda r: _score(r, total, distinct), _PARTS)
+    # Both uses of the n-grams deal them by shard, so Spark moves them once.
+    groups = math.ceil(shards / SHARDS_A_GROUP)
+    pairs = (grams.groupBy("shard").applyInPandas(lambda r: _split_pairs(r, groups), _PAIRS)
+             .groupBy("grp").applyInPandas(_add_pairs, _PAIRS))
+    parts = grams.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInPandas(
+        lambda r, t: _score(r, t, total, distinct), _PARTS)
     out = parts.groupBy("slice").applyInPandas(
         _sum, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),

@@ -60,6 +60,11 @@ def test_documents_and_held_out_gain(spark, monkeypatch):
     # The number of shards is the driver's choice; results don't depend on it.
     monkeypatch.setattr(L, "SHARD_TOKENS", 40_000)
     check(docs)
+    # Nor do they on the number of a word's classes: here up to 50 of them.
+    monkeypatch.setattr(L, "CLASS_TOKENS", 200)
+    monkeypatch.setattr(L, "SHARDS_A_GROUP", 2)
+    check(docs)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("custlens_slices_")]
     held = L.score(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]
 
@@ -85,3 +90,10 @@ def test_frequent_words_fall_into_classes():
     a = np.arange(1000, dtype=np.uint64)
     kinds = L._node(a, np.full(1000, 4, np.uint64), a)
     assert set(kinds.tolist()) == {0, 1, 2, 3}
+
+
+def test_pairs_of_any_numbers():
+    b, c, n = (np.array(x) for x in ([7, 3, 7, 3], [1, 2, 1, 9], [1, 2, 3, 4]))
+    for up in (0, 1 << 40):
+        got = L._pair_keys(b + up, c + up, n)
+        assert [x.tolist() for x in got] == [[3 + up, 3 + up, 7 + up], [2 + up, 9 + up, 1 + up], [2, 4, 4], [2, 0, 2, 1]]
