@@ -9,6 +9,7 @@ with a shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from custlens.operators.median import BROADCAST_MAX_ROWS
 from custlens.operators.ordered import running_sums
 from custlens.operators.skew import HOT_GROUP_ROWS
 from custlens.operators.weighted import signed_medians
+from custlens.sources.facts import Facts, parts_of
 from custlens.sources.materialize import materialize
 
 WOE_SUFFIX = "_crossentroy"
@@ -227,7 +229,7 @@ MONEY_STATS = ("_cny_median", "_cny_sum", "pos_cny_median", "pos_cny_sum",
                "neg_cny_median", "neg_cny_sum")
 
 
-def category_money(users: DataFrame, trd: DataFrame, cols: Sequence[str], key: str = "id",
+def category_money(users: DataFrame, trd: DataFrame | Facts, cols: Sequence[str], key: str = "id",
                    amt: str = "amt", split_col: str = "split", score_value: str = "score",
                    scoring_copies: int = 1, money_scale: int | None = 2,
                    cardinalities: dict[str, int] | None = None) -> DataFrame:
@@ -246,18 +248,20 @@ def category_money(users: DataFrame, trd: DataFrame, cols: Sequence[str], key: s
     n_groups = sum(card.values())
     dims = users.select(key, split_col, *[F.col(c).cast("string").alias(c) for c in cols])
 
-    t = trd.select(key, nan_to_null(amt).alias("_amt"))
+    # Staged facts keep their buckets by customer part by part.
+    parts = [t.select(key, nan_to_null(amt).alias("_amt")) for t in parts_of(trd)]
     weight = F.lit(1)
     if scoring_copies != 1:
         weight = F.when(F.col(split_col) == score_value, F.lit(scoring_copies)).otherwise(1)
 
     # Sums: per-customer partial sums, then per category.
     a = F.col("_amt")
-    per_cust = t.groupBy(key).agg(money_sum(a, money_scale).alias("_s"),
-                                  money_sum(F.when(a > 0, a), money_scale).alias("_sp"),
-                                  money_sum(F.when(a < 0, a), money_scale).alias("_sn"))
-    cust_cat = _unpivot_values(per_cust.join(dims, key).select(
-        "_s", "_sp", "_sn", weight.alias("_w"), *cols), ["_s", "_sp", "_sn", "_w"], cols)
+    per_cust = reduce(DataFrame.unionByName, [
+        t.groupBy(key).agg(money_sum(a, money_scale).alias("_s"),
+                           money_sum(F.when(a > 0, a), money_scale).alias("_sp"),
+                           money_sum(F.when(a < 0, a), money_scale).alias("_sn")).join(dims, key)
+        .select("_s", "_sp", "_sn", weight.alias("_w"), *cols) for t in parts])
+    cust_cat = _unpivot_values(per_cust, ["_s", "_sp", "_sn", "_w"], cols)
     w = F.col("_w")
     sums = cust_cat.groupBy("_name", "_val").agg(
         money_sum(F.col("_s") * w, money_scale).alias("_cny_sum"),
@@ -269,7 +273,8 @@ def category_money(users: DataFrame, trd: DataFrame, cols: Sequence[str], key: s
 
     # Medians: every transaction once for each category value of its customer, with its
     # weight; the signs come out of the same counts.
-    tc = t.where(a.isNotNull()).join(dims, key).select("_amt", weight.alias("_w"), *cols)
+    tc = reduce(DataFrame.unionByName, [
+        t.where(a.isNotNull()).join(dims, key).select("_amt", weight.alias("_w"), *cols) for t in parts])
     med = signed_medians(_unpivot_values(tc, ["_amt", "_w"], cols), ["_name", "_val"], "_amt", "_w",
                          max_groups=n_groups)
     meds = med.select("_name", "_val", F.col("median_all").alias("_cny_median"),

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # Groups above this many rows take the split (distributed) path.
 HOT_GROUP_ROWS = 500_000
+# For rows that are known to hold no hot group: nothing is counted.
+NONE_HOT = (1 << 63) - 1
 # Hot-key lists up to this many rows are broadcast.
 BROADCAST_MAX_KEYS = 200_000
 
@@ -23,6 +25,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS
              ) -> tuple[DataFrame | None, int]:
     """``(keys of hot groups or None, how many)``; the frame is broadcast when
     small enough."""
+    if hot_rows >= NONE_HOT:
+        return None, 0
     keys = list(keys)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > hot_rows).select(*keys))

@@ -22,9 +22,9 @@ def day_gaps(events: DataFrame, key: str = "id", tm: str = "trx_tm",
 
 
 def gap_stats(events: DataFrame, key: str = "id", tm: str = "trx_tm", suffix: str = "",
-              segment=None) -> DataFrame:
+              segment=None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """``max/mean/std_day_diff{suffix}`` per customer (sample std)."""
-    g = day_gaps(events, key, tm, segment)
+    g = day_gaps(events, key, tm, segment, hot_rows)
     d = F.col("days")
     return g.groupBy(key).agg(F.max(d).alias(f"max_day_diff{suffix}"),
                               F.avg(d).alias(f"mean_day_diff{suffix}"),

@@ -27,9 +27,13 @@ from custlens.operators.profile import FAMILIES, attach, transaction_profile
 from custlens.operators.temporal import gap_stats
 from custlens.session import ensure_checkpoint_dir
 from custlens.sources import io as sio
+from custlens.sources.facts import Facts, stage_facts
 
+#: Columns of the transactions that the features read.
+FACT_COLUMNS = ("id", "trx_tm", "amt", "flg1", "flg3", "cod1", "cod2")
 
-def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = None,
+
+def build_features(users: DataFrame, trd: DataFrame | Facts, beh: DataFrame | None = None,
                    categorical: Sequence[str] = (), woe_cols: Sequence[str] | None = None,
                    money_cols: Sequence[str] | None = None,
                    products: dict[str, tuple[str, str]] | None = None,
@@ -45,9 +49,13 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
     ``id, page_tm``.  ``woe_cols`` / ``money_cols`` default to ``categorical``.
     Embedding columns are named ``0`` to ``5``, as importance tables name them.
     ``money_scale``: decimals of the amounts; ``max_len``: tokens of a chunk of a
-    customer's sequence (embedding contexts don't cross chunks).
+    customer's sequence (embedding contexts don't cross chunks).  The transactions are
+    staged by customer first, unless they come staged: the families by customer then
+    share one exchange of them and one count of the hot customers.
     """
     cats = list(categorical)
+    if not isinstance(trd, Facts):
+        trd = stage_facts(trd.select(*dict.fromkeys([*FACT_COLUMNS, *order])), "id", ["trx_tm"])
     base = users
     if clean_text:
         base = clean.null_sentinels(base, categorical=cats)
@@ -74,11 +82,17 @@ def build_features(users: DataFrame, trd: DataFrame, beh: DataFrame | None = Non
         return m.select("id", *[f"{c}{s}" for c in money for s in encode.MONEY_STATS])
 
     def embed_piece():
-        seqs = sequence.token_sequences(trd, "id", "cod2", list(order), max_len=max_len)
+        seqs = trd.by_key(lambda rows, hot: sequence.token_sequences(
+            rows, "id", "cod2", list(order), max_len=max_len, hot_rows=hot))
         vocab = sequence.vocabulary(sequence.fit_embedding(seqs, max_len=max_len))
-        return sequence.token_mean_vectors(trd, "id", "cod2", vocab, dim=6, prefix="")
+        return sequence.token_mean_vectors(trd.rows(), "id", "cod2", vocab, dim=6, prefix="")
+
+    def customer_piece(rows, hot):
+        # Every customer of the rows is in the profile; both are keyed as the rows lie.
+        prof = transaction_profile(rows, families, money_scale=money_scale, hot_rows=hot)
+        return prof.join(gap_stats(rows, "id", "trx_tm", hot_rows=hot), "id", "left")
 
-    tasks = [lambda: transaction_profile(trd, families, money_scale=money_scale), lambda: gap_stats(trd, "id", "trx_tm")]
+    tasks = [lambda: trd.by_key(customer_piece)]
     if beh is not None:
         tasks.append(lambda: gap_stats(beh, "id", "page_tm", suffix="2"))
     if embed:
