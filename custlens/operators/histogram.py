@@ -2,9 +2,8 @@
 
 The reference calls a Python function per group for the mode and its
 frequency.  Here every requested column is unpivoted to ``(key, column,
-value)`` and counted (map-side partial aggregation, so a hot key collapses to
-its distinct values before the shuffle); a second aggregate straight to one
-row per key then gives, per column, with conditional aggregates:
+value)`` and counted; a second aggregate straight to one row per key then gives,
+per column, with conditional aggregates:
 
 * ``nunique`` = number of distinct non-null values (NULL if none),
 * ``mode``    = most frequent value, smallest on ties (``min`` of the struct
@@ -15,6 +14,12 @@ row per key then gives, per column, with conditional aggregates:
 Whole numbers, decimals (one field per decimal type), other numbers and text are
 carried in separate struct fields, so that whole numbers and decimals keep all their
 digits and ties break numerically for numbers and lexicographically for text.
+
+The rows meet by key before they are unpivoted: a task's counts are then those of its
+keys alone and both aggregates run in one stage.  Counted where they are read, rows in no
+order of the key hardly combine, and a task would hold an entry for nearly each value of
+its whole split.  Rows of hot keys (above ``hot_rows``) do combine there: they are counted
+where they lie, so a hot key collapses to its distinct values before the shuffle.
 """
 
 from __future__ import annotations
@@ -26,7 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType, NumericType
 
+from custlens.operators.skew import HOT_GROUP_ROWS, NONE_HOT, counted_hot_keys
+
 STATS = ("nunique", "mode", "freq", "minfreq")
+#: Values (rows times columns) that a task counts.  The number of tasks follows from it, not
+#: from the session's shuffle partitions, so that what a task holds does not grow with the input.
+TASK_VALUES = 2_000_000
 
 
 def _decimals(types: list[DataType]) -> dict[DecimalType, str]:
@@ -67,10 +77,12 @@ def value_counts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFra
 
 
 def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
-                wanted: dict[str, dict[str, str] | list[tuple[str, str]]]) -> DataFrame:
+                wanted: dict[str, dict[str, str] | list[tuple[str, str]]],
+                hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """One row per key.  ``wanted``: ``name -> {stat: output}`` (or a list of
     ``(stat, output)`` pairs, when one stat feeds several outputs) with stat in
     ``nunique, mode, freq, minfreq``; modes come back in the input type.
+    ``hot_rows``: ``NONE_HOT`` for rows that lie together by key already.
 
     The per-value counts are aggregated straight to one row per key with
     conditional aggregates (fixed-size buffers), so a key's distinct values
@@ -79,7 +91,6 @@ def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
              df.select(*[c.alias(n) for n, c in columns.items()]).schema.fields}
     decimals = _decimals(list(types.values()))
     fields = ["i", "x", "s", *decimals.values()]
-    counted = value_counts(df, key, columns)
     position = {name: i for i, name in enumerate(columns)}
     c = F.col("c")
     outs = []
@@ -103,4 +114,20 @@ def value_stats(df: DataFrame, key: str, columns: dict[str, Column],
                 outs.append(best[field].cast(types[name]).alias(out))
             else:
                 raise ValueError(f"unknown stat {stat}")
-    return counted.groupBy(key).agg(*outs)
+
+    def stats_of(rows: DataFrame) -> DataFrame:
+        return value_counts(rows, key, columns).groupBy(key).agg(*outs)
+
+    if hot_rows >= NONE_HOT:
+        return stats_of(df)
+    names = [f"_c{i}" for i in range(len(columns))]
+    df = df.select(key, *[c.alias(n) for c, n in zip(columns.values(), names, strict=True)])
+    columns = {name: F.col(n) for name, n in zip(columns, names, strict=True)}
+    hot, _, n_rows = counted_hot_keys(df, [key], hot_rows)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows * len(columns) // TASK_VALUES))
+    if hot is None:
+        return stats_of(df.repartition(tasks, key))
+    hot = hot.withColumnRenamed(key, "_hot")
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    common = stats_of(df.join(hot, is_hot, "left_anti").repartition(tasks, key))
+    return common.unionByName(stats_of(df.join(hot, is_hot, "left_semi")))

@@ -188,8 +188,8 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
     ``trd`` uses the fixture column names (``id, trx_tm, amt, flg1, flg3, cod1,
     cod2``) unless renamed through ``columns``.  ``money_scale`` = decimals of the
     amounts (sums are exact at that scale); ``None`` for plain double sums.
-    ``hot_rows``: customers above this many rows get their medians from the
-    distributed path (default: ``median.HOT_GROUP_ROWS``).  ``outputs``: only
+    ``hot_rows``: customers above this many rows get their medians and value counts
+    from the distributed paths (default: ``skew.HOT_GROUP_ROWS``).  ``outputs``: only
     these feature columns (passes that feed none of them are not planned).
     """
     from custlens.operators.histogram import value_stats
@@ -200,6 +200,7 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
     if outputs is not None:
         _restrict(p, outputs)
     parts = []
+    kw = {} if hot_rows is None else {"hot_rows": hot_rows}
     if p.hist_cols and not p.aggs:
         # Count one constant per row too, so every customer with a
         # transaction is present even if all its counted values are NULL.
@@ -209,9 +210,8 @@ def transaction_profile(trd: DataFrame, families: Iterable[str] = FAMILIES,
         aggs = [e.alias(n) for n, e in p.aggs.items()] or [F.count(F.lit(1)).alias("_rows")]
         parts.append(t.groupBy("id").agg(*aggs))
     if p.hist_cols:
-        parts.append(value_stats(t, "id", p.hist_cols, p.hist_wanted))
+        parts.append(value_stats(t, "id", p.hist_cols, p.hist_wanted, **kw))
     if p.medians:
-        kw = {} if hot_rows is None else {"hot_rows": hot_rows}
         parts.append(exact_medians_by_part(t, "id", p.medians, **kw))
     # The first part holds every customer with a transaction (the wide
     # aggregate, or the histogram whose per-value count covers every row);

@@ -27,10 +27,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS
     small enough."""
     if hot_rows >= NONE_HOT:
         return None, 0
+    return counted_hot_keys(df, keys, hot_rows)[:2]
+
+
+def counted_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS
+                     ) -> tuple[DataFrame | None, int, int]:
+    """``hot_keys`` and, from the same counts, how many rows there are."""
     keys = list(keys)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > hot_rows).select(*keys))
-    n_hot = hot.count()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n_rows, n_hot = counts.agg(F.sum("_n"), F.count_if(F.col("_n") > hot_rows)).first()
     if n_hot == 0:
-        return None, 0
-    return (F.broadcast(hot) if n_hot <= BROADCAST_MAX_KEYS else hot), n_hot
+        return None, 0, n_rows or 0
+    hot = counts.where(F.col("_n") > hot_rows).select(*keys)
+    return (F.broadcast(hot) if n_hot <= BROADCAST_MAX_KEYS else hot), n_hot, n_rows

@@ -136,3 +136,22 @@ def test_rows_without_a_customer_get_no_bucket_count(spark):
     df = spark.createDataFrame([(1, day), (1, day), (None, day), (None, day)], "id int, trx_tm timestamp")
     got = bucket_counts_rowwise(df).orderBy("id").collect()
     assert [(r["id"], r["trx_tm_week"]) for r in got] == [(None, None), (None, None), (1, 2), (1, 2)]
+
+
+def test_values_are_counted_by_key_in_tasks_of_bounded_size(spark, monkeypatch):
+    from custlens.operators import histogram
+    rows = [(k, f"v{(k * 7 + j) % 5}", j % 3) for k in range(20) for j in range(k + 1)] + [(None, "v1", 1), (3, None, 1)]
+    df = spark.createDataFrame(rows, "id long, s string, n int")
+    columns, wanted = {"s": F.col("s"), "n": F.col("n")}, {"s": {"mode": "m", "freq": "f"}, "n": {"nunique": "k"}}
+
+    def stats(**kw):
+        return histogram.value_stats(df, "id", columns, wanted, **kw)
+
+    plain = sorted(map(str, stats().collect()))
+    assert len(plain) == 21 and plain == sorted(map(str, stats(hot_rows=histogram.NONE_HOT).collect()))
+    # Hot keys, the missing one among them, are counted apart.
+    assert plain == sorted(map(str, stats(hot_rows=10).collect())) == sorted(map(str, stats(hot_rows=0).collect()))
+    # The number of tasks follows from the values: 212 rows of two columns.
+    monkeypatch.setattr(histogram, "TASK_VALUES", 10)
+    few = stats()
+    assert few.rdd.getNumPartitions() == 43 and plain == sorted(map(str, few.collect()))
